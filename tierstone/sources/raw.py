@@ -12,8 +12,7 @@ SPLIT_ABOVE_BYTES = 64 * 1024 * 1024
 def read_raw_lines(spark: SparkSession, path: str) -> DataFrame:
     """One JSON record per line; splits across tasks. Empty lines hold no record."""
     return (
-        spark.read.option("lineSep", "\n")
-        .text(path)
+        spark.read.text(path, lineSep="\n")
         .where(F.col("value") != "")
         .select(F.col("value").alias("payload"))
     )
@@ -36,8 +35,7 @@ def read_raw_arrays(
     the file listing.
     """
     whole = (
-        spark.read.option("wholetext", True)
-        .text(path)
+        spark.read.text(path, wholetext=True)
         .where(F.col("_metadata.file_size") <= split_above_bytes)
         .select(F.explode(array_elements("value")).alias("payload"))
     )
@@ -59,8 +57,7 @@ def _read_split(spark: SparkSession, path: str, above_bytes: int) -> DataFrame:
     # Only the piece that closes the whole array parses without help.
     closing = F.when(ends, F.from_json(opened, "array<string>"))
     pieces = (
-        spark.read.option("lineSep", RECORD_BREAK)
-        .text(path)
+        spark.read.text(path, lineSep=RECORD_BREAK)
         .where(F.col("_metadata.file_size") > above_bytes)
     )
     broken = (
