@@ -6,7 +6,7 @@ from datetime import datetime, timedelta, timezone
 
 import pytest
 
-from tierstone.errors import ApiResponseError, EtlError, ExtractionError, GateError
+from tierstone.errors import ApiResponseError, EtlError, ExtractionError, GateError, LoadError
 from tierstone.functions.records import payloads_from_list
 from tierstone.operators import gates
 from tierstone.operators.bronze import Run, to_bronze
@@ -132,6 +132,17 @@ def test_bronze_run_folder_is_replaced_alone(spark, payloads, paths):
     assert scan_bronze(spark, paths.bronze).count() == 4
 
 
+def test_modes_do_not_mix_on_one_table(spark, payloads, path):
+    plain, kept = LayerPaths(f"{path}/plain"), LayerPaths(f"{path}/kept")
+    run_batch(spark, payloads, plain, run_at(1))
+    run_batch(spark, payloads, kept, run_at(1), mode="incremental")
+    with pytest.raises(LoadError, match="plain runs"):
+        follow_bronze(spark, kept.bronze, plain.silver, f"{path}/checkpoint")
+    with pytest.raises(LoadError, match="incremental"):
+        build_silver(spark, LayerPaths(path, bronze=plain.bronze, silver=kept.silver))
+    assert scan_silver(spark, plain.silver).count() == scan_silver(spark, kept.silver).count() == 2
+
+
 # --- runs ---------------------------------------------------------------------
 
 

@@ -39,17 +39,17 @@ def payloads_from_list(spark: SparkSession, records: list[Mapping[str, Any]]) ->
 
 
 def record_schema(fields: Iterable[str] | None = None) -> StructType:
-    """The record schema, or the part of it a caller needs."""
+    """The record schema, or the part of it a caller needs, see ``parse_payload``."""
     return RECORD if fields is None else StructType([RECORD[name] for name in fields])
 
 
-def parse_payload(payload: Column | str, fields: Iterable[str] | None = None) -> Column:
+def parse_payload(payload: Column | str, schema: StructType | str = RECORD) -> Column:
     """JSON text -> struct. Malformed text gives a row of nulls, never an error.
 
     Catalyst does not narrow the schema of a parse that feeds several columns, so
-    a caller that needs few fields names them and the rest is skipped unread.
+    a caller that needs few fields passes those: the rest is skipped unread.
     """
-    return F.from_json(payload, record_schema(fields))
+    return F.from_json(payload, schema)
 
 
 def typed_records(payloads: DataFrame) -> DataFrame:

@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..errors import TransformError
-from ..functions.records import parse_payload
+from ..functions.records import parse_payload, record_schema
 from ..schemas import SILVER_FIELDS
 
 
@@ -21,7 +21,7 @@ def to_silver(bronze: DataFrame, fields: Sequence[str] | None = None) -> DataFra
         raise TransformError("bronze is None")
     wanted = SILVER_FIELDS if fields is None else [f for f in SILVER_FIELDS if f in set(fields)]
     return bronze.select(
-        "ingestion_timestamp", parse_payload("payload", wanted).alias("record")
+        "ingestion_timestamp", parse_payload("payload", record_schema(wanted)).alias("record")
     ).select("ingestion_timestamp", *(f"record.{name}" for name in wanted))
 
 

@@ -2,11 +2,12 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, DataFrameWriter
+from pyspark.sql import DataFrame, DataFrameWriter, SparkSession
 from pyspark.sql import functions as F
 
 from ..errors import LoadError
 from ..schemas import BRONZE_PARTITIONS, SILVER_PARTITIONS
+from ..session import path_exists
 from .bronze import Run
 
 
@@ -68,8 +69,15 @@ def balance_silver(silver: DataFrame, partitions: int | None = None) -> DataFram
     return silver.hint("rebalance", *counts, *SILVER_PARTITIONS)
 
 
+def has_sink_log(spark: SparkSession, path: str) -> bool:
+    """Whether a stream writes this table. Readers then see only the files in its log."""
+    return path_exists(spark, f"{path.rstrip('/')}/_spark_metadata")
+
+
 def write_silver(silver: DataFrame, path: str) -> None:
     """Append, partitioned by country and state; see ``balance_silver``."""
+    if has_sink_log(silver.sparkSession, path):
+        raise LoadError(f"Silver in {path} is kept by incremental runs; an append would not show")
     writer = silver.write.mode("append").format("parquet").partitionBy(*SILVER_PARTITIONS)
     _save(writer, path, "Silver")
 

@@ -23,6 +23,13 @@ def build_session(app_name: str = "tierstone", **conf: str) -> SparkSession:
     return builder.getOrCreate()
 
 
+def path_exists(spark: SparkSession, path: str) -> bool:
+    """Whether a file or folder is there, on whatever file system its path names."""
+    hadoop_path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    files = hadoop_path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    return files.exists(hadoop_path)
+
+
 def shared_scratch(spark: SparkSession, label: str) -> str:
     """A fresh folder for tables a query writes and reads back.
 

@@ -15,8 +15,9 @@ from pyspark.sql.streaming import StreamingQuery
 
 from ..errors import LoadError
 from ..operators.silver import all_null, to_silver
-from ..operators.sinks import balance_silver
-from ..schemas import BRONZE, SILVER_PARTITIONS
+from ..operators.sinks import balance_silver, has_sink_log
+from ..schemas import BRONZE, SILVER, SILVER_PARTITIONS
+from ..sources.layers import stored
 
 
 @dataclass
@@ -64,6 +65,8 @@ def follow_bronze(
     partitions: int | None = None,
 ) -> Followed:
     """Run ``start_following`` to its end and add up what its batches wrote."""
+    if not has_sink_log(spark, silver_path) and not stored(spark, silver_path, SILVER).isEmpty():
+        raise LoadError(f"Silver in {silver_path} was appended by plain runs, which a stream would hide")
     query = start_following(
         bronze_stream(spark, bronze_path, max_files), silver_path, checkpoint, partitions
     )
