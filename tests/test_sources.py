@@ -2,6 +2,7 @@
 
 import json
 import os
+import random
 import sys
 
 import pytest
@@ -257,3 +258,57 @@ def test_raw_lines_round_trip(spark, path):
     assert raw == f"{path}/run_id=20250101T000000"
     back = [r.payload for r in read_raw_lines(spark, raw).collect()]
     assert sorted(back) == sorted([json.dumps(r, ensure_ascii=False) for r in records] + ['{"id":\t"1"}', "not\tjson"])
+
+
+# --- against brute force --------------------------------------------------------
+
+
+def prefix_by_hand(sizes, max_pages):
+    kept, page = [], 1
+    while (max_pages is None or page <= max_pages) and sizes.get(page, 0):
+        kept.append(page)
+        page += 1
+    return kept
+
+
+def test_page_prefix_against_a_loop(spark):
+    rng = random.Random(7)
+    for _ in range(12):
+        sizes = {p: rng.choice([0, 1, 3, 3, 3]) for p in range(1, 9) if rng.random() < 0.9}
+        cap = rng.choice([None, 3, 20])
+        got = page_prefix(pages_of(spark, sizes), cap).select("page_number").collect()
+        assert sorted(r[0] for r in got) == prefix_by_hand(sizes, cap), (sizes, cap)
+
+
+def test_split_of_random_records(spark, path):
+    """Quotes, brackets, breaks and nesting in every place: the right records or a failure."""
+    rng = random.Random(11)
+    pieces = ['"', "\\", "{", "}", "[", "]", ", ", "},{", "é", "\n", "x", "'", "null", ":"]
+
+    def text():
+        return "".join(rng.choices(pieces, k=rng.randrange(6)))
+
+    def value(depth):
+        kind = rng.randrange(6 if depth else 4)
+        if kind == 0:
+            return rng.choice([None, True, rng.randrange(10**12)])
+        if kind < 4:
+            return text()
+        if kind == 4:
+            return [value(depth - 1) for _ in range(rng.randrange(3))]
+        return {text(): value(depth - 1) for _ in range(rng.randrange(3))}
+
+    for n in range(10):
+        folder = f"{path}/{n}"
+        os.mkdir(folder)
+        # Breaks inside a record are kept out here and tested above.
+        records = []
+        while len(records) < 300:
+            record = {text(): value(2) for _ in range(rng.randrange(4))}
+            if "}, {" not in json.dumps(record, ensure_ascii=False):
+                records.append(record)
+        write(folder, "a.json", json.dumps(records, ensure_ascii=False))
+        got = read_raw_arrays(spark, folder, split_above_bytes=0).collect()
+        whole = read_raw_arrays(spark, folder).collect()
+        assert sorted(r.payload for r in got) == sorted(r.payload for r in whole)
+        assert [json.loads(r.payload) for r in whole] == records

@@ -18,24 +18,24 @@ def page_prefix(pages: DataFrame, max_pages: int | None = None) -> DataFrame:
     end are dropped, whatever they hold. ``max_pages=None`` sets no cap; zero or
     less keeps nothing.
 
-    The end is one number from a scalar subquery: of page 1 and the page after
-    each filled page, the first that is not filled. That is an anti-join of page
-    numbers alone, one row per page, so no key repeats. ``pages`` is read twice:
-    pass a written table, not a live source.
+    The end is one number from a scalar subquery: of the pages after a filled
+    one, the first that is not filled. That is an anti-join of page numbers alone,
+    one row per page, so no key repeats. ``pages`` is read more than once: pass a
+    written table, not a live source.
     """
     candidates = pages.where("page_number >= 1")
     if max_pages is not None:
         candidates = candidates.where(F.col("page_number") <= F.lit(max_pages))
     filled = candidates.where(page_size(pages) > 0)
     numbers = filled.select(F.col("page_number").cast("bigint").alias("page_number"))
-    first = pages.sparkSession.range(1, 2, numPartitions=1).toDF("page_number")
-    followers = numbers.select((F.col("page_number") + 1).alias("page_number")).union(first)
+    start = numbers.agg(F.min("page_number")).scalar()
     end = (
-        followers.join(numbers, "page_number", "left_anti")
-        .agg(F.min("page_number").alias("end"))
+        numbers.select((F.col("page_number") + 1).alias("page_number"))
+        .join(numbers, "page_number", "left_anti")
+        .agg(F.min("page_number"))
         .scalar()
     )
-    return filled.where(F.col("page_number") < end)
+    return filled.where((start == 1) & (F.col("page_number") < end))
 
 
 def explode_pages(pages: DataFrame) -> DataFrame:

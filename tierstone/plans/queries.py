@@ -35,6 +35,7 @@ from .samples import (
     lineitem_records,
     load,
     order_records,
+    spread,
 )
 
 RUN = Run(datetime(2025, 1, 1, 12, tzinfo=timezone.utc), "sample")
@@ -77,7 +78,8 @@ def gold_lineitems(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def gold_malformed(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Prose where JSON is expected: every record survives, in the all-null group."""
-    return _narrow_gold(load(spark, sf_dir, "documents").select(F.col("text").alias("payload")))
+    documents = spread(load(spark, sf_dir, "documents"), "doc_id")
+    return _narrow_gold(documents.select(F.col("text").alias("payload")))
 
 
 def silver_parse(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -86,7 +88,7 @@ def silver_parse(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def silver_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Whole texts through JSON and back, shown by length and digest."""
-    documents = load(spark, sf_dir, "documents").select(
+    documents = spread(load(spark, sf_dir, "documents"), "doc_id").select(
         F.col("doc_id").cast("string").alias("id"),
         F.col("text").alias("name"),
         F.col("lang").alias("country"),

@@ -18,6 +18,16 @@ def load(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def spread(scan: DataFrame, key: str) -> DataFrame:
+    """A scan in fewer splits than there are slots, shuffled once over all of them.
+
+    JSON work is paid per row, and one small file of one row group would leave it
+    to one task. A scan that fills the slots by itself is returned as it is.
+    """
+    slots = scan.sparkSession.sparkContext.defaultParallelism
+    return scan if scan.rdd.getNumPartitions() >= slots else scan.repartition(slots, key)
+
+
 def _places(spark: SparkSession, sf_dir: str) -> DataFrame:
     nation, region = load(spark, sf_dir, "nation"), load(spark, sf_dir, "region")
     return nation.join(region, nation.n_regionkey == region.r_regionkey).select(
@@ -27,7 +37,7 @@ def _places(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def customer_records(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One record per customer, placed in their nation."""
-    customer, places = load(spark, sf_dir, "customer"), _places(spark, sf_dir)
+    customer, places = spread(load(spark, sf_dir, "customer"), "c_custkey"), _places(spark, sf_dir)
     joined = customer.join(places, customer.c_nationkey == places.n_nationkey)
     return conform(
         joined.select(
@@ -46,7 +56,7 @@ def customer_records(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def order_records(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One record per order, placed where its customer is."""
-    orders, customer = load(spark, sf_dir, "orders"), load(spark, sf_dir, "customer")
+    orders, customer = spread(load(spark, sf_dir, "orders"), "o_orderkey"), load(spark, sf_dir, "customer")
     joined = orders.join(customer, orders.o_custkey == customer.c_custkey).join(
         _places(spark, sf_dir), F.col("c_nationkey") == F.col("n_nationkey")
     )
@@ -65,7 +75,8 @@ def order_records(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def lineitem_records(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One record per order line, placed where its supplier is."""
-    lineitem, supplier = load(spark, sf_dir, "lineitem"), load(spark, sf_dir, "supplier")
+    lineitem = spread(load(spark, sf_dir, "lineitem"), "l_orderkey")
+    supplier = load(spark, sf_dir, "supplier")
     joined = lineitem.join(supplier, lineitem.l_suppkey == supplier.s_suppkey).join(
         _places(spark, sf_dir), F.col("s_nationkey") == F.col("n_nationkey")
     )

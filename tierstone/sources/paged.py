@@ -209,7 +209,7 @@ def land_pages(
     the first empty one: later pages would never have been asked for.
     """
     slots = spark.sparkContext.defaultParallelism
-    first, wave = 1, slots
+    first, wave = 1, min(4 * slots, largest_wave)
     while max_pages is None or first <= max_pages:
         last = first + wave - 1 if max_pages is None else min(first + wave - 1, max_pages)
         per_task = -(-(last - first + 1) // (4 * slots))
@@ -218,20 +218,19 @@ def land_pages(
         failed = F.min(
             F.when(F.col("error").isNotNull(), F.struct("page_number", "error_class", "error"))
         )
-        (
-            read_pages(
-                spark, fetch, first=first, last=last, per_page=per_page, pages_per_task=per_task
-            )
-            .observe(seen, empty.alias("empty"), F.to_json(failed).alias("failed"))
-            .write.mode("overwrite" if first == 1 else "append")
-            .parquet(path)
-        )
+        wave_pages = read_pages(
+            spark, fetch, first=first, last=last, per_page=per_page, pages_per_task=per_task
+        ).observe(seen, empty.alias("empty"), F.to_json(failed).alias("failed"))
+        try:
+            wave_pages.write.mode("overwrite" if first == 1 else "append").parquet(path)
+        except Exception as exc:
+            raise ExtractionError(f"pages {first} to {last} could not be landed: {exc}") from exc
         end, failure = seen.get["empty"], json.loads(seen.get["failed"] or "null")
         if failure and (end is None or failure["page_number"] < end):
             raise _failure(failure)
         if end is not None:
             break
-        first, wave = last + 1, min(2 * wave, max(largest_wave, slots))
+        first, wave = last + 1, min(2 * wave, largest_wave)
     return stored(spark, path, PAGES_DDL)
 
 
