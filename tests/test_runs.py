@@ -126,6 +126,29 @@ def test_incremental_catches_up_on_runs_it_missed(spark, payloads, paths):
     assert follow_bronze(spark, paths.bronze, paths.silver, paths.checkpoint).rows == 0
 
 
+def test_incremental_splits_a_hot_place(spark, paths):
+    from pyspark.sql import functions as F
+
+    rows = spark.range(0, 100_000, 1, 8).select(
+        F.to_json(
+            F.struct(
+                F.sha2(F.col("id").cast("string"), 256).alias("id"),
+                F.when(F.col("id") % 3 > 0, "hot").otherwise(F.concat(F.lit("c"), F.col("id") % 9)).alias("country"),
+            )
+        ).alias("payload")
+    )
+    build_bronze(spark, rows, paths.bronze, run_at(1), mode="incremental")
+    spark.conf.set("spark.sql.adaptive.advisoryPartitionSizeInBytes", "1m")
+    try:
+        followed = follow_bronze(spark, paths.bronze, paths.silver, paths.checkpoint)
+    finally:
+        spark.conf.unset("spark.sql.adaptive.advisoryPartitionSizeInBytes")
+    assert (followed.rows, followed.null_rows) == (100_000, 0)
+    hot = scan_silver(spark, paths.silver).where("country = 'hot'")
+    assert hot.count() == 66_666
+    assert hot.select(F.input_file_name()).distinct().count() > 2
+
+
 def test_bronze_run_folder_is_replaced_alone(spark, payloads, paths):
     for run in (run_at(1), run_at(2), run_at(1)):
         write_bronze_run(to_bronze(payloads, run), paths.bronze, run)

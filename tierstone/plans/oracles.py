@@ -6,7 +6,7 @@ from ..operators.gates import BRONZE_GATE, GOLD_GATE, SILVER_GATE
 from ..schemas import SILVER_FIELDS
 from .queries import API_PAGE_SIZE, PAGE_SIZE, RUN
 
-_TS = f"{RUN.ts:%Y-%m-%d %H:%M:%S}"
+_TS = f"CAST({int(RUN.ts.timestamp()) * 1_000_000} AS BIGINT)"
 
 # The customers as records, and their fields after the spoiling rule of ``samples``.
 _CUSTOMERS = """
@@ -57,7 +57,7 @@ def _gold(rows: str, factor: int = 1) -> str:
 
 
 def _silver(rows: str) -> str:
-    return f"SELECT '{_TS}' AS ingested, {', '.join(SILVER_FIELDS)} FROM ({rows})"
+    return f"SELECT {_TS} AS ingested, {', '.join(SILVER_FIELDS)} FROM ({rows})"
 
 
 def _typed(rows: str) -> str:
@@ -138,7 +138,7 @@ ORACLES: dict[str, str] = {
         SELECT event_id, CAST(json_extract_string(props, '$.k') AS BIGINT) AS k FROM events
     """,
     "bronze_fields": f"""
-        SELECT '{_TS}' AS ingested, '{RUN.date:%Y-%m-%d}' AS ingested_on,
+        SELECT {_TS} AS ingested, '{RUN.date:%Y-%m-%d}' AS ingested_on,
                '{RUN.source_system}' AS source_system, id
         FROM ({_CUSTOMERS})
     """,
@@ -176,6 +176,7 @@ ORACLES: dict[str, str] = {
     "rerun_append": _gold(_CUSTOMERS, 6),
     "rerun_incremental": _gold(_CUSTOMERS, 2),
     "gated_run": _gold(_STORED),
+    "gated_lineitems": _gold(_LINEITEMS),
     "run_history": " UNION ALL ".join(
         (
             _history("probe", "NULL", "NULL", "NULL"),
