@@ -179,14 +179,14 @@ ORACLES: dict[str, str] = {
     "gated_lineitems": _gold(_LINEITEMS),
     "run_history": " UNION ALL ".join(
         (
-            _history("probe", "NULL", "NULL", "NULL"),
-            _history("extract", _N, _N, "NULL"),
-            _history("bronze gate", "NULL", "NULL", "NULL"),
+            _history("probe", "-1", "-1", "-1"),
+            _history("extract", _N, _N, "-1"),
+            _history("bronze gate", "-1", "-1", "-1"),
             _history("bronze", _N, _N, "0"),
-            _history("silver gate", "NULL", "NULL", "NULL"),
+            _history("silver gate", "-1", "-1", "-1"),
             _history("silver", _N, _N, _BROKEN),
-            _history("gold gate", "NULL", "NULL", "NULL"),
-            _history("gold", _N, _GROUPS, "NULL"),
+            _history("gold gate", "-1", "-1", "-1"),
+            _history("gold", _N, _GROUPS, "-1"),
         )
     ),
 }

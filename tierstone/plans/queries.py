@@ -337,9 +337,16 @@ def gated_lineitems(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def run_history(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every step of a gated run; -1 stands for a count the step does not take."""
     payloads = dirty_payloads(customer_records(spark, sf_dir))
     history = scan_history(spark, _gated(spark, payloads, "run_history").history)
-    return history.select("run_id", "layer", "rows_in", "rows_out", "null_rows", "status")
+    counts = ("rows_in", "rows_out", "null_rows")
+    return history.select(
+        "run_id",
+        "layer",
+        *(F.coalesce(F.col(name), F.lit(-1)).cast("bigint").alias(name) for name in counts),
+        "status",
+    )
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
