@@ -4,6 +4,7 @@ import json
 from datetime import date, datetime, timedelta, timezone
 
 import pytest
+from pyspark.sql.types import StructField, StructType
 
 from tierstone.errors import (
     ApiResponseError,
@@ -26,6 +27,8 @@ from tierstone.operators.sinks import balance_silver, write_bronze, write_gold,
 from tierstone.schemas import BRONZE, GOLD_KEYS, RECORD, SILVER, SILVER_FIELDS
 from tierstone.sources.layers import scan_bronze, scan_gold, scan_silver
 
+# Parquet reads every column back as nullable.
+SILVER_READ = StructType([StructField(f.name, f.dataType) for f in SILVER])
 RUN = Run(datetime(2025, 1, 2, 3, 4, 5, 678901, tzinfo=timezone.utc), "test")
 
 
@@ -166,6 +169,7 @@ def test_partition_values_round_trip(spark, path):
     lost = [None, ""]
     payloads = [json.dumps({"id": str(i), "country": c}) for i, c in enumerate(kept + lost)]
     write_silver(to_silver(bronze_of(spark, payloads)), path)
+    assert scan_silver(spark, path).schema == SILVER_READ
     back = {r.id: (r.country, r.state_province) for r in scan_silver(spark, path).collect()}
     expected = [(c, None) for c in kept] + [(None, None)] * len(lost)
     assert back == {str(i): pair for i, pair in enumerate(expected)}

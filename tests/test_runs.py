@@ -204,6 +204,22 @@ def test_gated_run_of_a_paged_source(spark, records, paths, mode):
     assert history["gold"] == (run_id, 3, 2, None, "ok")
 
 
+def test_no_page_allowed_fails_at_the_bronze_gate(spark, records, paths):
+    fetch = store_pages(f"{paths.root}/api", records)
+    with pytest.raises(GateError, match="bronze"):
+        run_gated(spark, PagedInput(fetch, max_pages=0), paths, run_at(1))
+    assert not os.path.exists(paths.bronze)
+
+
+def test_batch_of_a_paged_source(spark, records, paths):
+    fetch = store_pages(f"{paths.root}/api", *[records] * 7)
+    report = run_batch(spark, PagedInput(fetch), paths, run_at(1), history=True)
+    assert report.completed
+    assert counts(spark, paths) == (10, 10, [5, 5])  # five pages unless told otherwise
+    layers = {r.layer: r.rows_out for r in scan_history(spark, paths.history).collect()}
+    assert layers == {"extract": None, "bronze": 10, "silver": 10, "gold": 2}
+
+
 def test_failed_page_stops_the_run(spark, records, paths):
     fetch = store_pages(f"{paths.root}/api", records, '{"message": "busy"}')
     with pytest.raises(ApiResponseError):

@@ -7,9 +7,9 @@ of page numbers and never holds a record.
 
 from __future__ import annotations
 
+import http.client
 import json
 import sys
-import urllib.error
 import urllib.parse
 import urllib.request
 from collections.abc import Callable, Iterator, Mapping
@@ -72,7 +72,7 @@ class HttpPages:
         try:
             with urllib.request.urlopen(request, timeout=self.timeout_seconds) as answer:
                 body = answer.read()
-        except OSError as exc:  # URLError, HTTPError and timeouts
+        except (OSError, http.client.HTTPException) as exc:  # status, network and timeout
             raise ExtractionError(f"request to {request.full_url} failed: {exc}") from exc
         try:
             return body.decode("utf-8")
