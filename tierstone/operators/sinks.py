@@ -63,7 +63,8 @@ def balance_silver(silver: DataFrame, partitions: int | None = None) -> DataFram
     hint lets adaptive execution split a place that outgrows the advisory
     partition size over several tasks and join small ones, so a place holding a
     third of the rows is neither one task nor one file. ``partitions`` is best
-    near the number of places; by default the session's shuffle partitions.
+    a few times the number of places, so that a place split over many tasks seldom
+    takes small ones along; by default the session's shuffle partitions.
     """
     counts = () if partitions is None else (partitions,)
     return silver.hint("rebalance", *counts, *SILVER_PARTITIONS)

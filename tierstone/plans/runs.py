@@ -136,8 +136,13 @@ def build_silver(
     mode: Mode = "append_all",
     partitions: int | None = None,
     step: Step | None = None,
+    bronze: DataFrame | None = None,
 ) -> Step:
-    """Bronze on disk -> Silver on disk: all of it, or the files not yet seen."""
+    """Bronze on disk -> Silver on disk: all of it, or the files not yet seen.
+
+    ``bronze`` is the scan of stored Bronze where the caller has one: its files
+    are then not listed again.
+    """
     step = step or Step(run_id, "silver")
     if mode == "incremental":
         followed = follow_bronze(
@@ -146,7 +151,9 @@ def build_silver(
         step.rows_in = step.rows_out = followed.rows
         step.null_rows = followed.null_rows
         return step
-    silver = balance_silver(to_silver(scan_bronze(spark, paths.bronze)), partitions)
+    if bronze is None:
+        bronze = scan_bronze(spark, paths.bronze)
+    silver = balance_silver(to_silver(bronze), partitions)
     counted, fill = counting(silver, step, null_rows=F.count_if(all_null()))
     write_silver(counted, paths.silver)
     fill()
@@ -154,13 +161,19 @@ def build_silver(
 
 
 def build_gold(
-    spark: SparkSession, silver_path: str, gold_path: str, *, run_id: str = "", step: Step | None = None
+    spark: SparkSession,
+    silver_path: str,
+    gold_path: str,
+    *,
+    run_id: str = "",
+    step: Step | None = None,
+    silver: DataFrame | None = None,
 ) -> Step:
-    """Silver on disk -> Gold on disk."""
+    """Silver on disk -> Gold on disk; ``silver`` as ``bronze`` above."""
     step = step or Step(run_id, "gold")
-    counted, fill = counting(
-        to_gold(scan_silver(spark, silver_path)), step, rows_in=F.sum(GOLD_COUNT)
-    )
+    if silver is None:
+        silver = scan_silver(spark, silver_path)
+    counted, fill = counting(to_gold(silver), step, rows_in=F.sum(GOLD_COUNT))
     write_gold(counted, gold_path)
     fill()
     return step
@@ -242,13 +255,16 @@ def run_gated(
         with recorded(report.steps, run.run_id, "bronze") as step:
             build_bronze(spark, payloads, paths.bronze, run, mode=mode, step=step)
         with recorded(report.steps, run.run_id, "silver gate"):
-            gates.enforce(to_silver(scan_bronze(spark, paths.bronze)), gates.SILVER_GATE)
+            bronze = scan_bronze(spark, paths.bronze)
+            gates.enforce(to_silver(bronze), gates.SILVER_GATE)
         with recorded(report.steps, run.run_id, "silver") as step:
-            build_silver(spark, paths, mode=mode, partitions=partitions, step=step)
+            build_silver(
+                spark, paths, mode=mode, partitions=partitions, step=step, bronze=bronze
+            )
         with recorded(report.steps, run.run_id, "gold gate"):
             silver = scan_silver(spark, paths.silver)
             gates.enforce(to_gold(silver), gates.GOLD_GATE, silver)
         with recorded(report.steps, run.run_id, "gold") as step:
-            build_gold(spark, paths.silver, paths.gold, step=step)
+            build_gold(spark, paths.silver, paths.gold, step=step, silver=silver)
     report.completed = True
     return report
