@@ -231,6 +231,28 @@ def test_split_edges(spark, path, records):
     assert [json.loads(r.payload) for r in got] == records
 
 
+@pytest.mark.parametrize("record_break", ["}, {", "},{", "},\n  {"])
+def test_other_record_breaks(spark, path, record_break):
+    records = [{"i": i} for i in range(500)]
+    text = record_break.join(json.dumps(r)[1:-1] for r in records)
+    write(path, "a.json", "[{" + text + "}]")
+    for assumed in ("}, {", record_break):
+        got = read_raw_arrays(spark, path, split_above_bytes=0, record_break=assumed)
+        assert [json.loads(r.payload) for r in got.collect()] == records
+
+
+def test_scratch_without_a_shared_folder(spark, monkeypatch):
+    from tierstone import session
+
+    class Unset:
+        class conf:
+            get = staticmethod(lambda key, default: default)
+
+    first, second = session.shared_scratch(Unset, "a"), session.shared_scratch(Unset, "a")
+    assert first != second and os.path.dirname(first) == os.path.dirname(second)
+    assert os.path.isdir(os.path.dirname(first))
+
+
 @pytest.mark.parametrize(
     "text",
     [

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from functools import cache
 
 from pyspark.sql import SparkSession
 
@@ -36,8 +37,10 @@ def shared_scratch(spark: SparkSession, label: str) -> str:
     Lies under ``spark.checkpoint.dir``, which a cluster points at shared storage;
     a temporary folder stands in only where that is unset, as in local tests.
     """
-    base = spark.conf.get("spark.checkpoint.dir", None)
-    if not base:
-        base = tempfile.mkdtemp(prefix="tierstone-")
-        spark.conf.set("spark.checkpoint.dir", base)
+    base = spark.conf.get("spark.checkpoint.dir", None) or _local_scratch()
     return f"{base.rstrip('/')}/{label}-{uuid.uuid4().hex}"
+
+
+@cache
+def _local_scratch() -> str:
+    return tempfile.mkdtemp(prefix="tierstone-")

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-RECORD_BREAK = "}, {"  # Fixed value: what stands between two records of a dumped array.
+RECORD_BREAK = "}, {"  # Fixed value: what stands between two records of a RAW array.
 SPLIT_ABOVE_BYTES = 64 * 1024 * 1024
 
 
@@ -25,25 +25,32 @@ def array_elements(text: Column | str) -> Column:
 
 
 def read_raw_arrays(
-    spark: SparkSession, path: str, *, split_above_bytes: int = SPLIT_ABOVE_BYTES
+    spark: SparkSession,
+    path: str,
+    *,
+    split_above_bytes: int = SPLIT_ABOVE_BYTES,
+    record_break: str = RECORD_BREAK,
 ) -> DataFrame:
     """Files that each hold one JSON array -> one ``payload`` row per element.
 
     A file that is not a whole array fails the read. Files up to
     ``split_above_bytes`` are parsed whole. Larger ones are read in splits, see
-    ``_read_split``. Which way a file goes is a filter on its size that prunes
-    the file listing.
+    ``_read_split``: ``record_break`` is the text from the end of one record to the
+    start of the next, as their writer spells it. Which way a file goes is a filter
+    on its size that prunes the file listing.
     """
     whole = (
         spark.read.text(path, wholetext=True)
         .where(F.col("_metadata.file_size") <= split_above_bytes)
         .select(F.explode(array_elements("value")).alias("payload"))
     )
-    return whole.union(_read_split(spark, path, split_above_bytes))
+    return whole.union(_read_split(spark, path, split_above_bytes, record_break))
 
 
-def _read_split(spark: SparkSession, path: str, above_bytes: int) -> DataFrame:
-    """Large array files, cut at ``RECORD_BREAK`` so that many tasks share one file.
+def _read_split(
+    spark: SparkSession, path: str, above_bytes: int, record_break: str
+) -> DataFrame:
+    """Large array files, cut at ``record_break`` so that many tasks share one file.
 
     Each piece gets back the brackets the cut took and is parsed as an array of
     its own. A cut inside a record (the break within a string or a nested list)
@@ -57,7 +64,7 @@ def _read_split(spark: SparkSession, path: str, above_bytes: int) -> DataFrame:
     # Only the piece that closes the whole array parses without help.
     closing = F.when(ends, F.from_json(opened, "array<string>"))
     pieces = (
-        spark.read.text(path, lineSep=RECORD_BREAK)
+        spark.read.text(path, lineSep=record_break)
         .where(F.col("_metadata.file_size") > above_bytes)
     )
     broken = (
