@@ -23,9 +23,16 @@ from tierstone.functions.records import (
 from tierstone.operators.bronze import Run, to_bronze
 from tierstone.operators.gold import to_gold
 from tierstone.operators.silver import all_null, to_silver
-from tierstone.operators.sinks import balance_silver, write_bronze, write_gold, write_silver
+from tierstone.operators.sinks import (
+    balance_silver,
+    write_bronze,
+    write_gold,
+    write_raw,
+    write_silver,
+)
 from tierstone.schemas import BRONZE, GOLD_KEYS, RECORD, SILVER, SILVER_FIELDS
 from tierstone.sources.layers import scan_bronze, scan_gold, scan_silver
+from tierstone.sources.raw import read_raw_lines
 
 # Parquet reads every column back as nullable.
 SILVER_READ = StructType([StructField(f.name, f.dataType) for f in SILVER])
@@ -199,7 +206,7 @@ def test_hot_place_is_split_over_files(spark, path):
 
 
 def test_plans(spark, records, path):
-    """One parse, pruned scans, counting before the shuffle."""
+    """No shuffle for Bronze, one parse, pruned scans, counting before the shuffle."""
     write_bronze(to_bronze(payloads_from_list(spark, records), RUN), f"{path}/b")
     bronze = scan_bronze(spark, f"{path}/b")
     write_silver(to_silver(bronze), f"{path}/s")
@@ -207,12 +214,20 @@ def test_plans(spark, records, path):
     def plan(df):
         return df._jdf.queryExecution().executedPlan().toString()
 
+    write_raw(payloads_from_list(spark, records), f"{path}/raw", RUN.run_id)
+    assert "Exchange" not in plan(to_bronze(read_raw_lines(spark, f"{path}/raw"), RUN))
     silver_plan = plan(to_silver(bronze))
+    assert "Exchange" not in silver_plan
+    balanced = plan(balance_silver(to_silver(bronze), 9))
+    assert "hashpartitioning(country" in balanced and "REBALANCE_PARTITIONS_BY_COL" in balanced
+    assert balanced.count("Exchange") == 1
     assert silver_plan.count("from_json") == 1
     assert "ReadSchema: struct<ingestion_timestamp:timestamp,payload:string>" in silver_plan
     gold_plan = plan(to_gold(scan_silver(spark, f"{path}/s")))
     assert "ReadSchema: struct<brewery_type:string,city:string>" in gold_plan
-    assert "partial_count" in gold_plan
+    assert gold_plan.index("rangepartitioning") < gold_plan.index("hashpartitioning")
+    assert gold_plan.index("hashpartitioning") < gold_plan.index("partial_count")
+    assert gold_plan.count("Exchange") == 2
     pruned = plan(bronze.where("ingestion_date = date'2025-01-02'"))
     assert "PartitionFilters: [isnotnull(ingestion_date" in pruned
 

@@ -7,6 +7,7 @@ import sys
 
 import pytest
 from pyspark import cloudpickle
+from pyspark.sql import functions as F
 
 from tierstone.errors import ApiResponseError, ExtractionError
 from tierstone.operators.paging import explode_pages, page_prefix
@@ -55,6 +56,20 @@ def test_page_prefix(spark, sizes, max_pages, kept):
     assert explode_pages(prefix).count() == 2 * len(kept)
 
 
+def test_page_prefix_looks_for_the_end_without_reading_records(spark, path):
+    pages = pages_of(spark, {1: 2, 2: 0}).withColumn("n_records", F.size("records"))
+    pages.write.parquet(f"{path}/pages")
+    prefix = page_prefix(spark.read.parquet(f"{path}/pages"))
+    assert prefix.count() == 1
+    plan = prefix._jdf.queryExecution().executedPlan().toString()
+    schemas = {s.split("\n")[0] for s in plan.split("ReadSchema: ")[1:]}
+    assert schemas == {
+        "struct<page_number:int,n_records:int>",
+        "struct<page_number:int,records:array<string>,n_records:int>",
+    }
+    assert plan.count("records:array") < plan.count("ReadSchema")
+
+
 class Answers:
     """Page texts by number; a missing page is empty, an exception is raised."""
 
