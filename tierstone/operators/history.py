@@ -9,7 +9,7 @@ from __future__ import annotations
 
 from collections.abc import Callable, Iterator
 from contextlib import contextmanager
-from dataclasses import astuple, dataclass
+from dataclasses import astuple, dataclass, field
 from datetime import datetime, timezone
 
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
@@ -24,16 +24,22 @@ HISTORY = table(
 )
 
 
+def _now() -> datetime:
+    return datetime.now(timezone.utc)
+
+
 @dataclass
 class Step:
+    """One row of the history; counts are None where a step takes none."""
+
     run_id: str
     layer: str
     rows_in: int | None = None
     rows_out: int | None = None
     null_rows: int | None = None
-    started: datetime | None = None
-    ended: datetime | None = None
-    status: str = "running"
+    started: datetime = field(default_factory=_now)
+    ended: datetime = field(default_factory=_now)
+    status: str = "ok"
 
 
 def counting(df: DataFrame, step: Step, **extra: Column) -> tuple[DataFrame, Callable[[], None]]:
@@ -52,6 +58,7 @@ def counting(df: DataFrame, step: Step, **extra: Column) -> tuple[DataFrame, Cal
             setattr(step, name, values[name] or 0)
         if "rows_in" not in metrics:
             step.rows_in = step.rows_out
+        step.ended = _now()
 
     return observed, fill
 
@@ -59,17 +66,15 @@ def counting(df: DataFrame, step: Step, **extra: Column) -> tuple[DataFrame, Cal
 @contextmanager
 def recorded(steps: list[Step], run_id: str, layer: str) -> Iterator[Step]:
     """Time a step and keep how it ended: ``ok``, or the class of its failure."""
-    step = Step(run_id, layer, started=datetime.now(timezone.utc))
+    step = Step(run_id, layer)
     steps.append(step)
     try:
         yield step
-        if step.status == "running":
-            step.status = "ok"
     except Exception as exc:
         step.status = f"failed: {type(exc).__name__}"
         raise
     finally:
-        step.ended = datetime.now(timezone.utc)
+        step.ended = _now()
 
 
 def append_history(spark: SparkSession, steps: list[Step], path: str) -> None:
