@@ -288,13 +288,13 @@ def test_split_never_returns_a_wrong_record(spark, path, text):
 def test_raw_lines_round_trip(spark, path):
     records = [{"id": "a\nb", "n": None, "s": "é x\r"}, {"id": 'q"\\'}]
     payloads = payloads_from_list(spark, records).union(
-        spark.createDataFrame([('{"id":\n"1"}',), ("not\njson",), (None,)], "payload STRING")
+        spark.createDataFrame([('{"id":\n"1"}',), ("not\njson",), (None,), ("",)], "payload STRING")
     )
     for _ in range(2):  # a retry replaces
         raw = write_raw(payloads, path, "20250101T000000")
     assert raw == f"{path}/run_id=20250101T000000"
     back = [r.payload for r in read_raw_lines(spark, raw).collect()]
-    assert sorted(back) == sorted([json.dumps(r, ensure_ascii=False) for r in records] + ['{"id":\t"1"}', "not\tjson"])
+    assert sorted(back) == sorted([json.dumps(r, ensure_ascii=False) for r in records] + ['{"id":\t"1"}', "not\tjson", "null", "null"])
 
 
 # --- against brute force --------------------------------------------------------
@@ -349,3 +349,10 @@ def test_split_of_random_records(spark, path):
         whole = read_raw_arrays(spark, folder).collect()
         assert sorted(r.payload for r in got) == sorted(r.payload for r in whole)
         assert [json.loads(r.payload) for r in whole] == records
+
+
+def test_null_elements_stay_rows_all_the_way(spark, path):
+    os.mkdir(f"{path}/dump")
+    write(f"{path}/dump", "a.json", '[null, {"id": "1"}, null]')
+    raw = write_raw(read_raw_arrays(spark, f"{path}/dump"), f"{path}/raw", "r")
+    assert read_raw_lines(spark, raw).count() == 3

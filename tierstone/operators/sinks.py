@@ -26,10 +26,15 @@ def write_raw(payloads: DataFrame, root: str, run_id: str) -> str:
     """RAW landing of one run, one record per line; a retry replaces it.
 
     A line break can stand between the tokens of a JSON text, never inside them:
-    a tab in its place reads the same, and keeps a malformed text malformed.
+    a tab in its place reads the same, and keeps a malformed text malformed. A
+    payload without text becomes the JSON null, which reads the same as well, so
+    that it still has a line.
     """
     path = raw_path(root, run_id)
-    lines = payloads.select(F.translate("payload", "\n", "\t").alias("value"))
+    text = F.translate("payload", "\n", "\t")
+    lines = payloads.select(
+        F.when(F.length(text) > 0, text).otherwise("null").alias("value")
+    )
     _save(lines.write.mode("overwrite").format("text").option("lineSep", "\n"), path, "RAW")
     return path
 

@@ -33,7 +33,8 @@ def read_raw_arrays(
 ) -> DataFrame:
     """Files that each hold one JSON array -> one ``payload`` row per element.
 
-    A file that is not a whole array fails the read. Files up to
+    A file that is not a whole array fails the read (Spark shows no file without
+    bytes; a gate has to find those missing). Files up to
     ``split_above_bytes`` are parsed whole. Larger ones are read in splits, see
     ``_read_split``: ``record_break`` is the text from the end of one record to the
     start of the next, as their writer spells it. Which way a file goes is a filter
