@@ -161,7 +161,8 @@ def test_layers_through_storage(spark, records, path):
     write_silver(balance_silver(to_silver(bronze)), f"{path}/s")
     silver = scan_silver(spark, f"{path}/s")
     assert silver.columns == SILVER.names
-    assert [r.asDict() for r in silver.drop("ingestion_timestamp").orderBy("id").collect()] == records
+    back = silver.drop("ingestion_timestamp").orderBy("id").collect()
+    assert [r.asDict() for r in back] == records
     for _ in range(2):
         write_gold(to_gold(silver), f"{path}/g")
     place = ("United States", "Texas", "Austin")
@@ -190,7 +191,9 @@ def test_hot_place_is_split_over_files(spark, path):
         F.to_json(
             F.struct(
                 F.sha2(F.col("id").cast("string"), 256).alias("id"),
-                F.when(F.col("id") % 2 == 0, "hot").otherwise(F.concat(F.lit("c"), F.col("id") % 9)).alias("country"),
+                F.when(F.col("id") % 2 == 0, "hot")
+                .otherwise(F.concat(F.lit("c"), F.col("id") % 9))
+                .alias("country"),
             )
         ).alias("payload")
     )

@@ -133,7 +133,9 @@ def test_incremental_splits_a_hot_place(spark, paths):
         F.to_json(
             F.struct(
                 F.sha2(F.col("id").cast("string"), 256).alias("id"),
-                F.when(F.col("id") % 3 > 0, "hot").otherwise(F.concat(F.lit("c"), F.col("id") % 9)).alias("country"),
+                F.when(F.col("id") % 3 > 0, "hot")
+                .otherwise(F.concat(F.lit("c"), F.col("id") % 9))
+                .alias("country"),
             )
         ).alias("payload")
     )

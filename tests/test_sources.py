@@ -82,6 +82,8 @@ class Answers:
         text = self.texts.get(page_number, "[]")
         if text == "down":
             raise ExtractionError("no answer")
+        if text == "bug":
+            raise RuntimeError("a fault of the fetcher")
         return text
 
 
@@ -94,7 +96,8 @@ def numbered(n):
 
 
 def test_read_pages_is_one_row_per_page(spark):
-    rows = read_pages(spark, Answers(numbered(3)), last=4, pages_per_task=3).orderBy("page_number").collect()
+    pages = read_pages(spark, Answers(numbered(3)), last=4, pages_per_task=3)
+    rows = pages.orderBy("page_number").collect()
     assert [(r.page_number, r.n_records, r.error) for r in rows] == [
         (1, 1, None), (2, 1, None), (3, 1, None), (4, 0, None),
     ]
@@ -126,7 +129,8 @@ def fetch_all_small_waves(spark, path):
 
 
 @pytest.mark.parametrize(
-    "bad, error", [("down", ExtractionError), ("{", ApiResponseError), ('{"id": 1}', ApiResponseError)]
+    "bad, error",
+    [("down", ExtractionError), ("{", ApiResponseError), ('{"id": 1}', ApiResponseError)],
 )
 def test_failed_page_loses_the_extraction(spark, path, bad, error):
     with pytest.raises(ExtractionError) as caught:
@@ -140,6 +144,13 @@ def test_failed_page_loses_the_extraction(spark, path, bad, error):
     assert sorted(ids(fetch_all(spark, Answers(capped), f"{path}/c", max_pages=2))) == [1, 2]
 
 
+def test_fault_of_a_fetcher_is_an_extraction_error(spark, path):
+    with pytest.raises(ExtractionError, match="a fault of the fetcher"):
+        fetch_all(spark, Answers({1: "bug"}), path)
+    with pytest.raises(ExtractionError, match="a fault of the fetcher"):
+        probe_pages(spark, Answers({1: "bug"}))
+
+
 def test_probe(spark):
     probe_pages(spark, Answers(numbered(1)))
     with pytest.raises(ExtractionError, match="no record"):
@@ -294,7 +305,8 @@ def test_raw_lines_round_trip(spark, path):
         raw = write_raw(payloads, path, "20250101T000000")
     assert raw == f"{path}/run_id=20250101T000000"
     back = [r.payload for r in read_raw_lines(spark, raw).collect()]
-    assert sorted(back) == sorted([json.dumps(r, ensure_ascii=False) for r in records] + ['{"id":\t"1"}', "not\tjson", "null", "null"])
+    texts = [json.dumps(record, ensure_ascii=False) for record in records]
+    assert sorted(back) == sorted([*texts, '{"id":\t"1"}', "not\tjson", "null", "null"])
 
 
 # --- against brute force --------------------------------------------------------

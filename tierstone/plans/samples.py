@@ -56,7 +56,8 @@ def customer_records(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def order_records(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One record per order, placed where its customer is."""
-    orders, customer = spread(load(spark, sf_dir, "orders"), "o_orderkey"), load(spark, sf_dir, "customer")
+    orders = spread(load(spark, sf_dir, "orders"), "o_orderkey")
+    customer = load(spark, sf_dir, "customer")
     joined = orders.join(customer, orders.o_custkey == customer.c_custkey).join(
         _places(spark, sf_dir), F.col("c_nationkey") == F.col("n_nationkey")
     )

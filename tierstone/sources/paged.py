@@ -249,7 +249,10 @@ def fetch_all(
 
 def probe_pages(spark: SparkSession, fetch: Fetcher) -> None:
     """Ask for page 1 at size 1; raise unless it holds a record."""
-    page = read_pages(spark, fetch, last=1, per_page=1).drop("records").first()
+    try:
+        page = read_pages(spark, fetch, last=1, per_page=1).drop("records").first()
+    except Exception as exc:
+        raise ExtractionError(f"the source could not be asked: {exc}") from exc
     if page["error"] is not None:
         raise _failure(page.asDict())
     if not page["n_records"]:

@@ -66,7 +66,7 @@ def follow_bronze(
 ) -> Followed:
     """Run ``start_following`` to its end and add up what its batches wrote."""
     if not has_sink_log(spark, silver_path) and not stored(spark, silver_path, SILVER).isEmpty():
-        raise LoadError(f"Silver in {silver_path} was appended by plain runs, which a stream would hide")
+        raise LoadError(f"Silver in {silver_path} is kept by plain runs; a stream would hide it")
     query = start_following(
         bronze_stream(spark, bronze_path, max_files), silver_path, checkpoint, partitions
     )
