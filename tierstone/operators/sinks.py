@@ -49,7 +49,9 @@ def write_bronze_run(bronze: DataFrame, path: str, run: Run) -> None:
     """Write the folder of one run and no other; writing it again replaces it.
 
     The whole run lies in one partition, which Spark moves into place when the
-    job commits, so readers see all of it or nothing.
+    job commits. Where the file system renames a folder in one step (HDFS, ABFS,
+    a local disk) readers see all of it or nothing, which is what a repeated run
+    relies on to know that it is done.
     """
     writer = (
         bronze.withColumn("run_id", F.lit(run.run_id))

@@ -122,8 +122,8 @@ ORACLES: dict[str, str] = {
                CAST(length(text) AS INTEGER) AS n_chars, md5(text) AS digest
         FROM documents
     """,
-    "typed_customers": _typed(_CUSTOMERS),
-    "conformed_suppliers": _typed("""
+    "typed_records": _typed(_CUSTOMERS),
+    "conformed_records": _typed("""
         SELECT CAST(s_suppkey AS VARCHAR) AS id, s_name AS name,
                CAST(s_nationkey AS DOUBLE) AS longitude, CAST(NULL AS DOUBLE) AS latitude,
                CAST(NULL AS VARCHAR) AS brewery_type, CAST(NULL AS VARCHAR) AS address_1,
@@ -145,9 +145,9 @@ ORACLES: dict[str, str] = {
     "silver_roundtrip": _silver(_STORED),
     "gold_roundtrip": _gold(_STORED),
     "gold_overwrite": _gold(_ORDERS),
-    "page_prefix_orders": _page_end("TRUE"),
-    "page_cap_orders": _page_end("page <= (SELECT page // 2 FROM last)"),
-    "paged_customers": f"""
+    "page_prefix": _page_end("TRUE"),
+    "page_cap": _page_end("page <= (SELECT page // 2 FROM last)"),
+    "paged_source": f"""
         WITH paged AS (SELECT k // {API_PAGE_SIZE} + 1 AS page, * FROM ({_CUSTOMERS})),
         filled AS (SELECT DISTINCT page FROM paged),
         ended AS (

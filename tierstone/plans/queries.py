@@ -350,33 +350,30 @@ def run_history(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    query.__name__: query
-    for query in (
-        gold_counts,
-        gold_orders,
-        gold_lineitems,
-        gold_malformed,
-        silver_parse,
-        silver_documents,
-        typed_customers,
-        conformed_suppliers,
-        events_props,
-        bronze_fields,
-        silver_roundtrip,
-        gold_roundtrip,
-        gold_overwrite,
-        page_prefix_orders,
-        page_cap_orders,
-        paged_customers,
-        raw_array,
-        raw_array_split,
-        raw_lines,
-        gate_report,
-        layer_counts,
-        rerun_append,
-        rerun_incremental,
-        gated_run,
-        gated_lineitems,
-        run_history,
-    )
+    "gold_counts": gold_counts,
+    "gold_orders": gold_orders,
+    "gold_lineitems": gold_lineitems,
+    "gold_malformed": gold_malformed,
+    "silver_parse": silver_parse,
+    "silver_documents": silver_documents,
+    "typed_records": typed_customers,
+    "conformed_records": conformed_suppliers,
+    "events_props": events_props,
+    "bronze_fields": bronze_fields,
+    "silver_roundtrip": silver_roundtrip,
+    "gold_roundtrip": gold_roundtrip,
+    "gold_overwrite": gold_overwrite,
+    "page_prefix": page_prefix_orders,
+    "page_cap": page_cap_orders,
+    "paged_source": paged_customers,
+    "raw_array": raw_array,
+    "raw_array_split": raw_array_split,
+    "raw_lines": raw_lines,
+    "gate_report": gate_report,
+    "layer_counts": layer_counts,
+    "rerun_append": rerun_append,
+    "rerun_incremental": rerun_incremental,
+    "gated_run": gated_run,
+    "gated_lineitems": gated_lineitems,
+    "run_history": run_history,
 }
