@@ -276,25 +276,20 @@ def near_copies(docs: DataFrame, words: int = SHINGLE, radius: int = RADIUS) ->
 def drop_near_copies(docs: DataFrame, words: int = SHINGLE, radius: int = RADIUS) -> DataFrame:
     """One document of each group: the one with the smallest ``doc_id``."""
     spark = docs.sparkSession
-    names = docs.columns
     path = shared_scratch(spark, "simhash")
     # A hash of the whole row tells rows apart where an id is repeated.
-    marked = docs.withColumn("_row", F.xxhash64(*names))
-    with_fingerprints(marked.select("doc_id", "_row", "text"), ["doc_id", "_row"], words).write.parquet(path)
+    docs = docs.select(F.struct("*").alias("doc"), F.xxhash64(*docs.columns).alias("row"))
+    with_fingerprints(docs.select("doc.doc_id", "row", "doc.text"), ["doc_id", "row"], words).write.parquet(path)
     rows = spark.read.parquet(path)
-    key = F.struct(F.col("doc_id").isNull().alias("none"), F.col("doc_id"), F.col("_row"))
+    key = F.struct(F.col("doc_id").isNull().alias("none"), F.col("doc_id"), F.col("row"))
     known = rows.groupBy("fp").agg(F.min(key).alias("best"))
     roots = group_of_fingerprint(known.select("fp"), radius)
     best = (
         known.join(roots, "fp", "left")
         .groupBy(F.coalesce("root", "fp").alias("root"))
         .agg(F.min("best").alias("best"))
-        .select(F.col("best._row").alias("_row"), F.col("best.doc_id").alias("_id"))
+        .select(F.col("best.row").alias("_row"), F.col("best.doc_id").alias("_id"))
     )
-    found = marked.join(best, (marked["_row"] == best["_row"]) & marked["doc_id"].eqNullSafe(best["_id"]))
+    found = docs.join(best, (F.col("row") == F.col("_row")) & F.col("doc.doc_id").eqNullSafe(F.col("_id")))
     # Equal rows are one group of this aggregate, which needs no shuffle after the join.
-    return (
-        found.groupBy(marked["_row"], "_id")
-        .agg(F.any_value(F.struct(*(marked[c] for c in names))).alias("kept"))
-        .select("kept.*")
-    )
+    return found.groupBy("row", "_id").agg(F.any_value("doc").alias("doc")).select("doc.*")
