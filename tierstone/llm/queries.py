@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from ..session import ship_package
-from . import decontaminate, mixing, quality_classifier, quality_rules, simhash_dedup
+from . import decontaminate, mixing, quality_classifier, quality_rules, simhash_dedup, token_ids
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -25,6 +25,16 @@ def op2_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontaminate.report(docs, benchmark)
 
 
+def tokenizer_path() -> str:
+    import public_tokenizers
+
+    return public_tokenizers.path("byte_bpe_50k.json")
+
+
+def op4_token_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return token_ids.store(table(spark, sf_dir, "documents"), tokenizer_path())
+
+
 def op8_simhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash_dedup.near_copies(table(spark, sf_dir, "documents"))
 
@@ -42,6 +52,7 @@ def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_mixing": op1_mixing,
     "op2_decontaminate": op2_decontaminate,
+    "op4_token_ids": op4_token_ids,
     "op8_simhash_dedup": op8_simhash_dedup,
     "op9_quality_classifier": op9_quality_classifier,
     "op10_quality_rules": op10_quality_rules,
