@@ -12,8 +12,8 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tierstone.llm import quality_rules
-from tierstone.llm.queries import table
+from tierstone.llm import decontaminate, mixing, quality_rules, simhash_dedup, token_ids
+from tierstone.llm.queries import table, tokenizer_path
 from tierstone.session import shared_scratch
 
 Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
@@ -25,8 +25,32 @@ def reject_junk(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return quality_rules.filter_quality(docs, forest)
 
 
+def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each group of near copies."""
+    return simhash_dedup.drop_near_copies(docs)
+
+
+def drop_leaks(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents without a passage of the benchmark."""
+    return decontaminate.clean(docs, table(spark, sf_dir, "benchmark"))
+
+
+def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents in the proportions of their sources, a row for each time they are taken."""
+    return mixing.mix(docs)
+
+
+def write_token_ids(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Token files of the mixture, and what they hold for each row."""
+    return token_ids.store(docs, tokenizer_path())
+
+
 STAGES: list[tuple[str, Stage]] = [
     ("quality_rules", reject_junk),
+    ("simhash_near_dedup", drop_near_copies),
+    ("decontamination", drop_leaks),
+    ("mixing", mix_sources),
+    ("token_ids", write_token_ids),
 ]
 
 #: Isolation forests and Hamming graphs are beyond SQL; tests compare with brute force.
