@@ -7,7 +7,15 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from ..session import ship_package
-from . import decontaminate, mixing, quality_classifier, quality_rules, simhash_dedup, token_ids
+from . import (
+    decontaminate,
+    mixing,
+    quality_classifier,
+    quality_rules,
+    simhash_dedup,
+    suffix_dedup,
+    token_ids,
+)
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -35,6 +43,10 @@ def op4_token_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_ids.store(table(spark, sf_dir, "documents"), tokenizer_path())
 
 
+def op7_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return suffix_dedup.removed(table(spark, sf_dir, "documents"))
+
+
 def op8_simhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash_dedup.near_copies(table(spark, sf_dir, "documents"))
 
@@ -53,6 +65,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_mixing": op1_mixing,
     "op2_decontaminate": op2_decontaminate,
     "op4_token_ids": op4_token_ids,
+    "op7_suffix_dedup": op7_suffix_dedup,
     "op8_simhash_dedup": op8_simhash_dedup,
     "op9_quality_classifier": op9_quality_classifier,
     "op10_quality_rules": op10_quality_rules,
