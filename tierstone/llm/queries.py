@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from ..session import ship_package
 from . import (
     decontaminate,
+    lm_scoring,
     mixing,
     quality_classifier,
     quality_rules,
@@ -33,6 +34,10 @@ def op2_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontaminate.report(docs, benchmark)
 
 
+def op3_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lm_scoring.score(table(spark, sf_dir, "documents"))
+
+
 def tokenizer_path() -> str:
     import public_tokenizers
 
@@ -64,6 +69,7 @@ def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_mixing": op1_mixing,
     "op2_decontaminate": op2_decontaminate,
+    "op3_lm_scoring": op3_lm_scoring,
     "op4_token_ids": op4_token_ids,
     "op7_suffix_dedup": op7_suffix_dedup,
     "op8_simhash_dedup": op8_simhash_dedup,
