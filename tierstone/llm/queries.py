@@ -16,6 +16,7 @@ from . import (
     simhash_dedup,
     suffix_dedup,
     token_ids,
+    warc,
 )
 
 
@@ -48,6 +49,10 @@ def op4_token_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_ids.store(table(spark, sf_dir, "documents"), tokenizer_path())
 
 
+def op5_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return warc.archive(table(spark, sf_dir, "pages"))
+
+
 def op7_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return suffix_dedup.removed(table(spark, sf_dir, "documents"))
 
@@ -71,6 +76,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_decontaminate": op2_decontaminate,
     "op3_lm_scoring": op3_lm_scoring,
     "op4_token_ids": op4_token_ids,
+    "op5_warc": op5_warc,
     "op7_suffix_dedup": op7_suffix_dedup,
     "op8_simhash_dedup": op8_simhash_dedup,
     "op9_quality_classifier": op9_quality_classifier,
