@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from ..session import ship_package
 from . import (
     decontaminate,
+    line_dedup,
     lm_scoring,
     mixing,
     quality_classifier,
@@ -53,6 +54,10 @@ def op5_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     return warc.archive(table(spark, sf_dir, "pages"))
 
 
+def op6_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return line_dedup.report(table(spark, sf_dir, "documents"))
+
+
 def op7_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return suffix_dedup.removed(table(spark, sf_dir, "documents"))
 
@@ -77,6 +82,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op3_lm_scoring": op3_lm_scoring,
     "op4_token_ids": op4_token_ids,
     "op5_warc": op5_warc,
+    "op6_line_dedup": op6_line_dedup,
     "op7_suffix_dedup": op7_suffix_dedup,
     "op8_simhash_dedup": op8_simhash_dedup,
     "op9_quality_classifier": op9_quality_classifier,
