@@ -9,9 +9,9 @@ nulls first, and each stands on its own:
 * for each document its id with a null mark, its number of ids and of blocks, and the
   blocks with their sizes (see ``huffman``).
 
-The tokenizer splits a text at white space before anything else, so pieces that begin
-at a space are encoded on their own and remembered, up to ``REMEMBERED`` of them in
-each worker; how much is remembered does not change a result.
+A byte-level tokenizer splits a text at white space before anything else, so pieces that
+begin at a space are encoded on their own and remembered, about ``REMEMBERED`` to twice
+that many in each worker; how much is remembered does not change a result.
 
 Cases: a null text is an empty one and has the end id only. Rows that are repeated, or
 share an id, are documents of their own, ordered by their content. An empty table gives
@@ -20,14 +20,17 @@ no files and an empty result. Other columns are ignored.
 
 from __future__ import annotations
 
+import json
 import os
 import re
 import struct
 import zlib
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
+from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
+import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -36,19 +39,51 @@ from .files import create, open_file
 from .huffman import BLOCK, Codec, code_lengths
 
 END_ID = 2
-REMEMBERED = 200_000
+REMEMBERED = 400_000
 FILE_IDS = 1 << 20
 MAX_FILES = 20_000
 MAGIC = b"TKH1"
 
 _loaded: dict[str, PieceEncoder] = {}
 #: White space next to a space: the places where a split at each space would be wrong.
-_WIDE = re.compile(r"\s | \s")
+_WIDE = re.compile(r"[^\S ] | [^\S ]")
+#: Fixed value: the pattern by which byte-level vocabularies of this kind part words.
+_WORDS = regex.compile(r"'(?:s|t|re|ve|m|ll|d)| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+")
 _EDGES = re.compile(r"(?<!\s)(?= )|(?= \S)")
 
 
+def _byte_letters() -> dict[int, int]:
+    """The letter that stands for each byte in a byte-level vocabulary: itself where it is
+    printable Latin-1, else the next free one from 256 on."""
+    plain = {*range(33, 127), *range(161, 173), *range(174, 256)}
+    others = [b for b in range(256) if b not in plain]
+    return {b: b for b in plain} | {b: 256 + n for n, b in enumerate(others)}
+
+
+class _Memory(dict):
+    """What a function gave for recent arguments: those used since the last but one clearing."""
+
+    def __init__(self, learn: Callable[[str], bytes]):
+        super().__init__()
+        self._learn = learn
+        self._older: dict[str, bytes] = {}
+
+    def __missing__(self, key: str) -> bytes:
+        if len(self) >= REMEMBERED:
+            self._older = dict(self)
+            self.clear()
+        found = self._older.get(key)
+        self[key] = found = self._learn(key) if found is None else found
+        return found
+
+
 class PieceEncoder:
-    """Encodes texts by their pieces and remembers those it has met."""
+    """Encodes texts by their pieces and remembers those it has met, as packed ids.
+
+    A piece met for the first time is split into words by the tokenizer's own pattern,
+    and words not met before go through its model. Only for byte-level vocabularies with
+    that pattern; others encode whole texts.
+    """
 
     def __init__(self, path: str):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
@@ -56,46 +91,42 @@ class PieceEncoder:
 
         self._tokenizer = Tokenizer.from_file(path)
         self._tokenizer.encode_special_tokens = True
-        self._forget()
+        parts = json.loads(self._tokenizer.to_str())
+        splits = parts["pre_tokenizer"] or {}
+        self._by_pieces = (
+            splits.get("type") == "ByteLevel" and splits["use_regex"] and not splits["add_prefix_space"]
+            and not parts["normalizer"] and parts["model"]["type"] == "BPE"
+        )
+        letters, tokenize = _byte_letters(), self._tokenizer.model.tokenize
+
+        def encode_word(word: str) -> bytes:
+            tokens = tokenize(word.encode().decode("latin-1").translate(letters))
+            return struct.pack(f"<{len(tokens)}I", *[t.id for t in tokens])
+
+        words = _Memory(encode_word)
 
-    def _forget(self) -> None:
-        self._index: dict[str, int] = {}
-        self._ids = np.zeros(0, np.uint32)
-        self._ends = np.zeros(1, np.int64)
+        def encode_piece(piece: str) -> bytes:
+            return b"".join([words[w] for w in _WORDS.findall(piece)])
 
-    def _learn(self, pieces: list[str]) -> None:
-        found = [e.ids for e in self._tokenizer.encode_batch_fast(pieces, add_special_tokens=False)]
-        self._index.update(zip(pieces, range(len(self._index), len(self._index) + len(pieces)), strict=True))
-        sizes = np.fromiter(map(len, found), np.int64, len(found))
-        flat = np.fromiter((i for ids in found for i in ids), np.uint32, int(sizes.sum()))
-        self._ids = np.concatenate([self._ids, flat])
-        self._ends = np.concatenate([self._ends, self._ends[-1] + np.cumsum(sizes)])
+        self._pieces = _Memory(encode_piece)
+        #: Pieces that begin with a space, by what follows it.
+        self._spaced = _Memory(lambda rest: encode_piece(" " + rest))
 
     def encode(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
         """All ids, and the number of ids of each text."""
-        if len(self._index) > REMEMBERED:
-            self._forget()
-        pieces: list[str] = []
-        counts = np.zeros(len(texts), np.int64)
-        for n, text in enumerate(texts):
-            before = len(pieces)
-            if text and _WIDE.search(text):
-                pieces += filter(None, _EDGES.split(text))
-            elif text:
+        if not self._by_pieces:
+            found = [e.ids for e in self._tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
+            return np.array([i for ids in found for i in ids], np.uint32), np.array([len(ids) for ids in found])
+        bodies = []
+        piece, spaced = self._pieces.__getitem__, self._spaced.__getitem__
+        for text in texts:
+            if "  " in text or _WIDE.search(text):
+                bodies.append(b"".join([piece(p) for p in _EDGES.split(text) if p]))
+            else:
                 first, *rest = text.split(" ")
-                if first:
-                    pieces.append(first)
-                pieces += [" " + r for r in rest]
-            counts[n] = len(pieces) - before
-        missing = [p for p in dict.fromkeys(pieces) if p not in self._index]
-        if missing:
-            self._learn(missing)
-        at = np.fromiter(map(self._index.__getitem__, pieces), np.int64, len(pieces))
-        sizes = self._ends[at + 1] - self._ends[at]
-        start = np.concatenate([[0], np.cumsum(sizes)])
-        flat = self._ids[np.repeat(self._ends[at] - start[:-1], sizes) + np.arange(start[-1])]
-        edges = start[np.concatenate([[0], np.cumsum(counts)])]
-        return flat, np.diff(edges)
+                bodies.append(piece(first) + b"".join(map(spaced, rest)))
+        sizes = np.array([len(b) // 4 for b in bodies], np.int64)
+        return np.frombuffer(b"".join(bodies), "<u4"), sizes
 
 
 def _encoder(path: str) -> PieceEncoder:
@@ -150,8 +181,10 @@ def count_ids(encoded: DataFrame) -> np.ndarray:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         total = np.zeros(0, np.int64)
         for batch in batches:
-            for n, body in zip(batch.column("n").to_pylist(), batch.column("ids").to_pylist(), strict=True):
-                found = np.bincount(_unpack(body, n))
+            sizes, bodies = batch.column("n").to_numpy(), batch.column("ids").to_pylist()
+            for low in range(0, len(sizes), 256):
+                now = slice(low, low + 256)
+                found = np.bincount(np.concatenate([_unpack(b, n) for b, n in zip(bodies[now], sizes[now], strict=True)]))
                 if len(found) > len(total):
                     total = np.concatenate([total, np.zeros(len(found) - len(total), np.int64)])
                 total[: len(found)] += found
@@ -206,7 +239,7 @@ def write_files(encoded: DataFrame, folder: str) -> DataFrame:
             files = file_of(batch.column("doc_id").cast(pa.int64()))
             low = 0
             while low < len(sizes):
-                high = low + max(1, int(np.searchsorted(np.cumsum(sizes[low:]), 1 << 19, "right")))
+                high = low + max(1, int(np.searchsorted(np.cumsum(sizes[low : low + 512]), 1 << 17, "right")))
                 ids = np.concatenate([_unpack(b, n) for b, n in zip(bodies[low:high], sizes[low:high], strict=True)])
                 whole, rest = np.divmod(sizes[low:high], BLOCK)
                 cut = np.concatenate([[BLOCK] * w + [r] * int(r > 0) for w, r in zip(whole, rest, strict=True)])
@@ -256,13 +289,18 @@ def write_files(encoded: DataFrame, folder: str) -> DataFrame:
     )
 
 
+@lru_cache(maxsize=2)
+def _codec(packed: bytes) -> Codec:
+    return Codec(np.frombuffer(zlib.decompress(packed), np.uint8))
+
+
 def read_file(path: str) -> Iterator[tuple[int | None, int, np.ndarray]]:
     """``(doc_id, start, ids)`` of each document of a file, in the order they were written."""
     with open_file(path) as stream:
         if stream.read(4) != MAGIC:
             raise ValueError(f"{path} is no token file")
         start, size = struct.unpack("<QQ", stream.read(16))
-        codec = Codec(np.frombuffer(zlib.decompress(stream.read(size)), np.uint8))
+        codec = _codec(stream.read(size))
         head = struct.Struct("<?qQQ")
         more = True
         while more:
