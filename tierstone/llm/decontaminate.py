@@ -2,10 +2,10 @@
 
 A text becomes a row of template tokens: words lower-cased and without punctuation;
 any word with a digit is a NUMBER, a unit after a number a UNIT, and a capitalised word
-that does not open a sentence a NAME. Windows of ``WINDOW`` tokens of the documents are
+that does not open a sentence, and is not all capitals, a NAME. Windows of ``WINDOW`` tokens of the documents are
 hash-joined with those of the benchmark, so a question with other numbers, names or
-units is still found. A match counts if its slots are consistent, that is, if one
-substitution of values in each direction turns the benchmark's window into the
+units is still found. A match counts if the slots of its window are consistent, that is,
+if one substitution of values in each direction turns the benchmark's window into the
 document's, and if at least half its tokens are words or all its values are equal too.
 An item shorter than a window is one window of its own length.
 
@@ -52,7 +52,7 @@ def _template(text: Column) -> Column:
     """The text with typed placeholders; its words stay as many as they were."""
     # A capital after a space that follows neither a sentence's end nor a line break.
     named = F.regexp_replace(
-        text, "(?<=[^.!?:\\x20\\x09-\\x0D]\\x20)\\p{Lu}[^\\x20\\x09-\\x0D]*", NAME
+        text, "(?<=[^.!?:\\x20\\x09-\\x0D]\\x20)\\p{Lu}(?=\\p{Ll})[^\\x20\\x09-\\x0D]*", NAME
     )
     numbered = F.when(
         F.regexp_like(text, F.lit("[0-9]")),
