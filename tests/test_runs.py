@@ -168,6 +168,54 @@ def test_modes_do_not_mix_on_one_table(spark, payloads, path):
     assert scan_silver(spark, plain.silver).count() == scan_silver(spark, kept.silver).count() == 2
 
 
+@pytest.mark.parametrize("first, second", [("append_all", "incremental"), ("incremental", "append_all")])
+@pytest.mark.parametrize("run_it", [run_batch, run_gated])
+def test_a_refused_mode_changes_nothing(spark, payloads, paths, first, second, run_it):
+    run_it(spark, payloads, paths, run_at(1), mode=first, history=False)
+    before = counts(spark, paths)
+    with pytest.raises(LoadError, match="kept by"):
+        run_it(spark, payloads, paths, run_at(2), mode=second, history=False)
+    assert counts(spark, paths) == before
+    run_it(spark, payloads, paths, run_at(3), mode=first, history=False)
+    assert counts(spark, paths)[0] == 4
+
+
+def test_a_broken_commit_is_written_again(spark, paths):
+    rows = spark.range(0, 1000, 1, 4).selectExpr("concat('{\"id\": \"', id, '\"}') AS payload")
+    build_bronze(spark, rows, paths.bronze, run_at(1), mode="incremental")
+    folder = f"{paths.bronze}/ingestion_date=2025-01-01/run_id={run_at(1).run_id}"
+    parts = sorted(name for name in os.listdir(folder) if name.startswith("part-"))
+    for name in [*parts[:3], "_SUCCESS"]:
+        os.remove(f"{folder}/{name}")
+    assert scan_bronze(spark, paths.bronze).count() < 1000
+    step = build_bronze(spark, rows, paths.bronze, run_at(1), mode="incremental")
+    assert step.status != "already done" and scan_bronze(spark, paths.bronze).count() == 1000
+
+
+@pytest.mark.parametrize("mode", ["append_all", "incremental"])
+def test_sources_of_one_clock_are_runs_of_their_own(spark, payloads, paths, mode):
+    for source in ("a/b", "a b"):
+        run = Run(datetime(2025, 1, 1, tzinfo=timezone.utc), source)
+        assert run_gated(spark, payloads, paths, run, mode=mode, history=False).completed
+    bronze = scan_bronze(spark, paths.bronze)
+    assert sorted(r.source_system for r in bronze.collect()) == ["a b", "a b", "a/b", "a/b"]
+    assert len(os.listdir(paths.raw)) == 2
+
+
+def test_a_done_run_does_not_ask_again(spark, payloads, paths):
+    run_gated(spark, payloads, paths, run_at(1), mode="incremental", history=False)
+    gone = PagedInput(StoredPages(f"{paths.root}/nowhere", per_page=50))
+    report = run_gated(spark, gone, paths, run_at(1), mode="incremental", history=False)
+    assert report.completed and counts(spark, paths)[:2] == (2, 2)
+
+
+def test_history_never_hides_a_failure(spark, payloads, paths):
+    with open(paths.history, "w", encoding="utf-8") as out:
+        out.write("a file where the folder should be")
+    with pytest.raises(ExtractionError):
+        run_gated(spark, payloads.limit(0), paths, run_at(1))
+
+
 # --- runs ---------------------------------------------------------------------
 
 
@@ -193,13 +241,13 @@ def test_gated_run_of_a_paged_source(spark, records, paths, mode):
         "probe", "extract", "bronze gate", "bronze", "silver gate", "silver", "gold gate", "gold",
     ]
     assert counts(spark, paths) == (3, 3, [2, 1])
-    raw = read_raw_lines(spark, f"{paths.raw}/run_id=20250101T010000")
-    assert sorted(json.loads(r.payload)["id"] for r in raw.collect()) == ["1", "1", "2"]
+    raw = read_raw_lines(spark, f"{paths.raw}/run_id=20250101T010000-test")
+    assert sorted(json.loads(r.payload)["id"] for r in raw.collect()) == ["k-7", "k-7", "k-8"]
     history = {
         r.layer: (r.run_id, r.rows_in, r.rows_out, r.null_rows, r.status)
         for r in scan_history(spark, paths.history).collect()
     }
-    run_id = "20250101T010000"
+    run_id = "20250101T010000-test"
     assert history["extract"] == (run_id, 3, 3, None, "ok")
     assert history["bronze"] == (run_id, 3, 3, 0, "ok")
     assert history["silver"] == (run_id, 3, 3, 0, "ok")
@@ -217,9 +265,9 @@ def test_batch_of_a_paged_source(spark, records, paths):
     fetch = store_pages(f"{paths.root}/api", *[records] * 7)
     report = run_batch(spark, PagedInput(fetch), paths, run_at(1), history=True)
     assert report.completed
-    assert counts(spark, paths) == (10, 10, [5, 5])  # five pages unless told otherwise
+    assert counts(spark, paths) == (14, 14, [7, 7])  # all pages unless told otherwise
     layers = {r.layer: r.rows_out for r in scan_history(spark, paths.history).collect()}
-    assert layers == {"extract": None, "bronze": 10, "silver": 10, "gold": 2}
+    assert layers == {"extract": None, "bronze": 14, "silver": 14, "gold": 2}
 
 
 def test_failed_page_stops_the_run(spark, records, paths):

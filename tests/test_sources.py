@@ -14,6 +14,7 @@ from tierstone.operators.paging import explode_pages, page_prefix
 from tierstone.operators.sinks import write_raw
 from tierstone.functions.records import payloads_from_list
 from tierstone.sources.paged import (
+    paged_json,
     HttpPages,
     StoredPages,
     fetch_all,
@@ -167,6 +168,8 @@ def test_page_text():
 def test_http_parameters_and_errors(path):
     fetch = HttpPages("http://host/x?", params={"page": 99, "by_type": "micro"})
     assert fetch.url(2, 50) == "http://host/x?page=2&by_type=micro&per_page=50"
+    listed = HttpPages("http://host/x", params={"a": ["1", "2"], "b": None})
+    assert listed.url(1, 5) == "http://host/x?a=1&a=2&page=1&per_page=5"
     assert HttpPages("http://host/x?k=v").url(1, 5) == "http://host/x?k=v&page=1&per_page=5"
     # file: stands in for a server; the query string is part of the file name.
     with open(f"{path}/list?page=1&per_page=2", "w", encoding="utf-8") as out:
@@ -188,6 +191,28 @@ def test_stored_pages(spark, path):
         assert page_records(fetch(2, 2)) == []
     with pytest.raises(ExtractionError):
         StoredPages(path, per_page=2)(2, 1)
+    write(f"{path}/page_number=1", "part-1.txt", '[{"id": 3}]')
+    assert len(page_records(StoredPages(path, per_page=3)(1, 3))) == 3
+    with pytest.raises(ExtractionError, match="no folder"):
+        StoredPages(f"{path}/nowhere", per_page=2)(1, 2)
+
+
+def test_all_pages_by_default(spark, path):
+    assert sorted(ids(fetch_all(spark, Answers(numbered(10)), path))) == list(range(1, 11))
+    with pytest.raises(Exception, match="lastPage"):
+        spark.dataSource.register(paged_json(Answers(numbered(1))))
+        spark.read.format("paged_json").load().collect()
+
+
+def test_a_fault_past_the_end_is_not_asked_about(spark, path):
+    pages = {**numbered(2), 4: "bug", 5: "bug"}
+    assert sorted(ids(fetch_all(spark, Answers(pages), path, max_pages=8))) == [1, 2]
+
+
+def test_fetching_reads_the_landing_once(spark, path):
+    got = fetch_all(spark, Answers(numbered(4)), path)
+    plan = got._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("Relation") == 1 and "Join" not in plan
 
 
 # --- RAW ----------------------------------------------------------------------
@@ -267,16 +292,25 @@ def test_other_record_breaks(spark, path, record_break):
         assert [json.loads(r.payload) for r in got.collect()] == records
 
 
-def test_scratch_without_a_shared_folder(spark, monkeypatch):
+def test_scratch_without_a_shared_folder(spark):
     from tierstone import session
 
     class Unset:
         class conf:
             get = staticmethod(lambda key, default: default)
 
+        sparkContext = spark.sparkContext
+
     first, second = session.shared_scratch(Unset, "a"), session.shared_scratch(Unset, "a")
     assert first != second and os.path.dirname(first) == os.path.dirname(second)
-    assert os.path.isdir(os.path.dirname(first))
+    assert first.startswith("file:") and os.path.isdir(os.path.dirname(first.removeprefix("file:")))
+
+    class Cluster(Unset):
+        class sparkContext:
+            master = "yarn"
+
+    with pytest.raises(ValueError, match="spark.checkpoint.dir"):
+        session.shared_scratch(Cluster, "a")
 
 
 @pytest.mark.parametrize(

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 from dataclasses import dataclass
 from datetime import date, datetime, timezone
 
@@ -34,8 +35,14 @@ class Run:
 
     @property
     def run_id(self) -> str:
+        """Clock and source: runs of two sources at one time are two runs."""
         micros = f"{self.ts.microsecond:06d}" if self.ts.microsecond else ""
-        return self.ts.strftime("%Y%m%dT%H%M%S") + micros
+        source = re.sub(
+            "[^A-Za-z0-9_.]",
+            lambda found: "".join(f"-{byte:02X}" for byte in found[0].encode()),
+            self.source_system or "",
+        )
+        return f"{self.ts.strftime('%Y%m%dT%H%M%S')}{micros}-{source}"
 
 
 def to_bronze(payloads: DataFrame, run: Run) -> DataFrame:

@@ -43,14 +43,14 @@ GOLD_GATE = Gate("gold", tuple(GOLD.names))
 def enforce(df: DataFrame, gate: Gate, *inputs: DataFrame) -> DataFrame:
     """``df`` itself if it passes, else ``GateError``.
 
-    Names are looked up in the schema. Rows are taken without their columns, from
-    as few partitions as hold ``min_rows``; the layer is never counted. ``inputs``
+    Names are looked up in the schema. Rows are counted without their columns, up to
+    ``min_rows``, and none reaches the driver. ``inputs``
     are asked in place of ``df`` where that is equal and cheaper: a grouped count
     has a row exactly when its input has.
     """
     require_columns(df, gate.columns, GateError)
     for rows in inputs or (df,):
-        if len(rows.select(F.lit(1)).take(gate.min_rows)) < gate.min_rows:
+        if rows.select(F.lit(1)).limit(gate.min_rows).count() < gate.min_rows:
             raise GateError(f"{gate.name} has fewer than {gate.min_rows} rows")
     return df
 

@@ -48,19 +48,40 @@ def write_bronze(bronze: DataFrame, path: str) -> None:
 def write_bronze_run(bronze: DataFrame, path: str, run: Run) -> None:
     """Write the folder of one run and no other; writing it again replaces it.
 
-    The whole run lies in one partition, which Spark moves into place when the
-    job commits. Where the file system renames a folder in one step (HDFS, ABFS,
-    a local disk) readers see all of it or nothing, which is what a repeated run
-    relies on to know that it is done.
+    The committer puts its success mark into the folder after the last file, and only
+    a folder with the mark counts as done, so a commit that broke off is written anew.
     """
-    writer = (
-        bronze.withColumn("run_id", F.lit(run.run_id))
-        .write.mode("overwrite")
-        .format("parquet")
-        .option("partitionOverwriteMode", "dynamic")
-        .partitionBy(*BRONZE_PARTITIONS, "run_id")
-    )
-    _save(writer, path, "Bronze")
+    writer = bronze.drop(*BRONZE_PARTITIONS).write.mode("overwrite").format("parquet")
+    writer = writer.option("mapreduce.fileoutputcommitter.marksuccessfuljobs", "true")
+    _save(writer, bronze_run_path(path, run), "Bronze")
+
+
+def bronze_run_path(path: str, run: Run) -> str:
+    return f"{path.rstrip('/')}/ingestion_date={run.date.isoformat()}/run_id={run.run_id}"
+
+
+def bronze_run_is_done(spark: SparkSession, path: str, run: Run) -> bool:
+    """Whether the folder of the run is there, whole: its success mark is written last."""
+    return path_exists(spark, f"{bronze_run_path(path, run)}/_SUCCESS")
+
+
+def bronze_mode(spark: SparkSession, path: str) -> str | None:
+    """How Bronze at a path is kept: by plain or by incremental runs; None if there is none."""
+    if not path_exists(spark, path):
+        return None
+    hadoop = spark.sparkContext._jvm.org.apache.hadoop.fs
+    folder = hadoop.Path(path)
+    files = folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    for day in files.listStatus(folder):
+        if not day.getPath().getName().startswith("ingestion_date="):
+            continue
+        for found in files.listStatus(day.getPath()):
+            name = found.getPath().getName()
+            if name.startswith("run_id="):
+                return "incremental"
+            if not name.startswith(("_", ".")):
+                return "append_all"
+    return None
 
 
 def balance_silver(silver: DataFrame, partitions: int | None = None) -> DataFrame:
@@ -82,11 +103,12 @@ def has_sink_log(spark: SparkSession, path: str) -> bool:
     return path_exists(spark, f"{path.rstrip('/')}/_spark_metadata")
 
 
-def write_silver(silver: DataFrame, path: str) -> None:
+def write_silver(silver: DataFrame, path: str, partitions: int | None = None) -> None:
     """Append, partitioned by country and state; see ``balance_silver``."""
     if has_sink_log(silver.sparkSession, path):
         raise LoadError(f"Silver in {path} is kept by incremental runs; an append would not show")
-    writer = silver.write.mode("append").format("parquet").partitionBy(*SILVER_PARTITIONS)
+    balanced = balance_silver(silver, partitions)
+    writer = balanced.write.mode("append").format("parquet").partitionBy(*SILVER_PARTITIONS)
     _save(writer, path, "Silver")
 
 

@@ -3,11 +3,13 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from contextlib import suppress
 from datetime import datetime, timedelta, timezone
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from ..errors import ExtractionError
 from ..functions.records import conform, parse_payload, payload_rows, to_payload, typed_records
 from ..operators import gates
 from ..operators.bronze import Run, to_bronze
@@ -16,14 +18,13 @@ from ..operators.history import scan_history
 from ..operators.paging import explode_pages, page_prefix
 from ..operators.silver import all_null, to_silver
 from ..operators.sinks import (
-    balance_silver,
     write_bronze,
     write_gold,
     write_raw,
     write_silver,
 )
 from ..schemas import GOLD_KEYS, SILVER_FIELDS
-from ..session import shared_scratch
+from ..session import path_exists, shared_scratch
 from ..sources.layers import scan_bronze, scan_gold, scan_silver, stored
 from ..sources.paged import StoredPages, fetch_all
 from ..sources.raw import read_raw_arrays, read_raw_lines
@@ -140,7 +141,7 @@ def bronze_fields(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def silver_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = shared_scratch(spark, "silver_roundtrip")
-    write_silver(balance_silver(to_silver(_customer_bronze(spark, sf_dir))), path)
+    write_silver(to_silver(_customer_bronze(spark, sf_dir)), path)
     return _stamped(scan_silver(spark, path))
 
 
@@ -276,6 +277,7 @@ def gate_report(spark: SparkSession, sf_dir: str) -> DataFrame:
     return (
         gates.report(bronze, gates.BRONZE_GATE)
         .union(gates.report(silver, gates.SILVER_GATE))
+        .union(gates.report(silver.drop("phone"), gates.Gate("silver without phone", ("id", "phone"))))
         .union(gates.report(to_gold(silver), gates.GOLD_GATE))
     )
 
@@ -319,6 +321,41 @@ def rerun_incremental(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scan_gold(spark, paths.gold)
 
 
+def rerun_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Gold after runs of two sources at one clock, the first of them repeated."""
+    paths = LayerPaths(shared_scratch(spark, "rerun_sources"))
+    payloads = clean_payloads(customer_records(spark, sf_dir))
+    for source in ("sample", "other", "sample"):
+        run_gated(spark, payloads, paths, Run(RUN.ts, source), mode="incremental", history=False)
+    return scan_gold(spark, paths.gold)
+
+
+def gold_order(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """How many neighbours in stored Gold are out of order, within and between its files."""
+    path = shared_scratch(spark, "gold_order")
+    write_gold(_narrow_gold(clean_payloads(customer_records(spark, sf_dir))), path)
+    # Rows of Gold are few: its groups. Files are numbered in the order they were sorted.
+    place = (F.col("_metadata.file_name"), F.col("_metadata.file_block_start"), F.monotonically_increasing_id())
+    before = F.lag("num_breweries").over(Window.orderBy("file", "block", "row"))
+    rows = spark.read.parquet(path).select(
+        "num_breweries", *(c.alias(n) for c, n in zip(place, ("file", "block", "row"), strict=True))
+    )
+    wrong = F.count_if(F.col("before") < F.col("num_breweries"))
+    return rows.withColumn("before", before).agg(wrong.alias("out_of_order"))
+
+
+def empty_run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What runs without gates and with them leave behind when the source has no record."""
+    payloads = clean_payloads(customer_records(spark, sf_dir)).where("payload IS NULL")
+    paths = LayerPaths(shared_scratch(spark, "empty_run"))
+    run_batch(spark, payloads, paths, RUN, history=True)
+    with suppress(ExtractionError):
+        run_gated(spark, payloads, paths, RUN)
+    return scan_history(spark, paths.history).select(
+        "layer", "status", F.lit(path_exists(spark, paths.bronze)).alias("wrote_bronze")
+    )
+
+
 def _gated(spark: SparkSession, payloads: DataFrame, label: str) -> LayerPaths:
     paths = LayerPaths(shared_scratch(spark, label))
     run_gated(spark, payloads, paths, RUN)
@@ -373,6 +410,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "layer_counts": layer_counts,
     "rerun_append": rerun_append,
     "rerun_incremental": rerun_incremental,
+    "rerun_sources": rerun_sources,
+    "gold_order": gold_order,
+    "empty_run": empty_run,
     "gated_run": gated_run,
     "gated_lineitems": gated_lineitems,
     "run_history": run_history,

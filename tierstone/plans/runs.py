@@ -15,7 +15,7 @@ The two lay out Bronze and Silver differently, so each needs paths of its own.
 from __future__ import annotations
 
 from collections.abc import Iterator
-from contextlib import contextmanager
+from contextlib import contextmanager, suppress
 from dataclasses import dataclass, field
 from typing import Literal
 
@@ -28,22 +28,19 @@ from ..operators.gold import to_gold
 from ..operators.history import Step, append_history, counting, recorded
 from ..operators.silver import all_null, to_silver
 from ..operators.sinks import (
-    balance_silver,
+    bronze_mode,
+    bronze_run_is_done,
+    has_sink_log,
     write_bronze,
     write_bronze_run,
     write_gold,
     write_raw,
     write_silver,
 )
-from ..schemas import BRONZE, GOLD_COUNT
+from ..errors import LoadError
+from ..schemas import GOLD_COUNT, SILVER
 from ..sources.layers import scan_bronze, scan_silver, stored
-from ..sources.paged import (
-    DEFAULT_MAX_PAGES,
-    DEFAULT_PER_PAGE,
-    Fetcher,
-    fetch_all,
-    probe_pages,
-)
+from ..sources.paged import DEFAULT_PER_PAGE, Fetcher, fetch_all, probe_pages
 from ..sources.raw import read_raw_lines
 from ..streaming.incremental import follow_bronze
 
@@ -75,7 +72,7 @@ class PagedInput:
 
     fetch: Fetcher
     per_page: int = DEFAULT_PER_PAGE
-    max_pages: int | None = DEFAULT_MAX_PAGES
+    max_pages: int | None = None
 
 
 @dataclass
@@ -104,21 +101,20 @@ def extract(
 
 def build_bronze(
     spark: SparkSession,
-    payloads: DataFrame,
+    payloads: DataFrame | None,
     path: str,
     run: Run,
     *,
     mode: Mode = "append_all",
     step: Step | None = None,
 ) -> Step:
-    """``payload`` rows -> Bronze on disk."""
+    """``payload`` rows -> Bronze on disk; none are needed for a run that it holds."""
     step = step or Step(run.run_id, "bronze")
-    bronze = to_bronze(payloads, run)
     if mode == "incremental":
-        folder = f"{path}/ingestion_date={run.date.isoformat()}/run_id={run.run_id}"
-        if not stored(spark, folder, BRONZE).isEmpty():
+        if bronze_run_is_done(spark, path, run):
             step.status = "already done"
             return step
+    bronze = to_bronze(payloads, run)
     counted, fill = counting(bronze, step, null_rows=F.count_if(F.col("payload").isNull()))
     if mode == "incremental":
         write_bronze_run(counted, path, run)
@@ -153,9 +149,8 @@ def build_silver(
         return step
     if bronze is None:
         bronze = scan_bronze(spark, paths.bronze)
-    silver = balance_silver(to_silver(bronze), partitions)
-    counted, fill = counting(silver, step, null_rows=F.count_if(all_null()))
-    write_silver(counted, paths.silver)
+    counted, fill = counting(to_silver(bronze), step, null_rows=F.count_if(all_null()))
+    write_silver(counted, paths.silver, partitions)
     fill()
     return step
 
@@ -184,11 +179,29 @@ def build_gold(
 
 @contextmanager
 def _history(spark: SparkSession, report: RunReport, path: str, keep: bool) -> Iterator[None]:
+    """Write the history at the end; a fault there never hides the run's own."""
     try:
         yield
-    finally:
+    except BaseException:
         if keep:
-            append_history(spark, report.steps, path)
+            with suppress(LoadError):
+                append_history(spark, report.steps, path)
+        raise
+    if keep:
+        append_history(spark, report.steps, path)
+
+
+def _refuse_mixed(spark: SparkSession, paths: LayerPaths, mode: Mode) -> None:
+    """Fail before the first write where stored layers are kept by the other mode."""
+    other = "plain" if mode == "incremental" else "incremental"
+    kept = bronze_mode(spark, paths.bronze)
+    if kept is not None and kept != mode:
+        raise LoadError(f"Bronze in {paths.bronze} is kept by {other} runs")
+    followed = has_sink_log(spark, paths.silver)
+    if followed if mode == "append_all" else (
+        not followed and not stored(spark, paths.silver, SILVER).isEmpty()
+    ):
+        raise LoadError(f"Silver in {paths.silver} is kept by {other} runs")
 
 
 def run_batch(
@@ -206,10 +219,14 @@ def run_batch(
     A source without records ends the run early: nothing is written and nothing fails.
     """
     report = RunReport(run.run_id)
+    _refuse_mixed(spark, paths, mode)
+    done = mode == "incremental" and bronze_run_is_done(spark, paths.bronze, run)
     with _history(spark, report, paths.history, history):
         with recorded(report.steps, run.run_id, "extract") as step:
-            payloads = extract(spark, source, paths, run)
-            if payloads.isEmpty():
+            # A run that Bronze holds is not asked for again.
+            payloads = None if done else extract(spark, source, paths, run)
+            step.status = "already done" if done else step.status
+            if payloads is not None and payloads.isEmpty():
                 step.status = "empty"
                 return report
         with recorded(report.steps, run.run_id, "bronze") as step:
@@ -239,19 +256,23 @@ def run_gated(
     by fetching one. So no layer is built twice.
     """
     report = RunReport(run.run_id)
+    _refuse_mixed(spark, paths, mode)
+    done = mode == "incremental" and bronze_run_is_done(spark, paths.bronze, run)
     with _history(spark, report, paths.history, history):
-        with recorded(report.steps, run.run_id, "probe"):
-            if isinstance(source, PagedInput):
-                probe_pages(spark, source.fetch)
-            else:
-                gates.probe(source)
-        with recorded(report.steps, run.run_id, "extract") as step:
-            counted, fill = counting(extract(spark, source, paths, run), step)
-            raw = write_raw(counted, paths.raw, run.run_id)
-            fill()
-        payloads = read_raw_lines(spark, raw)
-        with recorded(report.steps, run.run_id, "bronze gate"):
-            gates.enforce(to_bronze(payloads, run), gates.BRONZE_GATE)
+        payloads = None
+        if not done:  # a run that Bronze holds is not asked for again
+            with recorded(report.steps, run.run_id, "probe"):
+                if isinstance(source, PagedInput):
+                    probe_pages(spark, source.fetch)
+                else:
+                    gates.probe(source)
+            with recorded(report.steps, run.run_id, "extract") as step:
+                counted, fill = counting(extract(spark, source, paths, run), step)
+                raw = write_raw(counted, paths.raw, run.run_id)
+                fill()
+            payloads = read_raw_lines(spark, raw)
+            with recorded(report.steps, run.run_id, "bronze gate"):
+                gates.enforce(to_bronze(payloads, run), gates.BRONZE_GATE)
         with recorded(report.steps, run.run_id, "bronze") as step:
             build_bronze(spark, payloads, paths.bronze, run, mode=mode, step=step)
         with recorded(report.steps, run.run_id, "silver gate"):

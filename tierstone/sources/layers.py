@@ -2,21 +2,18 @@
 
 from __future__ import annotations
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.types import StructType
 
 from ..schemas import BRONZE, GOLD, SILVER
+from ..session import path_exists
 
 
 def stored(spark: SparkSession, path: str, schema: StructType | str) -> DataFrame:
     """A Parquet table. A path that was never written reads as a table without rows."""
-    try:
+    if path_exists(spark, path):
         return spark.read.schema(schema).parquet(path)
-    except AnalysisException as exc:
-        if exc.getCondition() != "PATH_NOT_FOUND":
-            raise
-        return spark.createDataFrame([], schema)
+    return spark.createDataFrame([], schema)
 
 
 def scan_bronze(spark: SparkSession, path: str) -> DataFrame:

@@ -9,20 +9,19 @@ from __future__ import annotations
 
 import http.client
 import json
-import sys
 import urllib.parse
 import urllib.request
 from collections.abc import Callable, Iterator, Mapping
 from dataclasses import dataclass, field
 from typing import Any
 
-from pyspark import cloudpickle
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.datasource import DataSource, DataSourceReader, InputPartition
 
 from ..errors import ApiResponseError, ExtractionError
-from ..operators.paging import explode_pages, page_prefix
+from ..operators.paging import explode_pages
+from ..session import ship_package
 from .layers import stored
 
 Fetcher = Callable[[int, int], str]
@@ -31,7 +30,6 @@ PAGES_DDL = (
     "page_number BIGINT, n_records INT, records ARRAY<STRING>, error_class STRING, error STRING"
 )
 DEFAULT_PER_PAGE = 50
-DEFAULT_MAX_PAGES = 5
 
 
 def page_records(text: str) -> list[str]:
@@ -47,7 +45,10 @@ def page_records(text: str) -> list[str]:
 
 @dataclass(frozen=True)
 class HttpPages:
-    """Pages of an HTTP endpoint. The two page parameters override ``params``."""
+    """Pages of an HTTP endpoint. The two page parameters override ``params``.
+
+    A list among ``params`` becomes a repeated key; ``None`` is left out.
+    """
 
     endpoint: str
     page_param: str = "page"
@@ -57,13 +58,10 @@ class HttpPages:
     headers: Mapping[str, str] = field(default_factory=dict)
 
     def url(self, page_number: int, per_page: int) -> str:
-        query = {
-            **self.params,
-            self.page_param: page_number,
-            self.per_page_param: per_page,
-        }
+        given = {**self.params, self.page_param: page_number, self.per_page_param: per_page}
+        query = {key: value for key, value in given.items() if value is not None}
         base = self.endpoint.rstrip("?")
-        return f"{base}{'&' if '?' in base else '?'}{urllib.parse.urlencode(query)}"
+        return f"{base}{'&' if '?' in base else '?'}{urllib.parse.urlencode(query, doseq=True)}"
 
     def __call__(self, page_number: int, per_page: int) -> str:
         request = urllib.request.Request(
@@ -82,10 +80,11 @@ class HttpPages:
 
 @dataclass(frozen=True)
 class StoredPages:
-    """Pages kept as ``<root>/page_number=<n>/*.txt``, one JSON array each.
+    """Pages kept as ``<root>/page_number=<n>/*.txt``, JSON arrays that join to the page.
 
     ``root`` may be any URI pyarrow can open, so it works on shared storage. A
-    page that is not there is empty, as past the end of an API. Pages were cut
+    page that is not there is empty, as past the end of an API; a root that is not
+    there is a failure. Pages were cut
     when written: a smaller ``per_page`` only makes sense for the first one.
     """
 
@@ -105,15 +104,18 @@ class StoredPages:
         try:
             listed = files.get_file_info(fs.FileSelector(where, allow_not_found=True))
             names = sorted(info.path for info in listed if info.path.endswith(".txt"))
-            text = "[]"
-            if names:
-                with files.open_input_stream(names[0]) as stream:
-                    text = stream.read().decode("utf-8")
+            if not names and files.get_file_info(where.rpartition("/")[0]).type != fs.FileType.Directory:
+                raise ExtractionError(f"{self.root} is no folder")
+            texts = []
+            for name in names:
+                with files.open_input_stream(name) as stream:
+                    texts.append(stream.read().decode("utf-8"))
         except OSError as exc:
             raise ExtractionError(f"page {page_number} of {self.root}: {exc}") from exc
-        if per_page < self.per_page:
-            text = json.dumps(json.loads(text)[:per_page], ensure_ascii=False)
-        return text
+        if len(texts) == 1 and per_page == self.per_page:
+            return texts[0]
+        records = [record for text in texts for record in page_records(text)]
+        return "[" + ", ".join(records[:per_page] if per_page < self.per_page else records) + "]"
 
 
 @dataclass
@@ -126,7 +128,9 @@ class PagedJsonReader(DataSourceReader):
     def __init__(self, fetch: Fetcher, options: Mapping[str, str]) -> None:
         self.fetch = fetch
         self.first = int(options.get("firstPage", 1))
-        self.last = int(options.get("lastPage", DEFAULT_MAX_PAGES))
+        if options.get("lastPage") is None:
+            raise ValueError("paged_json needs the option lastPage")
+        self.last = int(options["lastPage"])
         self.per_page = int(options.get("perPage", DEFAULT_PER_PAGE))
         self.pages_per_task = int(options.get("pagesPerTask", 1))
 
@@ -139,8 +143,10 @@ class PagedJsonReader(DataSourceReader):
         for page_number in range(partition.first, partition.last + 1):
             try:
                 records = page_records(self.fetch(page_number, self.per_page))
-            except ExtractionError as exc:
-                yield (page_number, None, None, type(exc).__name__, str(exc))
+            except Exception as exc:  # a fault past the end of the source must not end the job
+                kind = type(exc).__name__
+                said = str(exc) if isinstance(exc, ExtractionError) else f"{kind}: {exc}"
+                yield (page_number, None, None, kind, said)
                 return
             yield (page_number, len(records), records, None, None)
             if not records:
@@ -150,7 +156,7 @@ class PagedJsonReader(DataSourceReader):
 class PagedJson(DataSource):
     """Format ``paged_json``: one row per page, with its records or its error.
 
-    Options: ``firstPage``, ``lastPage``, ``perPage``, ``pagesPerTask``.
+    Options: ``lastPage`` (required), ``firstPage``, ``perPage``, ``pagesPerTask``.
     """
 
     fetch: Fetcher
@@ -168,8 +174,6 @@ class PagedJson(DataSource):
 
 def paged_json(fetch: Fetcher) -> type[PagedJson]:
     """The data source for one fetcher, ready for ``spark.dataSource.register``."""
-    # Shipped by value, so executors need no copy of this package.
-    cloudpickle.register_pickle_by_value(sys.modules[__name__.split(".")[0]])
     return type("BoundPagedJson", (PagedJson,), {"fetch": staticmethod(fetch)})
 
 
@@ -183,6 +187,7 @@ def read_pages(
     pages_per_task: int = 1,
 ) -> DataFrame:
     """Pages ``first`` to ``last``. Each action on the result fetches them again."""
+    ship_package(spark)
     spark.dataSource.register(paged_json(fetch))
     return (
         spark.read.format("paged_json")
@@ -197,20 +202,22 @@ def land_pages(
     path: str,
     *,
     per_page: int = DEFAULT_PER_PAGE,
-    max_pages: int | None = DEFAULT_MAX_PAGES,
-    largest_wave: int = 65_536,
+    max_pages: int | None = None,
+    largest_wave: int | None = None,
 ) -> DataFrame:
-    """Fetch pages into a table at ``path``, each at most once, and read it back.
-
-    Waves of pages, each twice the one before up to ``largest_wave``, are written
-    until one holds the end of the source or ``max_pages`` is reached. The only
-    thing the driver learns of a wave is its first empty and first failed page,
-    observed while it is written. A failed page raises only if it comes before
-    the first empty one: later pages would never have been asked for.
+    """Fetch pages into a table at ``path``, each at most once; the pages that count.
+
+    Waves of pages, each twice the one before up to ``largest_wave`` (by default a
+    thousand pages for each slot), are written until one holds the end of the source
+    or ``max_pages`` is reached. The only thing the driver learns of a wave is its
+    first empty and first failed page, observed while it is written. A failed page
+    raises only if it comes before the first empty one: later pages would never have
+    been asked for.
     """
     slots = spark.sparkContext.defaultParallelism
-    first, wave = 1, min(4 * slots, largest_wave)
-    while max_pages is None or first <= max_pages:
+    largest_wave = largest_wave or 1000 * slots
+    first, wave, end = 1, min(4 * slots, largest_wave), None
+    while end is None and (max_pages is None or first <= max_pages):
         last = first + wave - 1 if max_pages is None else min(first + wave - 1, max_pages)
         per_task = -(-(last - first + 1) // (4 * slots))
         seen = Observation()
@@ -228,10 +235,9 @@ def land_pages(
         end, failure = seen.get["empty"], json.loads(seen.get["failed"] or "null")
         if failure and (end is None or failure["page_number"] < end):
             raise _failure(failure)
-        if end is not None:
-            break
         first, wave = last + 1, min(2 * wave, largest_wave)
-    return stored(spark, path, PAGES_DDL)
+    pages = stored(spark, path, PAGES_DDL)
+    return pages.where(F.col("page_number") < (first if end is None else end))
 
 
 def fetch_all(
@@ -240,11 +246,15 @@ def fetch_all(
     landing: str,
     *,
     per_page: int = DEFAULT_PER_PAGE,
-    max_pages: int | None = DEFAULT_MAX_PAGES,
+    max_pages: int | None = None,
 ) -> DataFrame:
-    """All records of the source as ``payload`` rows, by way of the table at ``landing``."""
-    pages = land_pages(spark, fetch, landing, per_page=per_page, max_pages=max_pages)
-    return explode_pages(page_prefix(pages, max_pages))
+    """All records of the source as ``payload`` rows, by way of the table at ``landing``.
+
+    The waves have found the end of the source, so this is one scan of the landing.
+    """
+    return explode_pages(
+        land_pages(spark, fetch, landing, per_page=per_page, max_pages=max_pages)
+    )
 
 
 def probe_pages(spark: SparkSession, fetch: Fetcher) -> None:
