@@ -1,7 +1,7 @@
 """Suffix-array dedup: bytes of strings that begin more than once anywhere in the corpus.
 
-A suffix here is a text from some byte on, read by tokens of half a match; two suffixes
-with the same two leading tokens share ``match`` bytes. Suffixes are range-partitioned
+A suffix here is a text from some byte on; its leading tokens are its first and last
+bytes of ``match``, overlapping. Two suffixes with equal ones share ``match`` bytes. Suffixes are range-partitioned
 by their leading tokens with sampled splitters, sorted in each bucket by multikey
 quicksort, and compared with their neighbours; the ends of the buckets are compared
 across boundaries, so one string with a third of all places may spread over many.
@@ -12,8 +12,9 @@ Most suffixes never need to be sorted (``suffix_spans``):
    without a second one anywhere rule out all their strings.
 2. Segments of at least ``match`` bytes between anchors, or the ends of a text, that
    occur again are removed whole. Both are counted by fingerprint over all texts.
-3. What is left are the strings around the edges of repeated passages: all that share an
-   anchor with one that segments do not cover are sorted as above, in every text.
+3. What is left are strings around the edges of repeated passages that segments do not
+   cover. They are sorted as above, along with those at the same places around the same
+   anchors in every other text.
 
 Equal texts are worked on once; a text is known by its hash and size. Bloom filters of
 a bounded size keep texts and fingerprints without a partner out of the shuffles.
@@ -40,7 +41,7 @@ from pyspark.sql import functions as F
 from ..session import shared_scratch
 from . import bloom
 from . import textbytes as tb
-from .suffix_spans import Spans, union_spans
+from .suffix_spans import Spans, token_bytes, union_spans
 
 MATCH = 400
 BUCKET_ROWS = 1 << 19
@@ -56,7 +57,7 @@ def _texts(docs: DataFrame) -> DataFrame:
 
 
 def marks(texts: DataFrame, match: int, known: bloom.BloomFilter | None = None) -> DataFrame:
-    """``mark, kind, low, high, text_hash, text_bytes``: every anchor and segment of each text,
+    """``mark, kind, low, high, at, text_hash, text_bytes``: every anchor and segment of each text,
     or those that ``known`` may hold."""
     shared = texts.sparkSession.sparkContext.broadcast(known)
 
@@ -77,81 +78,121 @@ def marks(texts: DataFrame, match: int, known: bloom.BloomFilter | None = None)
                         pa.array(found), *(pa.array(p.astype(np.int32)) for p in place),
                         batch.column("text_hash").take(at), batch.column("text_bytes").take(at),
                     ],
-                    ["mark", "kind", "low", "high", *KEY],
+                    ["mark", "kind", "low", "high", "at", *KEY],
                 )
 
     long = texts.where(F.col("text_bytes") >= match).select("text", *KEY)
-    return long.mapInArrow(run, f"mark bigint, kind int, low int, high int, {_KEY_TYPE}")
+    return long.mapInArrow(run, f"mark bigint, kind int, low int, high int, at int, {_KEY_TYPE}")
+
+
+_ANCHOR = ["mark", "low", "high", "at", "open_low", "open_high"]
 
 
 def sure_spans(places: DataFrame, match: int) -> DataFrame:
-    """From the repeated marks ``places`` of each text: the spans that are sure to go, and the
-    anchors that have strings with bytes outside of them."""
+    """From the repeated marks ``places`` of each text: the spans that are sure to go, and its
+    anchors with the range of their starts that have bytes outside of them (-1: none)."""
+    spans = [pa.int32(), pa.int32(), pa.int64(), *[pa.int32()] * 5]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             found = batch.column("places")
-            values = found.values.flatten()
-            mark, kind, low, high = (v.to_numpy(zero_copy_only=False) for v in values)
+            mark, kind, low, high, at = (v.to_numpy(zero_copy_only=False) for v in found.values.flatten())
             ends = found.offsets.to_numpy().astype(np.int64)
             sizes = batch.column("text_bytes").to_numpy()
-            out: list[list[np.ndarray]] = [[], [], []]
+            out: list[list[np.ndarray]] = [[] for _ in spans]
             for n, size in enumerate(sizes):
                 own = slice(ends[n], ends[n + 1])
                 segment = kind[own] == 1
                 opens, closes, outside = union_spans(low[own][segment], high[own][segment], int(size))
-                first, last = low[own][~segment], high[own][~segment]
-                left = outside[last + match] - outside[first]
-                for column, part in zip(out, (opens, closes, np.unique(mark[own][~segment][left > 0])), strict=True):
+                anchor = [v[own][~segment] for v in (mark, low, high, at)]
+                first, last = anchor[1].astype(np.int64), anchor[2].astype(np.int64)
+                # The starts of an anchor whose strings reach a byte outside are found by
+                # counting: the next such byte after a start, the last one before an end.
+                places_out = np.flatnonzero(np.diff(outside))
+                after = np.append(places_out, size + match)[np.searchsorted(places_out, first)]
+                before = np.append(-match, places_out)[np.searchsorted(places_out, last + match)]
+                open_low, open_high = np.maximum(first, after - match + 1), np.minimum(last, before)
+                is_open = (after < last + match) & (before >= first)
+                anchor += [np.where(is_open, open_low, -1), np.where(is_open, open_high, -1)]
+                for column, part in zip(out, (opens, closes, *anchor), strict=True):
                     column.append(part)
             lists = [
                 pa.ListArray.from_arrays(
                     pa.array(np.cumsum([0, *map(len, column)]), pa.int32()),
                     pa.array(np.concatenate([np.zeros(0, np.int64), *column]), kind),
                 )
-                for column, kind in zip(out, (pa.int32(), pa.int32(), pa.int64()), strict=True)
+                for column, kind in zip(out, spans, strict=True)
             ]
             yield pa.RecordBatch.from_arrays(
-                [batch.column("text_hash"), batch.column("text_bytes"), *lists], [*KEY, "opens", "closes", "anchors"]
+                [batch.column("text_hash"), batch.column("text_bytes"), *lists], [*KEY, "opens", "closes", *_ANCHOR]
             )
 
-    grouped = places.groupBy(*KEY).agg(F.collect_list(F.struct("mark", "kind", "low", "high")).alias("places"))
-    return grouped.mapInArrow(run, f"{_KEY_TYPE}, opens array<int>, closes array<int>, anchors array<bigint>")
+    grouped = places.groupBy(*KEY).agg(F.collect_set(F.struct("mark", "kind", "low", "high", "at")).alias("places"))
+    lists = ", ".join(f"{c} array<{'bigint' if c == 'mark' else 'int'}>" for c in ["opens", "closes", *_ANCHOR])
+    return grouped.mapInArrow(run, f"{_KEY_TYPE}, {lists}")
+
+
+def asked_ranges(sure: DataFrame) -> DataFrame:
+    """Per text the ranges of starts to sort: those as far before their anchor as an open
+    start of that anchor is in any text. ``open_low, open_high``: which are open here."""
+    anchors = sure.select(*KEY, F.explode(F.arrays_zip(*_ANCHOR)).alias("x")).select(*KEY, "x.*")
+    asked = (
+        anchors.where("open_low >= 0")
+        .groupBy("mark")
+        .agg(F.min(F.col("at") - F.col("open_high")).alias("near"), F.max(F.col("at") - F.col("open_low")).alias("far"))
+    )
+    low = F.greatest("low", F.col("at") - F.col("far")).alias("low")
+    high = F.least("high", F.col("at") - F.col("near")).alias("high")
+    return (
+        anchors.join(asked, "mark")
+        .select(*KEY, low, high, "open_low", "open_high")
+        .where("low <= high")
+        .groupBy(*KEY)
+        .agg(F.collect_list(F.struct("low", "high", "open_low", "open_high")).alias("ranges"))
+    )
 
 
 def leading_tokens(texts: DataFrame, match: int) -> DataFrame:
-    """From rows ``text, ranges`` (of starts): ``text_hash, text_bytes, starts, first, second``
-    with two leading tokens of each suffix."""
+    """From rows ``text, ranges``: each suffix with its two tokens, and whether it is open.
+
+    One that is not open only serves to show that another is a repeat, so of equal ones in
+    a piece one is enough.
+    """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        token = token_bytes(match)
         for batch in batches:
             data, offsets = tb.text_arrays(batch.column("text"))
             ranges = batch.column("ranges")
-            low, high = (v.to_numpy(zero_copy_only=False).astype(np.int64) for v in ranges.values.flatten())
+            low, high, open_low, open_high = (
+                v.to_numpy(zero_copy_only=False).astype(np.int64) for v in ranges.values.flatten()
+            )
             ends = ranges.offsets.to_numpy().astype(np.int64)
-            half = match // 2
             for first, until, part, row_ends in tb.pieces(data, offsets):
                 own = slice(ends[first], ends[until])
                 rows = np.repeat(np.arange(until - first), np.diff(ends[first : until + 1]))
                 n = high[own] - low[own] + 1
-                step = np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n)
-                start, row = np.repeat(low[own], n) + step, np.repeat(rows, n)
-                grams = tb.SpanHash(part).windows(half)
+                start = np.repeat(low[own] - np.cumsum(n) + n, n) + np.arange(n.sum())
+                row = np.repeat(rows, n)
+                is_open = (start >= np.repeat(open_low[own], n)) & (start <= np.repeat(open_high[own], n))
+                grams = tb.SpanHash(part).windows(token)
                 at = start + row_ends[row]
-                offset = pa.array(np.concatenate([[0], np.cumsum(np.bincount(row, minlength=until - first))]), pa.int32())
-                second = (grams[at + match - half] >> np.uint64(32)).astype(np.uint32)
-                columns = (start.astype(np.int32), grams[at].view(np.int64), second.view(np.int32))
+                lead, last = grams[at], (grams[at + match - token] >> np.uint64(32)).astype(np.uint32)
+                closed = np.flatnonzero(~is_open)
+                both = tb.mix(lead[closed]) + last[closed]
+                keep = np.concatenate([np.flatnonzero(is_open), closed[np.unique(both, return_index=True)[1]]])
+                keep.sort()
+                rows_kept = pa.array(row[keep] + first)
                 yield pa.RecordBatch.from_arrays(
                     [
-                        batch.column("text_hash").slice(first, until - first),
-                        batch.column("text_bytes").slice(first, until - first),
-                        *(pa.ListArray.from_arrays(offset, pa.array(c)) for c in columns),
+                        batch.column("text_hash").take(rows_kept), batch.column("text_bytes").take(rows_kept),
+                        pa.array(start[keep].astype(np.int32)), pa.array(lead[keep].view(np.int64)),
+                        pa.array(last[keep].view(np.int32)), pa.array(is_open[keep]),
                     ],
-                    [*KEY, "starts", "first", "second"],
-                )
+                    [*KEY, "start", "first", "second", "open"],
+                )
 
-    schema = f"{_KEY_TYPE}, starts array<int>, first array<bigint>, second array<int>"
-    return texts.mapInArrow(run, schema)
+    return texts.mapInArrow(run, f"{_KEY_TYPE}, start int, first bigint, second int, open boolean")
 
 
 def multikey_order(keys: list[np.ndarray]) -> np.ndarray:
@@ -171,13 +212,13 @@ def multikey_order(keys: list[np.ndarray]) -> np.ndarray:
 
 
 def repeated_suffixes(suffixes: DataFrame, n_rows: int) -> DataFrame:
-    """``text_hash, text_bytes, start`` of the suffixes that share both tokens with another."""
+    """``text_hash, text_bytes, start`` of the open suffixes that share both tokens with another."""
     spark = suffixes.sparkSession
     path = shared_scratch(spark, "suffix_buckets")
     n_buckets = max(int(spark.conf.get("spark.sql.shuffle.partitions")), -(-n_rows // BUCKET_ROWS))
     schema = pa.schema(
         [("text_hash", "int64"), ("text_bytes", "int32"), ("start", "int32"), ("first", "int64"),
-         ("second", "int32"), ("bucket", "int32"), ("edge", "int32")]
+         ("second", "int32"), ("open", "bool"), ("bucket", "int32"), ("edge", "int32")]
     )
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -191,17 +232,18 @@ def repeated_suffixes(suffixes: DataFrame, n_rows: int) -> DataFrame:
         same = (f[1:] == f[:-1]) & (s[1:] == s[:-1])
         many = np.append(same, False) | np.insert(same, 0, False)
         # The ends of the bucket go along for the comparison with its neighbours.
-        pick = np.union1d(np.flatnonzero(many), [0, len(order) - 1])
+        is_open = table.column("open").to_numpy()[order]
+        pick = np.union1d(np.flatnonzero(many & is_open), [0, len(order) - 1])
         edge = (~many).astype(np.int32)[pick]
         at = pa.array(order[pick])
         bucket = np.where(np.isin(pick, [0, len(order) - 1]), TaskContext.get().partitionId(), -1)
-        columns = [table.column(c).combine_chunks().take(at) for c in schema.names[:5]]
+        columns = [table.column(c).combine_chunks().take(at) for c in schema.names[:6]]
         out = pa.Table.from_arrays([*columns, pa.array(bucket.astype(np.int32)), pa.array(edge)], schema=schema)
         yield from out.to_batches()
 
     (
         suffixes.repartitionByRange(n_buckets, "first", "second", *KEY, "start")
-        .mapInArrow(run, f"{_KEY_TYPE}, start int, first bigint, second int, bucket int, edge int")
+        .mapInArrow(run, f"{_KEY_TYPE}, start int, first bigint, second int, open boolean, bucket int, edge int")
         .write.parquet(path)
     )
     found = spark.read.parquet(path)
@@ -212,8 +254,8 @@ def repeated_suffixes(suffixes: DataFrame, n_rows: int) -> DataFrame:
     for near in (F.lag, F.lead):
         equal = (near("first").over(order) == F.col("first")) & (near("second").over(order) == F.col("second"))
         same = same | F.coalesce(equal, F.lit(False))
-    across = ends.withColumn("same", same).where("same and edge = 1").select(*KEY, "start")
-    return found.where("edge = 0").select(*KEY, "start").union(across)
+    across = ends.withColumn("same", same).where("open and same and edge = 1").select(*KEY, "start")
+    return found.where("open and edge = 0").select(*KEY, "start").union(across)
 
 
 def removed(docs: DataFrame, match: int = MATCH) -> DataFrame:
@@ -226,30 +268,17 @@ def removed(docs: DataFrame, match: int = MATCH) -> DataFrame:
     counted = marks(texts, match).groupBy("mark").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
     counted.select("mark").write.parquet(f"{base}/marks")
     repeated = spark.read.parquet(f"{base}/marks")
-    found = marks(texts, match, bloom.build(repeated)).join(repeated, "mark").distinct()
-    found.write.parquet(f"{base}/places")
-    places = spark.read.parquet(f"{base}/places")
-
+    places = marks(texts, match, bloom.build(repeated)).join(repeated, "mark")
     sure_spans(places, match).write.parquet(f"{base}/sure")
     sure = spark.read.parquet(f"{base}/sure")
-    # All strings of an open anchor, in whatever text, may be the copy that is looked for.
-    asked = sure.select(F.explode("anchors").alias("mark")).distinct()
-    ranges = (
-        places.where("kind = 0")
-        .join(asked, "mark", "left_semi")
-        .groupBy(*KEY)
-        .agg(F.collect_list(F.struct("low", "high")).alias("ranges"))
-    )
-    ranges.write.parquet(f"{base}/ranges")
+    asked_ranges(sure).write.parquet(f"{base}/ranges")
     ranges = spark.read.parquet(f"{base}/ranges")
     some = bloom.build(ranges.select("text_hash")).column(F.col("text_hash"), texts)
     once = texts.where(some).groupBy(*KEY).agg(F.any_value("text").alias("text")).join(ranges, KEY)
-    leading_tokens(once, match).write.parquet(f"{base}/suffixes")
-    packed = spark.read.parquet(f"{base}/suffixes")
-
-    zipped = F.explode(F.arrays_zip("starts", "first", "second")).alias("x")
-    suffixes = packed.select(*KEY, zipped).select(*KEY, F.col("x.starts").alias("start"), "x.first", "x.second")
-    n_rows = packed.agg(F.sum(F.size("starts"))).first()[0] or 0
+    starts = F.aggregate("ranges", F.lit(0).cast("bigint"), lambda n, r: n + r["high"] - r["low"] + 1)
+    n_rows = ranges.agg(F.sum(starts)).first()[0] or 0
+    # Tokens are computed once for the sample of splitters and once for the shuffle.
+    suffixes = leading_tokens(once, match)
     again = repeated_suffixes(suffixes, n_rows).groupBy(*KEY).agg(F.collect_list("start").alias("starts"))
     none = F.array().cast("array<int>")
     spans = (

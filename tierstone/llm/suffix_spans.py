@@ -2,8 +2,8 @@
 
 Texts lie one after the other in ``data``; ``offsets`` parts them. Two equal strings of
 ``match`` bytes hold the same *anchor*: the start, leftmost on ties, of the smallest
-fingerprint among the strings of half that length that begin in their first half. So a
-string can occur again only if its anchor's fingerprint does.
+fingerprint among its substrings of a token's size (``token_bytes``). So a string can
+occur again only if its anchor's fingerprint does.
 """
 
 from __future__ import annotations
@@ -12,6 +12,14 @@ import numpy as np
 
 from .textbytes import SpanHash, mix
 
+
+
+def token_bytes(match: int) -> int:
+    """Size of a token: two of them, overlapping, cover a match. Longer tokens make more
+    anchors and fewer strings that share an anchor by chance."""
+    return max(1, match * 5 // 8)
+
+
 _SEGMENT = np.uint64(0x5851F42D4C957F2D)
 
 
@@ -33,9 +41,9 @@ class Spans:
 
     def __init__(self, data: np.ndarray, offsets: np.ndarray, match: int):
         self.data, self.offsets, self.match = data, offsets, match
-        self.half = match // 2
+        self.token = token_bytes(match)
         self.hashes = SpanHash(data)
-        self.grams = self.hashes.windows(self.half)
+        self.grams = self.hashes.windows(self.token)
         # Starts of strings of ``match`` bytes that end within their text.
         sizes = np.maximum(np.diff(offsets) - match + 1, 0)
         first = np.concatenate([[0], np.cumsum(sizes)])
@@ -44,7 +52,7 @@ class Spans:
         bits = np.uint64(max(20, int(len(data)).bit_length()))
         low = (np.uint64(1) << bits) - np.uint64(1)
         ranked = (self.grams & ~low) | np.arange(len(self.grams), dtype=np.uint64)
-        least = _sliding_minimum(ranked, match - self.half + 1)
+        least = _sliding_minimum(ranked, match - self.token + 1)
         #: The anchor of each start, ascending.
         self.anchor = (least[self.starts] & low).astype(np.int64)
         new = np.ones(len(self.starts), bool)
@@ -61,36 +69,39 @@ class Spans:
     def _segments(self) -> None:
         """Spans of ``match`` bytes or a little more between anchors, or the ends of a text."""
         long = np.flatnonzero(np.diff(self.offsets) >= self.match)
-        ends = [self.offsets[long], self.offsets[long + 1] - self.half]
+        ends = [self.offsets[long], self.offsets[long + 1] - self.token]
         points = np.concatenate([self.anchors, *ends])
         rows = np.concatenate([self.anchor_rows, long, long])
         points, at = np.unique(points, return_index=True)
         rows = rows[at]
-        until = np.searchsorted(points, points + self.match - self.half)
+        until = np.searchsorted(points, points + self.match - self.token)
         inside = until < len(points)
         inside[inside] &= rows[until[inside]] == rows[inside]
         # The last segment of a text ends with it, wherever the one before did.
         last = ends[1]
-        back = np.searchsorted(points, last - (self.match - self.half), "right") - 1
+        back = np.searchsorted(points, last - (self.match - self.token), "right") - 1
         new = until[back] != np.searchsorted(points, last)
         last, back, long = last[new], back[new], long[new]
         self.segment_rows = np.concatenate([rows[inside], long])
         self.segment_starts = np.concatenate([points[inside], points[back]])
-        self.segment_ends = np.concatenate([points[until[inside]], last]) + self.half
+        self.segment_ends = np.concatenate([points[until[inside]], last]) + self.token
         self.segment_hashes = mix(self.hashes.spans(self.segment_starts, self.segment_ends) ^ _SEGMENT)
 
-    def marks(self) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-        """Row, fingerprint, kind, and place of each anchor (kind 0: its first and last start)
-        and each segment (kind 1: its start and end), counted from the start of the row."""
+    def marks(self) -> tuple[np.ndarray, ...]:
+        """Row, fingerprint, kind and three places, counted from the start of the row: of each
+        anchor (kind 0) its first and last start and itself, of each segment (kind 1) its
+        start, its end and 0."""
         rows = np.concatenate([self.anchor_rows, self.segment_rows])
-        low = np.concatenate([self.anchor_first, self.segment_starts]) - self.offsets[rows]
-        high = np.concatenate([self.anchor_last, self.segment_ends]) - self.offsets[rows]
+        base = self.offsets[rows]
+        low = np.concatenate([self.anchor_first, self.segment_starts]) - base
+        high = np.concatenate([self.anchor_last, self.segment_ends]) - base
+        at = np.concatenate([self.anchors - self.offsets[self.anchor_rows], np.zeros(len(self.segment_rows), np.int64)])
         kind = np.repeat([0, 1], [len(self.anchor_rows), len(self.segment_rows)])
-        return rows, np.concatenate([self.anchor_hashes, self.segment_hashes]), kind, low, high
+        return rows, np.concatenate([self.anchor_hashes, self.segment_hashes]), kind, low, high, at
 
     def tokens(self, starts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """Two leading tokens of the suffixes at ``starts``: their first two half matches."""
-        return self.grams[starts], self.grams[starts + self.match - self.half]
+        """Two leading tokens of the suffixes at ``starts``: their first and last of ``match`` bytes."""
+        return self.grams[starts], self.grams[starts + self.match - self.token]
 
 
 def union_spans(opens: np.ndarray, closes: np.ndarray, size: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
