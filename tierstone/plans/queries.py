@@ -6,7 +6,7 @@ from collections.abc import Callable
 from contextlib import suppress
 from datetime import datetime, timedelta, timezone
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..errors import ExtractionError
@@ -230,13 +230,13 @@ def paged_customers(spark: SparkSession, sf_dir: str) -> DataFrame:
     return typed_records(payloads).select("id", "name", "country")
 
 
-def _array_files(spark: SparkSession, sf_dir: str, label: str) -> str:
+def _array_files(spark: SparkSession, sf_dir: str, label: str, *extra: Column) -> str:
     """Customers packed into files of one JSON array each, of a bounded number of rows."""
     records = customer_records(spark, sf_dir)
     arrays = (
         records.select(
             F.floor(F.col("id").cast("bigint") / ARRAY_SIZE).alias("file"),
-            to_payload(*records.columns).alias("payload"),
+            to_payload(*records.columns, *extra).alias("payload"),
         )
         .groupBy("file")
         .agg(F.concat_ws(", ", F.collect_list("payload")).alias("body"))
@@ -252,9 +252,9 @@ def raw_array(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def raw_array_split(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The same files, each taken as too large to read whole."""
-    path = _array_files(spark, sf_dir, "raw_array_split")
-    return typed_records(read_raw_arrays(spark, path, split_above_bytes=0))
+    """Records that hold the break between records themselves, in a string and as text of JSON."""
+    nested = F.array(F.lit("}, {"), F.col("name"), F.lit('[{"a": 1}, {"b": 2}]')).alias("notes")
+    return typed_records(read_raw_arrays(spark, _array_files(spark, sf_dir, "raw_array_split", nested)))
 
 
 def raw_lines(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -2,80 +2,127 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 RECORD_BREAK = "}, {"  # Fixed value: what stands between two records of a RAW array.
-SPLIT_ABOVE_BYTES = 64 * 1024 * 1024
+_END = "end of the array  "
 
 
 def read_raw_lines(spark: SparkSession, path: str) -> DataFrame:
-    """One JSON record per line; splits across tasks. Empty lines hold no record."""
+    """One JSON record per line; splits across tasks. Blank lines hold no record."""
     return (
         spark.read.text(path, lineSep="\n")
-        .where(F.col("value") != "")
+        .where(F.btrim("value", F.lit(" \t\r")) != "")
         .select(F.col("value").alias("payload"))
     )
 
 
-def array_elements(text: Column | str) -> Column:
-    """JSON text of an array -> its elements as text; fails on anything else."""
-    parsed = F.from_json(text, "array<string>", {"mode": "FAILFAST"})
-    return F.coalesce(parsed, F.raise_error(F.lit("blank text where a JSON array was expected")))
+def _elements(text: Column) -> Column:
+    """Elements of an array whose text lacks the closing bracket; fails unless all of it is one.
+
+    An end mark goes in as last element. The parser stops at the end of an array and
+    accepts what follows, so a text with more than one array never shows the mark.
+    """
+    marked = F.concat(text, F.lit(f', "{_END}"]'))
+    parsed = F.from_json(marked, "array<string>", {"mode": "FAILFAST"})
+    whole = F.element_at(parsed, -1) == _END
+    return F.when(text.rlike(r"^\s*\[\s*$"), F.array().cast("array<string>")).otherwise(
+        F.when(whole, F.slice(parsed, 1, F.size(parsed) - 1)).otherwise(
+            F.raise_error(F.lit("text after the end of a JSON array, or none"))
+        )
+    )
+
+
+def _count(text: Column, letters: str) -> Column:
+    return F.length(text) - F.length(F.translate(text, letters, ""))
 
 
 def read_raw_arrays(
-    spark: SparkSession,
-    path: str,
-    *,
-    split_above_bytes: int = SPLIT_ABOVE_BYTES,
-    record_break: str = RECORD_BREAK,
+    spark: SparkSession, path: str, *, record_break: str = RECORD_BREAK
 ) -> DataFrame:
     """Files that each hold one JSON array -> one ``payload`` row per element.
 
-    A file that is not a whole array fails the read (Spark shows no file without
-    bytes; a gate has to find those missing). Files up to
-    ``split_above_bytes`` are parsed whole. Larger ones are read in splits, see
-    ``_read_split``: ``record_break`` is the text from the end of one record to the
-    start of the next, as their writer spells it. Which way a file goes is a filter
-    on its size that prunes the file listing.
+    A file that is not one whole array, or has text after it, fails the read (Spark
+    shows no file without bytes; a gate has to find those missing). Files of any size
+    are read in splits and cut at ``record_break``, the text from the end of one record
+    to the start of the next. A cut counts only where it stands between two records,
+    outside of strings and at the depth of the array; pieces of one record are joined
+    again, so the result does not depend on where a file is split or how large it is.
+
+    Whether a cut lies in a string, and how deep, are prefix sums of quotes and brackets:
+    over the pieces of a split, and over the splits of a file, which are few.
     """
-    whole = (
-        spark.read.text(path, wholetext=True)
-        .where(F.col("_metadata.file_size") <= split_above_bytes)
-        .select(F.explode(array_elements("value")).alias("payload"))
+    split = ["file", "block"]
+    pieces = (
+        spark.read.text(path, lineSep=record_break)
+        .select(
+            "value",
+            F.col("_metadata.file_path").alias("file"),
+            F.col("_metadata.file_block_start").alias("block"),
+            F.monotonically_increasing_id().alias("place"),
+        )
+        .repartition(*split)
     )
-    return whole.union(_read_split(spark, path, split_above_bytes, record_break))
+    bare = F.regexp_replace("value", r"(?s)\\.", "")
+    pieces = pieces.withColumn("quotes", _count(bare, '"'))
+    pieces = _prefix(pieces, "quotes", split)
+    # Outside of strings: a piece that begins within one gets its quote back first.
+    opened = F.when(F.col("quotes_before") % 2 == 1, F.concat(F.lit('"'), bare)).otherwise(bare)
+    plain = F.regexp_replace(opened, '"[^"]*("|$)', "")
+    pieces = pieces.withColumn("depth", _count(plain, "[{") - _count(plain, "]}"))
+    pieces = _prefix(pieces, "depth", split)
+    ends_outside = (F.col("quotes_before") + F.col("quotes")) % 2 == 0
+    between = ends_outside & (F.col("depth_before") + F.col("depth") == 2)
+    pieces = pieces.withColumn("breaks", between.cast("int"))
+    pieces = _prefix(pieces, "breaks", split)
 
+    # The number of a record is the number of breaks before it; the last piece has none after.
+    files = pieces.groupBy("file").agg(
+        F.max(F.struct("block", "place", (F.col("breaks_before")).alias("record"))).alias("last")
+    )
+    files = files.select(F.col("file").alias("in_file"), F.col("last.record").alias("last_record"))
+    order = Window.partitionBy(*split).orderBy("place")
+    near = F.lag("breaks").over(order), F.lead("breaks").over(order)
+    # A piece between two breaks of its split is a record; others find their neighbours.
+    alone = (near[0] == 1) & (F.col("breaks") == 1) & near[1].isNotNull()
+    pieces = pieces.withColumn("alone", F.coalesce(alone, F.lit(False)))
+    record = F.col("breaks_before").alias("record")
+    joined = (
+        pieces.where(~F.col("alone"))
+        .groupBy("file", record)
+        .agg(F.sort_array(F.collect_list(F.struct("block", "place", "value"))).alias("parts"))
+        .select("file", "record", F.array_join(F.col("parts.value"), record_break).alias("value"))
+    )
+    records = pieces.where("alone").select("file", record, "value").union(joined)
+    first, last = F.col("record") == 0, F.col("record") == F.col("last_record")
+    text = F.when(first, F.col("value")).otherwise(F.concat(F.lit("[{"), "value"))
+    trimmed = F.btrim(text, F.lit(" \t\r\n"))
+    closed = F.when(last, F.left(trimmed, F.length(trimmed) - 1)).otherwise(F.concat(text, F.lit("}")))
+    sound = trimmed.startswith("[") & (~last | trimmed.endswith("]"))
+    elements = F.when(sound, _elements(closed)).otherwise(
+        F.raise_error(F.concat(F.lit("not one whole JSON array: "), F.col("file")))
+    )
+    return (
+        records.join(files, F.col("file") == F.col("in_file"))
+        .select(F.explode(elements).alias("payload"))
+    )
 
-def _read_split(
-    spark: SparkSession, path: str, above_bytes: int, record_break: str
-) -> DataFrame:
-    """Large array files, cut at ``record_break`` so that many tasks share one file.
 
-    Each piece gets back the brackets the cut took and is parsed as an array of
-    its own. A cut inside a record (the break within a string or a nested list)
-    leaves a piece unclosed, which fails the read and never alters a record;
-    a higher ``split_above_bytes`` takes such a file whole. A file cut short just
-    before a break has no piece that closes the array, which fails the read too.
-    """
-    value = F.btrim("value", F.lit(" \t\r\n"))
-    opens, ends = value.startswith("["), value.endswith("]")
-    opened = F.when(opens, value).otherwise(F.concat(F.lit("[{"), value))
-    # Only the piece that closes the whole array parses without help.
-    closing = F.when(ends, F.from_json(opened, "array<string>"))
-    pieces = (
-        spark.read.text(path, lineSep=record_break)
-        .where(F.col("_metadata.file_size") > above_bytes)
+def _prefix(pieces: DataFrame, name: str, split: list[str]) -> DataFrame:
+    """Adds ``<name>_before``: the sum over all earlier pieces of the file."""
+    blocks = pieces.groupBy(*split).agg(F.sum(name).alias("own"))
+    over_blocks = Window.partitionBy("file").orderBy("block").rowsBetween(Window.unboundedPreceding, -1)
+    blocks = blocks.select(
+        F.col("file").alias("_file"),
+        F.col("block").alias("_block"),
+        F.coalesce(F.sum("own").over(over_blocks), F.lit(0)).alias("_base"),
     )
-    broken = (
-        pieces.groupBy(F.col("_metadata.file_path").alias("file"))
-        .agg(F.count_if(opens).alias("opened"), F.count_if(closing.isNotNull()).alias("closed"))
-        .where("opened <> 1 or closed <> 1")
-        .agg(F.min("file").alias("file"))
-        .scalar()
+    here = Window.partitionBy(*split).orderBy("place").rowsBetween(Window.unboundedPreceding, -1)
+    before = F.coalesce(F.sum(name).over(here), F.lit(0))
+    return (
+        pieces.withColumn("_own", before)
+        .join(blocks, (F.col("file") == F.col("_file")) & (F.col("block") == F.col("_block")))
+        .withColumn(f"{name}_before", F.col("_own") + F.col("_base"))
+        .drop("_own", "_file", "_block", "_base")
     )
-    elements = F.when(
-        broken.isNotNull(), F.raise_error(F.concat(F.lit("not one whole JSON array: "), broken))
-    ).otherwise(F.coalesce(closing, array_elements(F.concat(opened, F.lit("}]")))))
-    return pieces.select(F.explode(elements).alias("payload"))
