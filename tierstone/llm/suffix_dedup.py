@@ -141,6 +141,10 @@ def asked_ranges(sure: DataFrame) -> DataFrame:
         .groupBy("mark")
         .agg(F.min(F.col("at") - F.col("open_high")).alias("near"), F.max(F.col("at") - F.col("open_low")).alias("far"))
     )
+    # As a table of its own, so that Spark can split a mark with many anchors in the join.
+    spark, path = sure.sparkSession, shared_scratch(sure.sparkSession, "suffix_asked")
+    asked.write.parquet(path)
+    asked = spark.read.parquet(path)
     low = F.greatest("low", F.col("at") - F.col("far")).alias("low")
     high = F.least("high", F.col("at") - F.col("near")).alias("high")
     return (
