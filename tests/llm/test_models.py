@@ -161,6 +161,25 @@ def test_probabilities_sum_to_one():
     assert p[:-1].sum() + p[-1] * words.rest == pytest.approx(1, abs=1e-4)
 
 
+def test_words_three_back_and_late_ranks_have_a_say():
+    """The model keeps its four features and wide head: a word that only the one three back tells, of rank 900."""
+    assert (maxent.FEATURES, maxent.HEAD_CLASSES, maxent.MIDDLE, maxent.BATCH) == (4, 31, 16, 8192)
+    rng = np.random.default_rng(8)
+    n = 1000
+    hashes = np.sort(rng.integers(2, 1 << 63, n).astype(np.uint64))
+    words = maxent.Vocabulary(hashes, np.arange(n), np.arange(n, 0, -1), n * (n + 1) // 2, n)
+    assert words.class_of_rank[991] < maxent.HEAD_CLASSES
+    picks = rng.integers(0, 2, 12_000)
+    rank = np.stack([picks, *rng.integers(2, 6, (2, len(picks))), 900 + picks], axis=1).ravel()
+    found, weights = maxent.features(hashes[rank], np.repeat(np.arange(len(picks)), 4)), maxent.Weights.zeros()
+    squares = [np.zeros(t.T.shape, np.float32) for t in (weights.classes, weights.words)]
+    touched = [np.zeros(len(weights.classes)), np.zeros(len(weights.words))]
+    for low in range(0, len(rank), 1000):
+        maxent.Step(words, weights, rank[low : low + 1000], found[:, low : low + 1000]).descend(squares, touched)
+    logs = maxent.Step(words, weights, rank[-4000:], found[:, -4000:]).log_probability(words, rank[-4000:])
+    assert logs[3::4].mean() > 0.5 * math.log(0.5)
+
+
 def test_training_beats_the_base(spark):
     a, b = ["the cat", "sat on"], ["le chien", "dort sur"]
     rng = np.random.default_rng(6)
