@@ -106,6 +106,26 @@ def test_repeats_across_bucket_boundaries(spark):
     same_rows(suffix_dedup.removed(docs, 100).collect(), [(i, *x) for i, x in enumerate(brute_removed(texts, 100))])
 
 
+def test_second_tokens_keep_all_bits(spark):
+    """One shared first half, then continuations of which many agree in 32 bits of their fingerprint."""
+    match, token = 40, suffix_spans.token_bytes(40)
+    rng = np.random.default_rng(9)
+    n = 300_000
+    tails = rng.integers(97, 123, (n, match - token), dtype=np.uint8)
+    bodies = np.hstack([np.full((n, token), 65, np.uint8), tails])
+    lasts = tb.SpanHash(bodies[:, -token:].ravel()).windows(token)[::token]
+    order = np.argsort(lasts)
+    high = lasts[order] >> np.uint64(32)
+    close = np.flatnonzero((high[1:] == high[:-1]) & (lasts[order][1:] != lasts[order][:-1]))
+    assert len(close) > 2
+    texts = [bodies[i].tobytes().decode() for k in close for i in order[k : k + 2]]
+    rows = [(t, i, match, [(0, 0, 0, 0)]) for i, t in enumerate(texts)] + [(texts[0], len(texts), match, [(0, 0, 0, 0)])]
+    ranges = "array<struct<low int, high int, open_low int, open_high int>>"
+    docs = spark.createDataFrame(rows, f"text string, text_hash bigint, text_bytes int, ranges {ranges}")
+    found = suffix_dedup.repeated_suffixes(suffix_dedup.leading_tokens(docs, match), len(rows)).collect()
+    assert sorted(r.text_hash for r in found) == [0, len(texts)]
+
+
 def test_multikey_order():
     rng = np.random.default_rng(1)
     keys = [rng.integers(0, 5, 500) for _ in range(3)]

@@ -18,7 +18,7 @@ Most suffixes never need to be sorted (``suffix_spans``):
 
 Equal texts are worked on once; a text is known by its hash and size. Bloom filters of
 a bounded size keep texts and fingerprints without a partner out of the shuffles.
-Fingerprints have 64 bits, leading tokens 96 in all.
+Fingerprints have 64 bits, leading tokens 64 each.
 
 Cases: a null text is an empty one, and texts shorter than a match keep all bytes.
 Rows that are repeated are copies of each other, so a text of at least ``match`` bytes
@@ -181,22 +181,25 @@ def leading_tokens(texts: DataFrame, match: int) -> DataFrame:
                 is_open = (start >= np.repeat(open_low[own], n)) & (start <= np.repeat(open_high[own], n))
                 grams = tb.SpanHash(part).windows(token)
                 at = start + row_ends[row]
-                lead, last = grams[at], (grams[at + match - token] >> np.uint64(32)).astype(np.uint32)
+                lead, last = grams[at], grams[at + match - token]
                 closed = np.flatnonzero(~is_open)
-                both = tb.mix(lead[closed]) + last[closed]
-                keep = np.concatenate([np.flatnonzero(is_open), closed[np.unique(both, return_index=True)[1]]])
+                order = np.lexsort((last[closed], lead[closed]))
+                f, s = lead[closed][order], last[closed][order]
+                new = np.ones(len(order), bool)
+                new[1:] = (f[1:] != f[:-1]) | (s[1:] != s[:-1])
+                keep = np.concatenate([np.flatnonzero(is_open), closed[order[new]]])
                 keep.sort()
                 rows_kept = pa.array(row[keep] + first)
                 yield pa.RecordBatch.from_arrays(
                     [
                         batch.column("text_hash").take(rows_kept), batch.column("text_bytes").take(rows_kept),
                         pa.array(start[keep].astype(np.int32)), pa.array(lead[keep].view(np.int64)),
-                        pa.array(last[keep].view(np.int32)), pa.array(is_open[keep]),
+                        pa.array(last[keep].view(np.int64)), pa.array(is_open[keep]),
                     ],
                     [*KEY, "start", "first", "second", "open"],
                 )
 
-    return texts.mapInArrow(run, f"{_KEY_TYPE}, start int, first bigint, second int, open boolean")
+    return texts.mapInArrow(run, f"{_KEY_TYPE}, start int, first bigint, second bigint, open boolean")
 
 
 def multikey_order(keys: list[np.ndarray]) -> np.ndarray:
@@ -222,7 +225,7 @@ def repeated_suffixes(suffixes: DataFrame, n_rows: int) -> DataFrame:
     n_buckets = max(int(spark.conf.get("spark.sql.shuffle.partitions")), -(-n_rows // BUCKET_ROWS))
     schema = pa.schema(
         [("text_hash", "int64"), ("text_bytes", "int32"), ("start", "int32"), ("first", "int64"),
-         ("second", "int32"), ("open", "bool"), ("bucket", "int32"), ("edge", "int32")]
+         ("second", "int64"), ("open", "bool"), ("bucket", "int32"), ("edge", "int32")]
     )
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -247,7 +250,7 @@ def repeated_suffixes(suffixes: DataFrame, n_rows: int) -> DataFrame:
 
     (
         suffixes.repartitionByRange(n_buckets, "first", "second", *KEY, "start")
-        .mapInArrow(run, f"{_KEY_TYPE}, start int, first bigint, second int, open boolean, bucket int, edge int")
+        .mapInArrow(run, f"{_KEY_TYPE}, start int, first bigint, second bigint, open boolean, bucket int, edge int")
         .write.parquet(path)
     )
     found = spark.read.parquet(path)
