@@ -42,6 +42,19 @@ def test_pieces_encode_as_whole_texts_do(rows):
     assert ids.tolist() == [i for e in expected for i in e]
 
 
+def test_literal_added_tokens_get_their_ids(spark):
+    plain = Tokenizer.from_file(PATH)
+    texts = HARD + ["a <|endoftext|> x", "<|endoftext|>", "a<|endoftext|>  b<|endoftext|><|endoftext|>\n", "<|endoftext"]
+    expected = [plain.encode(t, add_special_tokens=False).ids for t in texts]
+    ids, sizes = token_ids.PieceEncoder(PATH, added_tokens=True).encode(texts)
+    assert sizes.tolist() == [len(e) for e in expected]
+    assert ids.tolist() == [i for e in expected for i in e]
+    found = token_ids.store(spark.createDataFrame(list(enumerate(texts)), "doc_id bigint, text string"), PATH).collect()
+    coded = [np.array([*e, token_ids.END_ID], "<u4") for e in expected]
+    same_rows([(r.doc_id, r.n_tokens, r.ids_crc32) for r in found],
+              [(i, len(e), zlib.crc32(e.tobytes())) for i, e in enumerate(coded)])
+
+
 def test_forgetting_changes_nothing(rows, monkeypatch):
     texts = HARD + [r[1] or "" for r in rows]
     expected = token_ids.PieceEncoder(PATH).encode(texts)[0]

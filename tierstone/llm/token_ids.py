@@ -11,7 +11,9 @@ nulls first, and each stands on its own:
 
 A byte-level tokenizer splits a text at white space before anything else, so pieces that
 begin at a space are encoded on their own and remembered, about ``REMEMBERED`` to twice
-that many in each worker; how much is remembered does not change a result.
+that many in each worker; how much is remembered does not change a result. Texts that hold
+one of the tokenizer's added tokens as a literal get its id there, as from the tokenizer
+itself (``add_special_tokens=False``).
 
 Cases: a null text is an empty one and has the end id only. Rows that are repeated, or
 share an id, are documents of their own, ordered by their content. An empty table gives
@@ -85,12 +87,15 @@ class PieceEncoder:
     that pattern; others encode whole texts.
     """
 
-    def __init__(self, path: str):
+    def __init__(self, path: str, added_tokens: bool = False):
+        """``added_tokens``: whether literals of added tokens in a text get the ids of these."""
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
         self._tokenizer = Tokenizer.from_file(path)
-        self._tokenizer.encode_special_tokens = True
+        self._tokenizer.encode_special_tokens = not added_tokens
+        added = [t.content for t in self._tokenizer.get_added_tokens_decoder().values()]
+        self._added = re.compile("|".join(map(re.escape, added))) if added_tokens and added else None
         parts = json.loads(self._tokenizer.to_str())
         splits = parts["pre_tokenizer"] or {}
         self._by_pieces = (
@@ -120,7 +125,10 @@ class PieceEncoder:
         bodies = []
         piece, spaced = self._pieces.__getitem__, self._spaced.__getitem__
         for text in texts:
-            if "  " in text or _WIDE.search(text):
+            if self._added is not None and self._added.search(text):
+                ids = self._tokenizer.encode(text, add_special_tokens=False).ids
+                bodies.append(struct.pack(f"<{len(ids)}I", *ids))
+            elif "  " in text or _WIDE.search(text):
                 bodies.append(b"".join([piece(p) for p in _EDGES.split(text) if p]))
             else:
                 first, *rest = text.split(" ")
@@ -131,7 +139,7 @@ class PieceEncoder:
 
 def _encoder(path: str) -> PieceEncoder:
     if path not in _loaded:
-        _loaded[path] = PieceEncoder(path)
+        _loaded[path] = PieceEncoder(path, added_tokens=True)
     return _loaded[path]
 
 
