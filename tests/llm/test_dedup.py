@@ -191,6 +191,12 @@ def test_fuzzy_lines_of_edge_cases(documents, rows):
     assert (copies.n_lines, copies.n_removed) == (12, 11)
 
 
+def test_every_line_but_blank_ones_takes_part(spark):
+    lines = ["Heading", "- - - - -", "=====", "日本語の段落は空白なしで書かれている。", "two words", " \t", ""]
+    docs = spark.createDataFrame([(i, "\n".join(lines)) for i in range(3)], "doc_id bigint, text string")
+    assert sorted((r.doc_id, r.n_removed) for r in line_dedup.report(docs).collect()) == [(0, 0), (1, 5), (2, 5)]
+
+
 def test_edit_distance():
     def table(a, b):
         last = list(range(len(b) + 1))

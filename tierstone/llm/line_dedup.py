@@ -1,8 +1,9 @@
 """Fuzzy line dedup: SimHash of normalised lines, pigeonhole blocks, edit similarity.
 
 A line is normalised to its words in lower case (A-Z) without ASCII punctuation, digits
-all alike. Lines of at least ``MIN_WORDS`` words take part; shorter ones, headings and
-the like, always stay. Equal normalised lines are one from the start. Fingerprints
+all alike; a line of nothing else, such as a ruler, is taken as it is. Every line with a
+character besides white space takes part, headings and text without spaces included;
+blank lines always stay. Equal normalised lines are one from the start. Fingerprints
 within ``RADIUS`` bits are found by blocks of bits (``simhash_dedup.links``); only lines
 with such a partner are then looked up, dealt to the shards of their blocks with their
 texts, and linked where the edit similarity is at least ``SIMILARITY``. In a shard a
@@ -32,7 +33,7 @@ from . import textbytes as tb
 from .components import components
 from .simhash_dedup import links, majority_bits
 
-MIN_WORDS = 5
+MIN_WORDS = 1
 RADIUS = 3
 BLOCKS = 5
 SIMILARITY = 0.8
@@ -46,8 +47,9 @@ _NORMAL[[*range(33, 48), *range(58, 65), *range(91, 97), *range(123, 127)]] = 0
 
 def normalise(line: str) -> str:
     """The normalised line: its words, joined by single spaces."""
-    body = line.encode().translate(_NORMAL.tobytes(), b"")
-    return b" ".join(body.replace(b"\0", b"").split()).decode(errors="replace")
+    body = line.encode()
+    words = body.translate(_NORMAL.tobytes(), b"").replace(b"\0", b"").split()
+    return b" ".join(words or body.split()).decode(errors="replace")
 
 
 def _line_marks(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, ...]:
@@ -60,6 +62,10 @@ def _line_marks(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, ...]
     offsets = offsets + np.arange(len(offsets))
     normal = _NORMAL[data]
     keep = (normal != 0) | (data == 0)
+    # Lines of punctuation only, such as rulers, are taken as they are.
+    line = np.cumsum(data == 10) - (data == 10)
+    ruler = np.bincount(line, keep & ~tb.SEPARATOR[normal]) == 0
+    normal, keep = np.where(ruler[line], data, normal), keep | ruler[line]
     at = np.concatenate([[0], np.cumsum(keep)])
     normal, offsets = normal[keep], at[offsets]
     breaks = np.flatnonzero(normal == 10)
