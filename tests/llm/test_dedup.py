@@ -191,6 +191,34 @@ def test_fuzzy_lines_of_edge_cases(documents, rows):
     assert (copies.n_lines, copies.n_removed) == (12, 11)
 
 
+def shared_key_share(n_words, n=300):
+    """Share of lines with one word replaced, of edit similarity 0.8 or more, that share a key with their original."""
+    rng = np.random.default_rng(n_words)
+    found = []
+    while len(found) < n:
+        words = ["".join(rng.choice(list("abcdefghijklmnop"), rng.integers(3, 9))) for _ in range(n_words + 1)]
+        a, b = words[:-1], words[:-1]
+        b[rng.integers(n_words)] = words[-1]
+        if line_dedup.similar(" ".join(a), " ".join(b)):
+            raw = np.frombuffer(f"{' '.join(a)}\n{' '.join(b)}".encode(), np.uint8)
+            keys = line_dedup._line_marks(raw, np.array([0, len(raw)]))[4]
+            found.append((keys[0] == keys[1]).any())
+    return np.mean(found)
+
+
+@pytest.mark.parametrize("n_words", [8, 10, 15, 30])
+def test_lines_with_another_word_share_a_key(n_words):
+    assert shared_key_share(n_words) > 0.9
+
+
+def test_lines_with_another_word_go(spark):
+    line = prose(77, 30).replace("\n", " ")
+    other = line.split(" ")
+    other[12] = "zzzz"
+    docs = spark.createDataFrame([(0, line), (1, " ".join(other))], "doc_id bigint, text string")
+    assert sorted((r.doc_id, r.n_removed) for r in line_dedup.report(docs).collect()) == [(0, 0), (1, 1)]
+
+
 def test_every_line_but_blank_ones_takes_part(spark):
     lines = ["Heading", "- - - - -", "=====", "日本語の段落は空白なしで書かれている。", "two words", " \t", ""]
     docs = spark.createDataFrame([(i, "\n".join(lines)) for i in range(3)], "doc_id bigint, text string")

@@ -1,12 +1,13 @@
-"""Fuzzy line dedup: SimHash of normalised lines, pigeonhole blocks, edit similarity.
+"""Fuzzy line dedup: minimum hashes of character n-grams of normalised lines, edit similarity.
 
 A line is normalised to its words in lower case (A-Z) without ASCII punctuation, digits
 all alike; a line of nothing else, such as a ruler, is taken as it is. Every line with a
 character besides white space takes part, headings and text without spaces included;
-blank lines always stay. Equal normalised lines are one from the start. Fingerprints
-within ``RADIUS`` bits are found by blocks of bits (``simhash_dedup.links``); only lines
-with such a partner are then looked up, dealt to the shards of their blocks with their
-texts, and linked where the edit similarity is at least ``SIMILARITY``. In a shard a
+blank lines always stay. Equal normalised lines are one from the
+start. A line's ``GRAM``-byte strings are hashed into bins, the least hash of each bin
+stays, and ``ROWS`` bins make a key, ``BANDS`` in all. Lines that share a key are a shard
+and are linked where the edit similarity is at least ``SIMILARITY``; nothing but a shared
+key limits the pairs, and README has the share of similar lines that have one. In a shard a
 pair is compared only if no links connect it yet, which loses no group. Of each
 connected group the occurrence with the smallest document id, then hash of the row,
 then line number stays.
@@ -20,7 +21,6 @@ long lines are compared like others. An empty table gives an empty result.
 from __future__ import annotations
 
 from collections.abc import Iterator
-from itertools import combinations
 
 import numpy as np
 import pyarrow as pa
@@ -31,11 +31,13 @@ from ..session import shared_scratch
 from . import bloom
 from . import textbytes as tb
 from .components import components
-from .simhash_dedup import links, majority_bits
 
 MIN_WORDS = 1
-RADIUS = 3
-BLOCKS = 5
+#: Bits in which marks of a pair may differ: all, as edit similarity alone decides.
+RADIUS = 64
+GRAM = 5
+BANDS = 12
+ROWS = 3
 SIMILARITY = 0.8
 PART = 2048
 
@@ -52,11 +54,53 @@ def normalise(line: str) -> str:
     return b" ".join(words or body.split()).decode(errors="replace")
 
 
+def _keys(data: np.ndarray, breaks: np.ndarray, used: np.ndarray) -> np.ndarray:
+    """The keys of the lines ``used`` of normalised bytes, by the n-grams of their words joined by single spaces."""
+    blank = tb.SEPARATOR[data] & (data != 10)
+    first = np.append(True, tb.SEPARATOR[data[:-1]])
+    # Of white space in a run one stays, and none before a line break.
+    keep = ~(blank & first)
+    at = np.flatnonzero(keep)
+    keep[at[:-1]] &= ~(blank[at[:-1]] & (data[at[1:]] == 10))
+    data = data[keep]
+    breaks = np.flatnonzero(data == 10)
+    low, high = np.append(0, breaks[:-1] + 1)[used], breaks[used]
+    hashes = tb.SpanHash(data)
+    grams, bins = hashes.windows(GRAM), BANDS * ROWS
+    none = np.uint64(0xFFFFFFFFFFFFFFFF)
+    out = np.zeros((len(used), BANDS), np.int64)
+    n = np.maximum(high - low - GRAM + 1, 0)
+    done = 0
+    while done < len(used):
+        until = max(done + 1, min(done + 4096, int(np.searchsorted(np.cumsum(n[done:]), 1 << 18)) + done))
+        size, start = n[done:until], low[done:until]
+        row = np.repeat(np.arange(until - done), size)
+        found = grams[np.repeat(start - np.cumsum(size) + size, size) + np.arange(size.sum())]
+        short = np.flatnonzero(size == 0)
+        row = np.append(row, short)
+        found = np.append(found, hashes.spans(start[short], high[done:until][short]))
+        least = np.full((until - done, bins), none)
+        where = row * bins + ((found >> np.uint64(32)) % np.uint64(bins)).astype(np.int64)
+        np.minimum.at(least.ravel(), where, tb.mix(found))
+        # An empty bin takes the next full one's, changed by how far that is.
+        place = np.where(least != none, np.arange(bins), 2 * bins)
+        place = np.concatenate([place, place + bins], axis=1)
+        after = np.minimum.accumulate(place[:, ::-1], axis=1)[:, ::-1][:, :bins]
+        far = (after - np.arange(bins)).astype(np.uint64)
+        least = tb.mix(np.take_along_axis(least, after % bins, 1) + far * np.uint64(0x9E3779B97F4A7C15))
+        key = np.broadcast_to(np.arange(BANDS, dtype=np.uint64), (until - done, BANDS))
+        for part in range(ROWS):
+            key = tb.mix(key + least[:, part::ROWS])
+        out[done:until] = key.view(np.int64)
+        done = until
+    return out
+
+
 def _line_marks(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, ...]:
-    """Row, number, fingerprint of the normalised text, and SimHash of each line that takes part."""
+    """Row, number, fingerprint of the normalised text, its number of words, and keys of each line that takes part."""
     none = np.zeros(0, np.int64)
     if not len(data):
-        return none, none, none.view(np.uint64), none.view(np.uint64)
+        return none, none, none.view(np.uint64), none, np.zeros((0, BANDS), np.int64)
     # Rows end in a line break of their own, so lines never cross rows.
     data = np.insert(data, offsets[1:], 10)
     offsets = offsets + np.arange(len(offsets))
@@ -75,7 +119,6 @@ def _line_marks(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, ...]
     count = np.bincount(line, minlength=len(breaks))
     used = np.flatnonzero(count >= MIN_WORDS)
     first = np.concatenate([[0], np.cumsum(count)])
-    simhash = majority_bits(words, first)[used]
     # The text's fingerprint: a sum of its words, each mixed with its place in the line.
     place = np.arange(len(words)) - first[line]
     terms = tb.mix(words + tb.mix(place.astype(np.uint64) + np.uint64(1)))
@@ -83,29 +126,30 @@ def _line_marks(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, ...]
     text = tb.mix(sums[first[used + 1]] - sums[first[used]])
     row = np.searchsorted(offsets, breaks[used], "right") - 1
     first_line = np.searchsorted(breaks, offsets[:-1])
-    return row, used - first_line[row], text, simhash
+    return row, used - first_line[row], text, count[used], _keys(normal, breaks, used)
 
 
 def _lines(rows: DataFrame) -> DataFrame:
-    """``doc_id, row, line, text_hash, fp`` of every line that takes part."""
+    """``doc_id, row, line, text_hash, keys`` of every line that takes part."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             data, offsets = tb.text_arrays(batch.column("text"))
             for low, _, part, ends in tb.pieces(data, offsets):
-                row, line, text, fp = _line_marks(part, ends)
+                row, line, text, _, keys = _line_marks(part, ends)
                 at = pa.array(row + low)
                 yield pa.RecordBatch.from_arrays(
                     [
                         batch.column("doc_id").take(at), batch.column("row").take(at),
-                        pa.array(line.astype(np.int32)), pa.array(text.view(np.int64)), pa.array(fp.view(np.int64)),
+                        pa.array(line.astype(np.int32)), pa.array(text.view(np.int64)),
+                        pa.ListArray.from_arrays(pa.array(np.arange(len(keys) + 1) * BANDS, pa.int32()), pa.array(keys.ravel())),
                     ],
-                    ["doc_id", "row", "line", "text_hash", "fp"],
+                    ["doc_id", "row", "line", "text_hash", "keys"],
                 )
 
     kind = rows.schema["doc_id"].dataType.simpleString()
     return rows.select("doc_id", "row", "text").mapInArrow(
-        run, f"doc_id {kind}, row bigint, line int, text_hash bigint, fp bigint"
+        run, f"doc_id {kind}, row bigint, line int, text_hash bigint, keys array<bigint>"
     )
 
 
@@ -146,9 +190,12 @@ def similar(a: str, b: str, least: float = SIMILARITY) -> bool:
     return edit_distance(a, b) <= (1 - least) * longest
 
 
-def _shard_links(fps: np.ndarray, texts: list[str], hashes: np.ndarray) -> list[tuple[int, int]]:
+def _shard_links(texts: list[str], hashes: np.ndarray) -> list[tuple[int, int]]:
     """Links that connect what is similar in one shard."""
-    root = list(range(len(fps)))
+    root = list(range(len(texts)))
+    sizes = np.array([len(t) for t in texts])
+    # Bytes by their low bits: an edit of one character changes at most four on each side.
+    bags = np.array([np.bincount(np.frombuffer(t.encode(), np.uint8) & 31, minlength=32) for t in texts], np.int32)
 
     def find(i: int) -> int:
         while root[i] != i:
@@ -157,8 +204,12 @@ def _shard_links(fps: np.ndarray, texts: list[str], hashes: np.ndarray) -> list[
         return i
 
     out = []
-    for i in range(1, len(fps)):
-        near = np.flatnonzero(np.bitwise_count(fps[:i] ^ fps[i]) <= RADIUS)
+    for i in range(1, len(texts)):
+        most = (1 - SIMILARITY) * np.maximum(sizes[:i], sizes[i]) + 1e-9
+        near = np.flatnonzero(np.abs(sizes[:i] - sizes[i]) <= most)
+        apart = bags[near] - bags[i]
+        extra = np.maximum(np.maximum(apart, 0).sum(1), np.maximum(-apart, 0).sum(1))
+        near = near[extra <= 4 * most[near]]
         for j in near[::-1]:
             a, b = find(i), find(int(j))
             if a != b and similar(texts[i], texts[j]):
@@ -168,26 +219,18 @@ def _shard_links(fps: np.ndarray, texts: list[str], hashes: np.ndarray) -> list[
 
 
 def _verified(members: DataFrame) -> DataFrame:
-    """Links ``a, b`` between the text hashes of similar lines ``text_hash, fp, text``."""
-    edges = [round(64 * i / BLOCKS) for i in range(BLOCKS + 1)]
-    keys = []
-    for number, chosen in enumerate(combinations(range(BLOCKS), BLOCKS - RADIUS)):
-        mask = sum((1 << edges[i + 1]) - (1 << edges[i]) for i in chosen)
-        mask = mask - (1 << 64) if mask >> 63 else mask
-        keys.append(F.struct(F.lit(number).alias("t"), F.col("fp").bitwiseAND(F.lit(mask)).alias("k")))
-    rows = members.select("text_hash", "fp", "text", F.explode(F.array(*keys)).alias("s")).select(
-        "text_hash", "fp", "text", "s.t", "s.k"
-    )
-    sizes = rows.groupBy("t", "k").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
+    """Links ``a, b`` between the text hashes of similar lines ``text_hash, keys, text``."""
+    rows = members.select("text_hash", "text", F.explode("keys").alias("k"))
+    sizes = rows.groupBy("k").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
     # A large shard: each pair of its parts is a shard of its own.
     parts = F.ceil(F.col("n") / PART).cast("int")
     dealt = (
-        rows.join(sizes, ["t", "k"])
+        rows.join(sizes, "k")
         .withColumn("part", F.pmod(F.xxhash64("text_hash"), parts).cast("int"))
-        .select("text_hash", "fp", "text", "t", "k", "part", F.explode(F.sequence(F.lit(0), parts - 1)).alias("other"))
+        .select("text_hash", "text", "k", "part", F.explode(F.sequence(F.lit(0), parts - 1)).alias("other"))
         .select(
-            F.xxhash64("t", "k", F.least("part", "other"), F.greatest("part", "other")).alias("shard"),
-            "text_hash", "fp", "text",
+            F.xxhash64("k", F.least("part", "other"), F.greatest("part", "other")).alias("shard"),
+            "text_hash", "text",
         )
     )
 
@@ -196,11 +239,10 @@ def _verified(members: DataFrame) -> DataFrame:
         found: set[tuple[int, int]] = set()
 
         def work() -> None:
-            fps = np.array([h[1] for h in held], np.int64).view(np.uint64)
-            found.update(_shard_links(fps, [h[2] for h in held], np.array([h[0] for h in held])))
+            found.update(_shard_links([h[1] for h in held], np.array([h[0] for h in held])))
 
         for batch in batches:
-            for key, *row in zip(*(batch.column(i).to_pylist() for i in range(4)), strict=True):
+            for key, *row in zip(*(batch.column(i).to_pylist() for i in range(3)), strict=True):
                 if key != shard:
                     if len(held) > 1:
                         work()
@@ -225,27 +267,31 @@ def removed_lines(docs: DataFrame) -> DataFrame:
     _lines(rows).write.parquet(f"{base}/lines")
     lines = spark.read.parquet(f"{base}/lines")
     place = F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "row", "line")
-    lines.groupBy("text_hash", "fp").agg(F.min(place).alias("first")).write.parquet(f"{base}/distinct")
+    lines.groupBy("text_hash").agg(F.min(place).alias("first"), F.any_value("keys").alias("keys")).write.parquet(
+        f"{base}/distinct"
+    )
     distinct = spark.read.parquet(f"{base}/distinct")
 
-    near = links(distinct.select("fp").distinct(), RADIUS, BLOCKS)
-    same = distinct.groupBy("fp").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("fp")
-    partners = near.select("a").union(near.select("b")).union(same).toDF("fp").distinct()
-    members = distinct.join(partners, "fp").select("text_hash", "fp", F.col("first.row").alias("row"), "first.line")
+    keyed = distinct.select("text_hash", F.explode("keys").alias("k"))
+    shared = keyed.groupBy("k").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("k")
+    partners = keyed.join(shared, "k").groupBy("text_hash").agg(F.collect_list("k").alias("keys"))
+    members = distinct.drop("keys").join(partners, "text_hash").select(
+        "text_hash", "keys", F.col("first.row").alias("row"), "first.line"
+    )
     members.write.parquet(f"{base}/members")
     members = spark.read.parquet(f"{base}/members")
     wanted = bloom.build(members.select("row")).column(F.col("row"), rows)
     # Equal rows have one hash; one of them is enough.
     texts = rows.where(wanted).select("row", "text").join(members, "row")
     line_text = F.get(F.split("text", "\n", -1), F.col("line"))
-    texts = texts.select("text_hash", "fp", line_text.alias("text")).dropDuplicates(["text_hash"])
+    texts = texts.select("text_hash", "keys", line_text.alias("text")).dropDuplicates(["text_hash"])
 
     def normal(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             done = pa.array([normalise(t) for t in batch.column("text").to_pylist()], pa.string())
-            yield pa.RecordBatch.from_arrays([batch.column("text_hash"), batch.column("fp"), done], ["text_hash", "fp", "text"])
+            yield pa.RecordBatch.from_arrays([batch.column("text_hash"), batch.column("keys"), done], ["text_hash", "keys", "text"])
 
-    texts.mapInArrow(normal, "text_hash bigint, fp bigint, text string").write.parquet(f"{base}/texts")
+    texts.mapInArrow(normal, "text_hash bigint, keys array<bigint>, text string").write.parquet(f"{base}/texts")
     roots = components(_verified(spark.read.parquet(f"{base}/texts"))).withColumnRenamed("id", "text_hash")
     groups = distinct.join(roots, "text_hash", "left").withColumn("root", F.coalesce("root", "text_hash"))
     best = groups.groupBy("root").agg(F.min("first").alias("best"))
