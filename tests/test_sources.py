@@ -6,6 +6,8 @@ import random
 import sys
 
 import pytest
+from hypothesis import HealthCheck, given, settings
+from hypothesis import strategies as st
 from pyspark import cloudpickle
 from pyspark.sql import functions as F
 
@@ -235,7 +237,8 @@ def write(path, name, text):
 )
 def test_raw_array(spark, path, text, expected):
     write(path, "a.json", text)
-    assert [r.payload for r in read_raw_arrays(spark, path).collect()] == expected
+    got = read_raw_arrays(spark, path, positions=True).orderBy("file", "position").collect()
+    assert [r.payload for r in got] == expected
 
 
 @pytest.mark.parametrize("text", ['{"a":1}', '[{"a":1},', "null", " "])
@@ -268,14 +271,17 @@ def test_split_edges(spark, path, records):
     assert sorted(r.payload for r in got) == sorted(json.dumps(r, separators=(",", ":")) for r in records)
 
 
-@pytest.mark.parametrize("record_break", ["}, {", "},{", "},\n  {"])
+@pytest.mark.parametrize("record_break", ["}, {", "},{", "},\n  {", "}\n\t,\r\n{"])
 def test_other_record_breaks(spark, path, record_break):
     records = [{"i": i} for i in range(500)]
     text = record_break.join(json.dumps(r)[1:-1] for r in records)
     write(path, "a.json", "[{" + text + "}]")
-    for assumed in ("}, {", record_break):
-        got = read_raw_arrays(spark, path, record_break=assumed)
-        assert sorted(json.loads(r.payload)["i"] for r in got.collect()) == list(range(500))
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "700")
+    try:
+        got = read_raw_arrays(spark, path, positions=True).orderBy("file", "position").collect()
+    finally:
+        spark.conf.unset("spark.sql.files.maxPartitionBytes")
+    assert [json.loads(r.payload)["i"] for r in got] == list(range(500))
 
 
 def test_scratch_without_a_shared_folder(spark):
@@ -329,16 +335,63 @@ def test_anything_but_one_whole_array_fails(spark, path, text):
 
 
 def test_raw_lines_round_trip(spark, path):
-    records = [{"id": "a\nb", "n": None, "s": "é x\r"}, {"id": 'q"\\'}]
+    records = [{"id": "a\nb", "n": None, "s": "é\u2028x\r"}, {"id": 'q"\\'}]
+    odd = ['{"id":\n"1"}', "not\njson", None, "", " ", "\n", "\t \r", "null", '"x"', '"', "\ufeffa", "a\x00b\x0c"]
     payloads = payloads_from_list(spark, records).union(
-        spark.createDataFrame([('{"id":\n"1"}',), ("not\njson",), (None,), ("",)], "payload STRING")
+        spark.createDataFrame([(text,) for text in odd], "payload STRING")
     )
     for _ in range(2):  # a retry replaces
         raw = write_raw(payloads, path, "20250101T000000")
     assert raw == f"{path}/run_id=20250101T000000"
     back = [r.payload for r in read_raw_lines(spark, raw).collect()]
     texts = [json.dumps(record, ensure_ascii=False) for record in records]
-    assert sorted(back) == sorted([*texts, '{"id":\t"1"}', "not\tjson", "null", "null"])
+    assert sorted(back, key=repr) == sorted([*texts, *odd], key=repr)
+    lines = [r.value for r in spark.read.text(raw).collect()]
+    assert texts[1] in lines and len(lines) == len(texts) + len(odd)
+
+
+@settings(max_examples=8, deadline=None, suppress_health_check=list(HealthCheck))
+@given(st.lists(st.none() | st.text(st.sampled_from('\n\r\t "\\{}null:é\ufeff\x0b\x00\u2028,[]')), min_size=30, max_size=60))
+def test_any_payload_survives_raw(spark, tmp_path_factory, texts):
+    rows = spark.createDataFrame([(text,) for text in texts], "payload STRING")
+    raw = write_raw(rows, str(tmp_path_factory.mktemp("raw")), "r")
+    back = [r.payload for r in read_raw_lines(spark, raw).collect()]
+    assert sorted(back, key=repr) == sorted(texts, key=repr)
+
+
+def test_foreign_lines_stay_as_they_are(spark, path):
+    write(path, "a.json", '"x"\nnull\n\n{"a": 1}\n')
+    got = read_raw_lines(spark, path, encoded=False).collect()
+    assert [r.payload for r in got] == ['"x"', "null", '{"a": 1}']
+
+
+def test_arrays_are_read_in_two_scans(spark, path):
+    """A third is planned, and run only where a split ends within a record."""
+    write(path, "a.json", json.dumps([{"i": i, "s": "x" * 90} for i in range(3000)]))
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "50k")
+    try:
+        got = read_raw_arrays(spark, path)
+        assert got.rdd.count() == 3000
+        got.collect()
+        plan = got._jdf.queryExecution().executedPlan().toString().split("Initial Plan")[0]
+    finally:
+        spark.conf.unset("spark.sql.files.maxPartitionBytes")
+    assert plan.count("FileScan") == 2 and plan.count(" Exchange ") == 1
+
+
+def test_arrays_of_many_files_and_splits_keep_their_order(spark, path):
+    rng = random.Random(5)
+    expected = []
+    for name in range(6):
+        records = [{"n": [name, i], "l": [{"x": "}, {"}] * rng.randrange(9)} for i in range(rng.randrange(1, 400))]
+        write(path, f"{name}.json", json.dumps(records, indent=rng.choice([None, 1])))
+        expected += [r["n"] for r in records]
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "2k")
+    try:
+        got = read_raw_arrays(spark, path, positions=True).orderBy("file", "position").collect()
+    finally:
+        spark.conf.unset("spark.sql.files.maxPartitionBytes")
+    assert [json.loads(r.payload)["n"] for r in got] == expected
 
 
 # --- against brute force --------------------------------------------------------

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from ..errors import LoadError
 from ..schemas import BRONZE_PARTITIONS, SILVER_PARTITIONS
 from ..session import path_exists
+from ..sources.raw import encode_line
 from .bronze import Run
 
 
@@ -23,18 +24,13 @@ def raw_path(root: str, run_id: str) -> str:
 
 
 def write_raw(payloads: DataFrame, root: str, run_id: str) -> str:
-    """RAW landing of one run, one record per line; a retry replaces it.
+    """RAW landing of one run, one payload per line; a retry replaces it.
 
-    A line break can stand between the tokens of a JSON text, never inside them:
-    a tab in its place reads the same, and keeps a malformed text malformed. A
-    payload without text becomes the JSON null, which reads the same as well, so
-    that it still has a line.
+    A record stands as it is; what a line cannot hold stands as a JSON string, so that
+    ``read_raw_lines`` has every payload back as it was, nulls and blanks included.
     """
     path = raw_path(root, run_id)
-    text = F.translate("payload", "\n", "\t")
-    lines = payloads.select(
-        F.when(F.length(text) > 0, text).otherwise("null").alias("value")
-    )
+    lines = payloads.select(encode_line(F.col("payload")).alias("value"))
     _save(lines.write.mode("overwrite").format("text").option("lineSep", "\n"), path, "RAW")
     return path
 

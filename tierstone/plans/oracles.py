@@ -171,6 +171,17 @@ ORACLES: dict[str, str] = {
     "raw_array": _typed(_CUSTOMERS),
     "raw_array_split": _typed(_CUSTOMERS),
     "raw_lines": _typed(_CUSTOMERS),
+    "raw_lossless": r"""
+        SELECT CASE c_custkey % 8
+            WHEN 1 THEN ''
+            WHEN 2 THEN repeat(' ' || chr(9), c_custkey % 5)
+            WHEN 3 THEN 'line' || chr(10) || c_custkey || chr(13) || chr(10)
+            WHEN 4 THEN '"quoted ' || c_custkey
+            WHEN 5 THEN 'null'
+            WHEN 6 THEN '{"id": "' || c_custkey || '"}'
+            WHEN 7 THEN chr(10) || c_name || '\' END AS payload
+        FROM customer
+    """,
     "gate_report": " UNION ALL ".join(
         (
             _checks("bronze", BRONZE_CHECKS, _DIRTY),

@@ -43,6 +43,7 @@ RUN = Run(datetime(2025, 1, 1, 12, tzinfo=timezone.utc), "sample")
 PAGE_SIZE = 100
 API_PAGE_SIZE = 200
 ARRAY_SIZE = 500
+LARGE_ARRAY_SIZE = 20_000
 
 
 def _stamped(silver: DataFrame) -> DataFrame:
@@ -230,12 +231,14 @@ def paged_customers(spark: SparkSession, sf_dir: str) -> DataFrame:
     return typed_records(payloads).select("id", "name", "country")
 
 
-def _array_files(spark: SparkSession, sf_dir: str, label: str, *extra: Column) -> str:
+def _array_files(
+    spark: SparkSession, sf_dir: str, label: str, *extra: Column, size: int = ARRAY_SIZE
+) -> str:
     """Customers packed into files of one JSON array each, of a bounded number of rows."""
     records = customer_records(spark, sf_dir)
     arrays = (
         records.select(
-            F.floor(F.col("id").cast("bigint") / ARRAY_SIZE).alias("file"),
+            F.floor(F.col("id").cast("bigint") / size).alias("file"),
             to_payload(*records.columns, *extra).alias("payload"),
         )
         .groupBy("file")
@@ -252,9 +255,18 @@ def raw_array(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def raw_array_split(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Records that hold the break between records themselves, in a string and as text of JSON."""
-    nested = F.array(F.lit("}, {"), F.col("name"), F.lit('[{"a": 1}, {"b": 2}]')).alias("notes")
-    return typed_records(read_raw_arrays(spark, _array_files(spark, sf_dir, "raw_array_split", nested)))
+    """Large files read in splits of 256 KB, of records that hold lists of objects and breaks in strings.
+
+    The session of the read has the split size; nothing else is set in it.
+    """
+    inner = [F.struct(F.col("id").alias("a")), F.struct(F.lit("}, {").alias("a"))]
+    nested = F.array(*inner).alias("parts"), F.array(F.lit('}, {"x": "\\'), "name").alias("notes")
+    path = _array_files(spark, sf_dir, "raw_array_split", *nested, size=LARGE_ARRAY_SIZE)
+    reading = spark.newSession()
+    for name in ("spark.sql.shuffle.partitions", "spark.sql.session.timeZone"):
+        reading.conf.set(name, spark.conf.get(name))
+    reading.conf.set("spark.sql.files.maxPartitionBytes", "256k")
+    return typed_records(read_raw_arrays(reading, path))
 
 
 def raw_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -266,6 +278,24 @@ def raw_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     return typed_records(read_raw_lines(spark, path))
 
 
+def raw_lossless(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Payloads that lines do not hold by themselves, through RAW and back."""
+    key = F.col("c_custkey")
+    text = key.cast("string")
+    payload = (
+        F.when(key % 8 == 1, "")
+        .when(key % 8 == 2, F.repeat(F.lit(" \t"), (key % 5).cast("int")))
+        .when(key % 8 == 3, F.concat(F.lit("line\n"), text, F.lit("\r\n")))
+        .when(key % 8 == 4, F.concat(F.lit('"quoted '), text))
+        .when(key % 8 == 5, "null")
+        .when(key % 8 == 6, F.concat(F.lit('{"id": "'), text, F.lit('"}')))
+        .when(key % 8 == 7, F.concat(F.lit("\n"), F.col("c_name"), F.lit("\\")))
+    )
+    payloads = load(spark, sf_dir, "customer").select(payload.alias("payload"))
+    raw = write_raw(payloads, shared_scratch(spark, "raw_lossless"), RUN.run_id)
+    return read_raw_lines(spark, raw)
+
+
 # --- gates, runs, history ---------------------------------------------------
 
 
@@ -406,6 +436,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "raw_array": raw_array,
     "raw_array_split": raw_array_split,
     "raw_lines": raw_lines,
+    "raw_lossless": raw_lossless,
     "gate_report": gate_report,
     "layer_counts": layer_counts,
     "rerun_append": rerun_append,
