@@ -52,6 +52,25 @@ def parse_payload(payload: Column | str, schema: StructType | str = RECORD) -> C
     return F.from_json(payload, schema)
 
 
+CORRUPT = "_corrupt_record"
+
+
+def parse_status(parsed: Column, fields: Iterable[str]) -> Column:
+    """How a parse with a ``_corrupt_record`` field went.
+
+    ``read``, or ``mistyped`` where some field did not fit its type, ``malformed`` where the
+    text gave none of the fields (a JSON null or list among it), ``missing`` where there is no text.
+    """
+    corrupt = parsed[CORRUPT].isNotNull()
+    some = F.coalesce(*(parsed[name].cast("string") for name in fields)).isNotNull()
+    return (
+        F.when(corrupt & some, "mistyped")
+        .when(corrupt, "malformed")
+        .when(parsed.isNull(), "missing")
+        .otherwise("read")
+    )
+
+
 def typed_records(payloads: DataFrame) -> DataFrame:
     """``payload`` rows -> the sixteen record columns in record order.
 

@@ -2,10 +2,10 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterable
-from dataclasses import dataclass
+from collections.abc import Iterable, Mapping, Sequence
+from dataclasses import dataclass, field
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..errors import EtlError, ExtractionError, GateError, TransformError
@@ -23,9 +23,14 @@ def require_columns(
 
 @dataclass(frozen=True)
 class Gate:
+    """What a layer must have. ``null_rate`` limits the share of nulls in a column, from 0
+    to 1, the limit included; none by default. ``publish`` holds it before a layer shows.
+    """
+
     name: str
     columns: tuple[str, ...]
     min_rows: int = 1
+    null_rate: Mapping[str, float] = field(default_factory=dict, hash=False)
 
 
 BRONZE_GATE = Gate("bronze", tuple(BRONZE.names))
@@ -57,24 +62,49 @@ def enforce(df: DataFrame, gate: Gate, *inputs: DataFrame) -> DataFrame:
 
 def report(df: DataFrame, gate: Gate) -> DataFrame:
     """One row per check, as a table: gate, check_name, observed, passed."""
+    return report_counts(df.agg(F.count(F.lit(1)).alias("n")), (gate, df.columns, F.col("n")))
+
+
+def report_counts(counts: DataFrame, *layers: tuple[Gate, Sequence[str], Column]) -> DataFrame:
+    """The same for several layers whose row counts stand in one row.
 
-    def check(name, observed, passed):
+    Silver has the rows of Bronze, and Gold counts them, so one pass gives all three.
+    """
+
+    def check(gate, name, observed, passed):
         return F.struct(
+            F.lit(gate.name).alias("gate"),
             F.lit(name).alias("check_name"),
             observed.cast("bigint").alias("observed"),
             passed.alias("passed"),
         )
 
-    rows = F.col("n")
-    checks = [check("row_count", rows, rows >= gate.min_rows)]
-    for name in gate.columns:
-        present = F.lit(name in df.columns)
-        checks.append(check(f"column {name}", present, present))
-    return (
-        df.agg(F.count(F.lit(1)).alias("n"))
-        .select(F.explode(F.array(*checks)).alias("c"))
-        .select(F.lit(gate.name).alias("gate"), "c.check_name", "c.observed", "c.passed")
-    )
+    checks = []
+    for gate, columns, rows in layers:
+        checks.append(check(gate, "row_count", rows, rows >= gate.min_rows))
+        for name in gate.columns:
+            present = F.lit(name in columns)
+            checks.append(check(gate, f"column {name}", present, present))
+    return counts.select(F.inline(F.array(*checks)))
+
+
+def rate_report(df: DataFrame, gate: Gate) -> DataFrame:
+    """One row per limited column: gate, column_name, n_rows, n_nulls, max_rate, passed."""
+    limits = list(gate.null_rate.items())
+    counts = [F.count_if(F.col(f"`{name}`").isNull()) for name, _ in limits]
+    rows = df.agg(F.count(F.lit(1)).alias("n"), F.array(*counts).alias("nulls"))
+    found = [
+        F.struct(
+            F.lit(gate.name).alias("gate"),
+            F.lit(name).alias("column_name"),
+            F.col("n").alias("n_rows"),
+            F.col("nulls")[i].alias("n_nulls"),
+            F.lit(float(limit)).alias("max_rate"),
+            (F.col("nulls")[i] <= limit * F.col("n")).alias("passed"),
+        )
+        for i, (name, limit) in enumerate(limits)
+    ]
+    return rows.select(F.inline(F.array(*found)))
 
 
 def probe(records: DataFrame) -> DataFrame:

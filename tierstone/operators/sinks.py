@@ -10,6 +10,7 @@ from ..schemas import BRONZE_PARTITIONS, SILVER_PARTITIONS
 from ..session import path_exists
 from ..sources.raw import encode_line
 from .bronze import Run
+from .publish import Audit, audited_write
 
 
 def _save(writer: DataFrameWriter, path: str, what: str) -> None:
@@ -35,18 +36,34 @@ def write_raw(payloads: DataFrame, root: str, run_id: str) -> str:
     return path
 
 
-def write_bronze(bronze: DataFrame, path: str) -> None:
+def _aside(what: str, *partitions: str):
+    """A write to a folder that nobody reads yet, for :func:`audited_write`."""
+
+    def write(df: DataFrame, staged: str) -> None:
+        _save(df.write.mode("overwrite").format("parquet").partitionBy(*partitions), staged, what)
+
+    return write
+
+
+def write_bronze(bronze: DataFrame, path: str, audit: Audit | None = None) -> None:
     """Append, partitioned by date. A run has one date, so no shuffle is needed."""
+    if audit:
+        audited_write(bronze, path, audit, _aside("Bronze", *BRONZE_PARTITIONS))
+        return
     writer = bronze.write.mode("append").format("parquet").partitionBy(*BRONZE_PARTITIONS)
     _save(writer, path, "Bronze")
 
 
-def write_bronze_run(bronze: DataFrame, path: str, run: Run) -> None:
+def write_bronze_run(bronze: DataFrame, path: str, run: Run, audit: Audit | None = None) -> None:
     """Write the folder of one run and no other; writing it again replaces it.
 
     The committer puts its success mark into the folder after the last file, and only
     a folder with the mark counts as done, so a commit that broke off is written anew.
     """
+    if audit:
+        rows, folder = bronze.drop(*BRONZE_PARTITIONS), bronze_run_path(path, run)
+        audited_write(rows, folder, audit, _aside("Bronze"), replace=True, done_mark=True)
+        return
     writer = bronze.drop(*BRONZE_PARTITIONS).write.mode("overwrite").format("parquet")
     writer = writer.option("mapreduce.fileoutputcommitter.marksuccessfuljobs", "true")
     _save(writer, bronze_run_path(path, run), "Bronze")
@@ -99,15 +116,34 @@ def has_sink_log(spark: SparkSession, path: str) -> bool:
     return path_exists(spark, f"{path.rstrip('/')}/_spark_metadata")
 
 
-def write_silver(silver: DataFrame, path: str, partitions: int | None = None) -> None:
+def write_silver(
+    silver: DataFrame, path: str, partitions: int | None = None, audit: Audit | None = None
+) -> None:
     """Append, partitioned by country and state; see ``balance_silver``."""
     if has_sink_log(silver.sparkSession, path):
         raise LoadError(f"Silver in {path} is kept by incremental runs; an append would not show")
     balanced = balance_silver(silver, partitions)
+    if audit:
+        audited_write(balanced, path, audit, _aside("Silver", *SILVER_PARTITIONS))
+        return
     writer = balanced.write.mode("append").format("parquet").partitionBy(*SILVER_PARTITIONS)
     _save(writer, path, "Silver")
 
 
-def write_gold(gold: DataFrame, path: str) -> None:
+def write_checked_silver(checked: DataFrame, path: str, partitions: int | None = None) -> None:
+    """Append rows of ``to_checked_silver``: a folder for each status, Silver's own layout in it.
+
+    One parse and one write fill Silver, in ``status=read``, and the quarantine.
+    """
+    keys = ["status", *SILVER_PARTITIONS]
+    counts = () if partitions is None else (partitions,)
+    writer = checked.hint("rebalance", *counts, *keys).write.mode("append").format("parquet")
+    _save(writer.partitionBy(*keys), path, "Silver")
+
+
+def write_gold(gold: DataFrame, path: str, audit: Audit | None = None) -> None:
     """Replace the table. Its path must not be among the inputs of ``gold``."""
+    if audit:
+        audited_write(gold, path, audit, _aside("Gold"), replace=True, done_mark=True)
+        return
     _save(gold.write.mode("overwrite").format("parquet"), path, "Gold")

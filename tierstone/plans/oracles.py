@@ -112,6 +112,45 @@ def _history(layer: str, rows_in: str, rows_out: str, null_rows: str) -> str:
     """
 
 
+# Three runs of the customers: all, a third moved, most renamed and some without their id.
+_VERSIONS = f"""
+    SELECT 1 AS run, id, name, brewery_type, country, state_province, city FROM ({_CUSTOMERS})
+    UNION ALL
+    SELECT 2, id, name, brewery_type, country, state_province, 'Moved' FROM ({_CUSTOMERS}) WHERE k % 3 = 0
+    UNION ALL
+    SELECT 3, CASE WHEN k % 3 = 1 THEN NULL WHEN k % 10 = 2 THEN 'hot' ELSE id END, name || ' & Co',
+           brewery_type, country, state_province, city
+    FROM ({_CUSTOMERS}) WHERE k % 5 <> 0
+"""
+_LATEST = f"""
+    SELECT * FROM ({_VERSIONS}) WHERE id IS NULL
+    UNION ALL
+    SELECT * EXCLUDE (age) FROM (
+        SELECT *, row_number() OVER (PARTITION BY id ORDER BY run DESC, name DESC) AS age
+        FROM ({_VERSIONS}) WHERE id IS NOT NULL
+    ) WHERE age = 1
+"""
+
+
+def _rate(gate: str, name: str, rows: str, limit: float) -> str:
+    return f"""
+        SELECT '{gate}' AS gate, '{name}' AS column_name, count(*) AS n_rows,
+               count(*) FILTER ({name} IS NULL) AS n_nulls, CAST({limit} AS DOUBLE) AS max_rate,
+               count(*) FILTER ({name} IS NULL) <= {limit}::DOUBLE * count(*) AS passed
+        FROM ({rows})
+    """
+
+
+def _ended(hour: int, layer: str, rows_out: str, null_rows: str, status: str = "ok") -> str:
+    run_id = RUN.run_id.replace("T120000", f"T{12 + hour}0000")
+    return f"""
+        SELECT '{run_id}' AS run_id, '{layer}' AS layer, CAST({rows_out} AS BIGINT) AS rows_out,
+               CAST({null_rows} AS BIGINT) AS null_rows, '{status}' AS status
+    """
+
+
+_ALL = f"(SELECT count(*) FROM ({_CUSTOMERS}))"
+_PLACES = f"(SELECT count(*) FROM ({_gold(_CUSTOMERS)}))"
 _N = f"(SELECT count(*) FROM ({_DIRTY}))"
 _BROKEN = f"(SELECT count(*) FROM ({_DIRTY}) WHERE id IS NULL)"
 _GROUPS = f"(SELECT count(*) FROM ({_gold(_STORED)}))"
@@ -196,6 +235,40 @@ ORACLES: dict[str, str] = {
         UNION ALL SELECT 'silver', {_N}, {_BROKEN}
         UNION ALL SELECT 'gold', (SELECT count(*) FROM ({_gold(_DIRTY)})), CAST(0 AS BIGINT)
     """,
+    "null_rates": " UNION ALL ".join(
+        (
+            _rate("silver", "id", _DIRTY, 0.05),
+            _rate("silver", "name", _DIRTY, 0.1),
+            _rate("silver", "state_province", _DIRTY, 0.5),
+            _rate("silver", "phone", _DIRTY, 1.0),
+            _rate("silver", "longitude", _DIRTY, 0.2),
+            _rate("gold", "city", _gold(_DIRTY), 0.02),
+            _rate("gold", "state_province", _gold(_DIRTY), 0.5),
+        )
+    ),
+    "audited_append": _gold(_CUSTOMERS),
+    "audited_incremental": " UNION ALL ".join(
+        (
+            _ended(0, "bronze", _ALL, "0"),
+            _ended(0, "silver", _ALL, "0"),
+            _ended(0, "gold", _PLACES, "-1"),
+            _ended(1, "bronze", "-1", "-1", "failed: GateError"),
+            _ended(2, "bronze", _ALL, "0"),
+            _ended(2, "silver", _ALL, "0"),
+            _ended(2, "gold", _PLACES, "-1"),
+            f"SELECT 'all', 'records in gold', 2 * {_ALL}, CAST(-1 AS BIGINT), 'ok'",
+        )
+    ),
+    "quarantine": f"""
+        SELECT CASE WHEN k % 13 = 0 THEN 'malformed' WHEN k % 11 = 0 THEN 'mistyped' ELSE 'read' END AS status,
+               CASE WHEN k % 13 <> 0 AND k % 11 <> 0 THEN id END AS id,
+               CASE WHEN k % 13 <> 0 AND k % 11 <> 0 THEN longitude END AS longitude,
+               CASE WHEN k % 13 = 0 OR k % 11 = 0
+                    THEN substr('{{"id":"' || id || '","name":"' || name, 1, 20) END AS payload
+        FROM ({_CUSTOMERS})
+    """,
+    "latest_records": _gold(_LATEST),
+    "gold_maintained": _gold(_VERSIONS),
     "rerun_append": _gold(_CUSTOMERS, 6),
     "rerun_incremental": _gold(_CUSTOMERS, 2),
     "rerun_sources": _gold(_CUSTOMERS, 2),

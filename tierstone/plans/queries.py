@@ -2,33 +2,42 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
 from contextlib import suppress
 from datetime import datetime, timedelta, timezone
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from ..errors import ExtractionError
+from ..errors import ExtractionError, GateError
 from ..functions.records import conform, parse_payload, payload_rows, to_payload, typed_records
 from ..operators import gates
 from ..operators.bronze import Run, to_bronze
-from ..operators.gold import to_gold
+from ..operators.gates import Gate
+from ..operators.gold import count_by_place, to_gold
 from ..operators.history import scan_history
 from ..operators.paging import explode_pages, page_prefix
-from ..operators.silver import all_null, to_silver
+from ..operators.silver import all_null, latest_by_id, to_checked_silver, to_silver
 from ..operators.sinks import (
     write_bronze,
+    write_checked_silver,
     write_gold,
     write_raw,
     write_silver,
 )
-from ..schemas import GOLD_KEYS, SILVER_FIELDS
+from ..schemas import GOLD_COUNT, GOLD_KEYS, SILVER_FIELDS
 from ..session import path_exists, shared_scratch
-from ..sources.layers import scan_bronze, scan_gold, scan_silver, stored
+from ..sources.layers import (
+    scan_bronze,
+    scan_checked_silver,
+    scan_gold,
+    scan_quarantine,
+    scan_silver,
+    stored,
+)
 from ..sources.paged import StoredPages, fetch_all
 from ..sources.raw import read_raw_arrays, read_raw_lines
-from .runs import LayerPaths, build_bronze, build_gold, build_silver, run_batch, run_gated
+from .runs import LayerPaths, Mode, build_bronze, build_gold, build_silver, run_batch, run_gated
 from .samples import (
     clean_payloads,
     customer_records,
@@ -300,35 +309,135 @@ def raw_lossless(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def gate_report(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Every check of every gate, with what it saw."""
+    """Every check of every gate, with what it saw, in one pass over the records."""
     payloads = dirty_payloads(customer_records(spark, sf_dir))
     bronze = to_bronze(gates.probe(payloads), RUN)
     silver = to_silver(bronze)
-    return (
-        gates.report(bronze, gates.BRONZE_GATE)
-        .union(gates.report(silver, gates.SILVER_GATE))
-        .union(gates.report(silver.drop("phone"), gates.Gate("silver without phone", ("id", "phone"))))
-        .union(gates.report(to_gold(silver), gates.GOLD_GATE))
+    gold = count_by_place(to_silver(bronze, GOLD_KEYS))
+    counts = gold.agg(
+        F.count(F.lit(1)).alias("groups"), F.coalesce(F.sum(GOLD_COUNT), F.lit(0)).alias("rows")
+    )
+    rows, without = F.col("rows"), silver.drop("phone").columns
+    return gates.report_counts(
+        counts,
+        (gates.BRONZE_GATE, bronze.columns, rows),
+        (gates.SILVER_GATE, silver.columns, rows),
+        (gates.Gate("silver without phone", ("id", "phone")), without, rows),
+        (gates.GOLD_GATE, gold.columns, F.col("groups")),
     )
 
 
-def layer_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Rows of each layer, and Silver rows of which nothing could be read."""
-    bronze = _customer_bronze(spark, sf_dir)
-    silver = to_silver(bronze)
-    rows, none = F.count(F.lit(1)).alias("n_rows"), F.lit(0).cast("bigint").alias("null_rows")
-    return (
-        bronze.agg(rows)
-        .select(F.lit("bronze").alias("layer"), "n_rows", none)
-        .union(
-            silver.agg(rows, F.count_if(all_null()).alias("null_rows")).select(
-                F.lit("silver"), "n_rows", "null_rows"
-            )
+#: Limits of the queries below: what the spoiling rule of ``samples`` keeps, and what it breaks.
+RATES = {"id": 0.05, "name": 0.1, "state_province": 0.5, "phone": 1.0, "longitude": 0.2}
+
+
+def null_rates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Nulls of the limited columns of Silver and Gold, and which limits hold."""
+    silver = to_silver(_customer_bronze(spark, sf_dir), list(RATES))
+    gold = _narrow_gold(dirty_payloads(customer_records(spark, sf_dir)))
+    in_gold = Gate("gold", (), null_rate={"city": 0.02, "state_province": 0.5})
+    return gates.rate_report(silver, Gate("silver", (), null_rate=RATES)).union(
+        gates.rate_report(gold, in_gold)
+    )
+
+
+def _audited(spark: SparkSession, sf_dir: str, label: str, mode: Mode) -> LayerPaths:
+    """Three gated runs, of which the second is refused for its nulls."""
+    paths = LayerPaths(shared_scratch(spark, label))
+    records = customer_records(spark, sf_dir)
+    for hour, payloads in enumerate((clean_payloads(records), dirty_payloads(records), clean_payloads(records))):
+        limits = {"silver": {"id": 0.05}} if mode == "incremental" else {"bronze": {"payload": 0.0}, "silver": {"id": 0.02}}
+        with suppress(GateError):
+            run_gated(spark, payloads, paths, _at(hour), mode=mode, limits=limits)
+    return paths
+
+
+def audited_append(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Gold of three audited plain runs: Bronze keeps the refused run's rows, Silver never shows them.
+
+    The third run finds them in Bronze again, one broken id in 39, and is refused as well.
+    """
+    return scan_gold(spark, _audited(spark, sf_dir, "audited_append", "append_all").gold)
+
+
+def audited_incremental(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """How each step of three audited incremental runs ended: a refused run leaves no trace."""
+    paths = _audited(spark, sf_dir, "audited_incremental", "incremental")
+    history = scan_history(spark, paths.history)
+    counts = [F.coalesce(F.col(n), F.lit(-1)).cast("bigint").alias(n) for n in ("rows_out", "null_rows")]
+    steps = history.where(F.col("layer").isin("bronze", "silver", "gold"))
+    return steps.select("run_id", "layer", *counts, "status").unionByName(
+        scan_gold(spark, paths.gold).agg(
+            F.lit("all").alias("run_id"),
+            F.lit("records in gold").alias("layer"),
+            F.sum(GOLD_COUNT).alias("rows_out"),
+            F.lit(-1).cast("bigint").alias("null_rows"),
+            F.lit("ok").alias("status"),
         )
-        .union(to_gold(silver).agg(rows).select(F.lit("gold"), "n_rows", none))
     )
 
 
+def quarantine(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Silver and quarantine of one write: rows by status, their ids and payloads."""
+    path = shared_scratch(spark, "quarantine")
+    write_checked_silver(to_checked_silver(_customer_bronze(spark, sf_dir)), path)
+    read = scan_checked_silver(spark, path).select(
+        F.lit("read").alias("status"), "id", "longitude", F.lit(None).cast("string").alias("payload")
+    )
+    kept = scan_quarantine(spark, path).select(
+        "status", F.lit(None).cast("string").alias("id"), F.lit(None).cast("double").alias("longitude"),
+        F.substring("payload", 1, 20).alias("payload"),
+    )
+    return read.unionByName(kept)
+
+
+def _three_versions(spark: SparkSession, sf_dir: str) -> Iterator[DataFrame]:
+    """Payloads of three runs: all customers, those moved since (key % 3 = 0), all but key % 5 = 0 renamed."""
+    records, key = customer_records(spark, sf_dir), F.col("id").cast("bigint")
+    yield clean_payloads(records)
+    yield clean_payloads(records.where(key % 3 == 0).withColumn("city", F.lit("Moved")))
+    renamed = records.where(key % 5 != 0).withColumn("name", F.concat("name", F.lit(" & Co")))
+    # A third of these rows have no id, another tenth one and the same.
+    anonymous = F.when(key % 3 == 1, None).when(key % 10 == 2, "hot").otherwise(F.col("id"))
+    yield clean_payloads(renamed.withColumn("id", anonymous))
+
+
+def latest_records(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Gold of the latest record of each id after three incremental runs, of which one came twice."""
+    paths = LayerPaths(shared_scratch(spark, "latest_records"))
+    for hour, payloads in enumerate(_three_versions(spark, sf_dir)):
+        for _ in range(2 if hour == 1 else 1):
+            build_bronze(spark, payloads, paths.bronze, _at(hour), mode="incremental")
+            build_silver(spark, paths, mode="incremental")
+    return to_gold(latest_by_id(scan_silver(spark, paths.silver)))
+
+
+def gold_maintained(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Gold kept by the counts of three incremental runs, of which one came twice."""
+    paths = LayerPaths(shared_scratch(spark, "gold_maintained"))
+    for hour, payloads in enumerate(_three_versions(spark, sf_dir)):
+        for _ in range(2 if hour == 1 else 1):
+            run_batch(spark, payloads, paths, _at(hour), mode="incremental", maintained=True)
+    return scan_gold(spark, paths.gold)
+
+
+def layer_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rows of each layer, and Silver rows of which nothing could be read, in one pass."""
+    silver = to_silver(_customer_bronze(spark, sf_dir))
+    groups = silver.groupBy(*GOLD_KEYS).agg(
+        F.count(F.lit(1)).alias("n"), F.count_if(all_null()).alias("nulls")
+    )
+    total = groups.agg(
+        F.count(F.lit(1)).alias("groups"),
+        F.coalesce(F.sum("n"), F.lit(0)).alias("n"),
+        F.coalesce(F.sum("nulls"), F.lit(0)).alias("nulls"),
+    )
+    none = F.lit(0).cast("bigint")
+    layers = (("bronze", F.col("n"), none), ("silver", F.col("n"), F.col("nulls")), ("gold", F.col("groups"), none))
+    rows = [F.struct(F.lit(name).alias("layer"), n.alias("n_rows"), nulls.alias("null_rows")) for name, n, nulls in layers]
+    return total.select(F.inline(F.array(*rows)))
+
+
 def _at(hour: int) -> Run:
     return Run(RUN.ts + timedelta(hours=hour), RUN.source_system)
 
@@ -439,6 +548,12 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "raw_lossless": raw_lossless,
     "gate_report": gate_report,
     "layer_counts": layer_counts,
+    "null_rates": null_rates,
+    "audited_append": audited_append,
+    "audited_incremental": audited_incremental,
+    "quarantine": quarantine,
+    "latest_records": latest_records,
+    "gold_maintained": gold_maintained,
     "rerun_append": rerun_append,
     "rerun_incremental": rerun_incremental,
     "rerun_sources": rerun_sources,

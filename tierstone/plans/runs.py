@@ -14,9 +14,9 @@ The two lay out Bronze and Silver differently, so each needs paths of its own.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Iterator, Mapping
 from contextlib import contextmanager, suppress
-from dataclasses import dataclass, field
+from dataclasses import dataclass, field, replace
 from typing import Literal
 
 from pyspark.sql import DataFrame, SparkSession
@@ -26,6 +26,8 @@ from ..operators import gates
 from ..operators.bronze import Run, to_bronze
 from ..operators.gold import to_gold
 from ..operators.history import Step, append_history, counting, recorded
+from ..operators.maintained import merge_counts, run_bronze, run_counts, scan_counts, write_run_counts
+from ..operators.publish import Audit
 from ..operators.silver import all_null, to_silver
 from ..operators.sinks import (
     bronze_mode,
@@ -38,13 +40,16 @@ from ..operators.sinks import (
     write_silver,
 )
 from ..errors import LoadError
-from ..schemas import GOLD_COUNT, SILVER
+from ..functions.records import parse_payload, record_schema
+from ..schemas import GOLD_COUNT, RECORD, SILVER
 from ..sources.layers import scan_bronze, scan_silver, stored
 from ..sources.paged import DEFAULT_PER_PAGE, Fetcher, fetch_all, probe_pages
 from ..sources.raw import read_raw_lines
 from ..streaming.incremental import follow_bronze
 
 Mode = Literal["append_all", "incremental"]
+#: Largest share of nulls by layer and column, as ``{"silver": {"id": 0.05}}``.
+Limits = Mapping[str, Mapping[str, float]]
 
 
 @dataclass(frozen=True)
@@ -59,9 +64,10 @@ class LayerPaths:
     pages: str = ""
     history: str = ""
     checkpoint: str = ""
+    counts: str = ""
 
     def __post_init__(self) -> None:
-        for name in ("bronze", "silver", "gold", "raw", "pages", "history", "checkpoint"):
+        for name in ("bronze", "silver", "gold", "raw", "pages", "history", "checkpoint", "counts"):
             if not getattr(self, name):
                 object.__setattr__(self, name, f"{self.root.rstrip('/')}/{name}")
 
@@ -87,6 +93,26 @@ class RunReport:
 # --- single steps -----------------------------------------------------------
 
 
+def limited(limits: Limits | None, run_id: str, layer: str) -> Audit | None:
+    """The audit of a layer's write, or None where nothing limits it."""
+    gate = {"bronze": gates.BRONZE_GATE, "silver": gates.SILVER_GATE, "gold": gates.GOLD_GATE}[layer]
+    rates = (limits or {}).get(layer)
+    return Audit(run_id, (replace(gate, null_rate=rates),)) if rates else None
+
+
+def _limited_run(limits: Limits | None, run: Run) -> Audit | None:
+    """The audit of an incremental run: its Silver limits hold before it enters Bronze.
+
+    What is in Bronze reaches Silver sooner or later. So the limited fields are parsed
+    in the write of Bronze, and a refused run is in neither.
+    """
+    found = [a for layer in ("bronze", "silver") if (a := limited(limits, run.run_id, layer))]
+    fields = [name for name in (limits or {}).get("silver", {}) if name in RECORD.names]
+    parsed = parse_payload("payload", record_schema(fields)) if fields else None
+    columns = {name: parsed[name] for name in fields}
+    return Audit(run.run_id, tuple(g for a in found for g in a.gates), columns) if found else None
+
+
 def extract(
     spark: SparkSession, source: DataFrame | PagedInput, paths: LayerPaths, run: Run
 ) -> DataFrame:
@@ -107,6 +133,7 @@ def build_bronze(
     *,
     mode: Mode = "append_all",
     step: Step | None = None,
+    limits: Limits | None = None,
 ) -> Step:
     """``payload`` rows -> Bronze on disk; none are needed for a run that it holds."""
     step = step or Step(run.run_id, "bronze")
@@ -117,9 +144,9 @@ def build_bronze(
     bronze = to_bronze(payloads, run)
     counted, fill = counting(bronze, step, null_rows=F.count_if(F.col("payload").isNull()))
     if mode == "incremental":
-        write_bronze_run(counted, path, run)
+        write_bronze_run(counted, path, run, _limited_run(limits, run))
     else:
-        write_bronze(counted, path)
+        write_bronze(counted, path, limited(limits, run.run_id, "bronze"))
     fill()
     return step
 
@@ -133,6 +160,7 @@ def build_silver(
     partitions: int | None = None,
     step: Step | None = None,
     bronze: DataFrame | None = None,
+    limits: Limits | None = None,
 ) -> Step:
     """Bronze on disk -> Silver on disk: all of it, or the files not yet seen.
 
@@ -150,7 +178,7 @@ def build_silver(
     if bronze is None:
         bronze = scan_bronze(spark, paths.bronze)
     counted, fill = counting(to_silver(bronze), step, null_rows=F.count_if(all_null()))
-    write_silver(counted, paths.silver, partitions)
+    write_silver(counted, paths.silver, partitions, limited(limits, step.run_id, "silver"))
     fill()
     return step
 
@@ -163,14 +191,41 @@ def build_gold(
     run_id: str = "",
     step: Step | None = None,
     silver: DataFrame | None = None,
+    limits: Limits | None = None,
 ) -> Step:
     """Silver on disk -> Gold on disk; ``silver`` as ``bronze`` above."""
     step = step or Step(run_id, "gold")
     if silver is None:
         silver = scan_silver(spark, silver_path)
     counted, fill = counting(to_gold(silver), step, rows_in=F.sum(GOLD_COUNT))
-    write_gold(counted, gold_path)
+    write_gold(counted, gold_path, limited(limits, step.run_id, "gold"))
+    fill()
+    return step
+
+
+def build_maintained_gold(
+    spark: SparkSession,
+    paths: LayerPaths,
+    run: Run,
+    *,
+    step: Step | None = None,
+    limits: Limits | None = None,
+) -> Step:
+    """Gold after an incremental run, from the run's own rows and the counts of earlier runs.
+
+    A run reads its Bronze folder and one row a group and run, whatever Silver has grown to.
+    """
+    step = step or Step(run.run_id, "gold")
+    counted, fill = counting(
+        run_counts(run_bronze(spark, paths.bronze, run)), step, rows_in=F.sum(GOLD_COUNT)
+    )
+    write_run_counts(counted, paths.counts, run)
+    fill()
+    whole = Step(run.run_id, "gold")
+    counted, fill = counting(merge_counts(scan_counts(spark, paths.counts)), whole)
+    write_gold(counted, paths.gold, limited(limits, run.run_id, "gold"))
     fill()
+    step.rows_out = whole.rows_out
     return step
 
 
@@ -213,12 +268,17 @@ def run_batch(
     mode: Mode = "append_all",
     partitions: int | None = None,
     history: bool = False,
+    maintained: bool = False,
 ) -> RunReport:
     """Source -> Bronze -> Silver -> Gold without gates.
 
+    ``maintained`` keeps Gold by the counts of incremental runs, see ``build_maintained_gold``.
+
     A source without records ends the run early: nothing is written and nothing fails.
     """
     report = RunReport(run.run_id)
+    if maintained and mode != "incremental":
+        raise LoadError("Gold is maintained by incremental runs only")
     _refuse_mixed(spark, paths, mode)
     done = mode == "incremental" and bronze_run_is_done(spark, paths.bronze, run)
     with _history(spark, report, paths.history, history):
@@ -234,7 +294,10 @@ def run_batch(
         with recorded(report.steps, run.run_id, "silver") as step:
             build_silver(spark, paths, mode=mode, partitions=partitions, step=step)
         with recorded(report.steps, run.run_id, "gold") as step:
-            build_gold(spark, paths.silver, paths.gold, step=step)
+            if maintained:
+                build_maintained_gold(spark, paths, run, step=step)
+            else:
+                build_gold(spark, paths.silver, paths.gold, step=step)
     report.completed = True
     return report
 
@@ -248,12 +311,14 @@ def run_gated(
     mode: Mode = "append_all",
     partitions: int | None = None,
     history: bool = True,
+    limits: Limits | None = None,
 ) -> RunReport:
     """Probe, extract to RAW, then each layer behind its gate.
 
     The first failure ends the run; a source without records fails at the probe.
     A gate looks at a layer about to be written: its columns by schema, its rows
-    by fetching one. So no layer is built twice.
+    by fetching one. So no layer is built twice. ``limits`` on shares of nulls are
+    observed in the write itself, which shows only if they hold (``publish``).
     """
     report = RunReport(run.run_id)
     _refuse_mixed(spark, paths, mode)
@@ -274,18 +339,18 @@ def run_gated(
             with recorded(report.steps, run.run_id, "bronze gate"):
                 gates.enforce(to_bronze(payloads, run), gates.BRONZE_GATE)
         with recorded(report.steps, run.run_id, "bronze") as step:
-            build_bronze(spark, payloads, paths.bronze, run, mode=mode, step=step)
+            build_bronze(spark, payloads, paths.bronze, run, mode=mode, step=step, limits=limits)
         with recorded(report.steps, run.run_id, "silver gate"):
             bronze = scan_bronze(spark, paths.bronze)
             gates.enforce(to_silver(bronze), gates.SILVER_GATE)
         with recorded(report.steps, run.run_id, "silver") as step:
             build_silver(
-                spark, paths, mode=mode, partitions=partitions, step=step, bronze=bronze
+                spark, paths, mode=mode, partitions=partitions, step=step, bronze=bronze, limits=limits
             )
         with recorded(report.steps, run.run_id, "gold gate"):
             silver = scan_silver(spark, paths.silver)
             gates.enforce(to_gold(silver), gates.GOLD_GATE, silver)
         with recorded(report.steps, run.run_id, "gold") as step:
-            build_gold(spark, paths.silver, paths.gold, step=step, silver=silver)
+            build_gold(spark, paths.silver, paths.gold, step=step, silver=silver, limits=limits)
     report.completed = True
     return report

@@ -53,3 +53,4 @@ SILVER_PARTITIONS = ["country", "state_province"]
 
 SILVER = StructType([BRONZE["ingestion_timestamp"], *(RECORD[name] for name in SILVER_FIELDS)])
 GOLD = StructType([*(RECORD[name] for name in GOLD_KEYS), *table(f"{GOLD_COUNT} bigint")])
+QUARANTINE = table("status string, ingestion_timestamp timestamp, payload string")

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.types import StructType
 
-from ..schemas import BRONZE, GOLD, SILVER
+from ..schemas import BRONZE, GOLD, QUARANTINE, SILVER
 from ..session import path_exists
 
 
@@ -25,5 +25,16 @@ def scan_silver(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.schema(SILVER).parquet(path).select(*SILVER.names)
 
 
+def scan_quarantine(spark: SparkSession, path: str) -> DataFrame:
+    """Rows of a checked Silver that were not read: their status, timestamp and payload."""
+    rows = spark.read.schema(QUARANTINE).parquet(path)
+    return rows.where("status <> 'read'").select(*QUARANTINE.names)
+
+
+def scan_checked_silver(spark: SparkSession, path: str) -> DataFrame:
+    """Silver of a checked table: the rows that were read."""
+    return scan_silver(spark, f"{path.rstrip('/')}/status=read")
+
+
 def scan_gold(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.schema(GOLD).parquet(path).select(*GOLD.names)
