@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from ..session import ship_package
 from . import (
     decontaminate,
+    lang_id,
     line_dedup,
     lm_scoring,
     mixing,
@@ -76,6 +77,10 @@ def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_rules.rate(docs, quality_rules.fit(docs, labels))
 
 
+def op12_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lang_id.identify(table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_mixing": op1_mixing,
     "op2_decontaminate": op2_decontaminate,
@@ -87,6 +92,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_simhash_dedup": op8_simhash_dedup,
     "op9_quality_classifier": op9_quality_classifier,
     "op10_quality_rules": op10_quality_rules,
+    "op12_language_id": op12_language_id,
 }
 ORACLES: dict[str, str] = {
     "op1_mixing": r"""
