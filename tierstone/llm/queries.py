@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from ..session import ship_package
 from . import (
+    cross_tokenizer,
     decontaminate,
     lang_id,
     line_dedup,
@@ -81,6 +82,13 @@ def op12_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lang_id.identify(table(spark, sf_dir, "documents"))
 
 
+def op13_cross_tokenizer(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import public_tokenizers
+
+    pieces = public_tokenizers.path("piece_bpe_32k.model")
+    return cross_tokenizer.report(table(spark, sf_dir, "documents"), tokenizer_path(), pieces)
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_mixing": op1_mixing,
     "op2_decontaminate": op2_decontaminate,
@@ -93,6 +101,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op9_quality_classifier": op9_quality_classifier,
     "op10_quality_rules": op10_quality_rules,
     "op12_language_id": op12_language_id,
+    "op13_cross_tokenizer": op13_cross_tokenizer,
 }
 ORACLES: dict[str, str] = {
     "op1_mixing": r"""
