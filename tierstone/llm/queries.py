@@ -14,6 +14,7 @@ from . import (
     line_dedup,
     lm_scoring,
     mixing,
+    phrases,
     quality_classifier,
     quality_rules,
     simhash_dedup,
@@ -78,6 +79,10 @@ def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_rules.rate(docs, quality_rules.fit(docs, labels))
 
 
+def op11_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return phrases.collocations(table(spark, sf_dir, "documents"))
+
+
 def op12_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lang_id.identify(table(spark, sf_dir, "documents"))
 
@@ -100,6 +105,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_simhash_dedup": op8_simhash_dedup,
     "op9_quality_classifier": op9_quality_classifier,
     "op10_quality_rules": op10_quality_rules,
+    "op11_collocations": op11_collocations,
     "op12_language_id": op12_language_id,
     "op13_cross_tokenizer": op13_cross_tokenizer,
 }
