@@ -45,8 +45,8 @@ MAX_WORDS = 5
 TOP = 2000
 SHARD = 1 << 17
 BROADCAST_BYTES = 64 << 20
-PIECE = 4 << 20
-GATHERED = 1 << 22
+PIECE = 1 << 20
+GATHERED = 1 << 20
 
 # What parts words, and what ends a piece of text.
 _GAP = np.zeros(256, bool)
