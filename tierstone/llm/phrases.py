@@ -47,6 +47,7 @@ SHARD = 1 << 17
 BROADCAST_BYTES = 64 << 20
 PIECE = 1 << 20
 GATHERED = 1 << 20
+SLOT_KEYS = 1 << 20
 
 # What parts words, and what ends a piece of text.
 _GAP = np.zeros(256, bool)
@@ -161,13 +162,29 @@ def _encoded(docs: DataFrame, shared, salt: int) -> DataFrame:
 
 
 _NUMBERS = pa.schema([("numbers", pa.binary())])
-_SEEN = pa.schema([("kind", pa.int32()), ("key", pa.int64()), ("n", pa.int64())])
+_SEEN = pa.schema([("kind", pa.int32()), ("slot", pa.int64()), ("keys", pa.binary()), ("n", pa.binary())])
+_SEEN_COLUMNS = "kind int, slot bigint, keys binary, n binary"
+COUNTED, FOLLOWED = 0, 1
+
+
+def _blocks(kind: int, keys: np.ndarray, n: np.ndarray, slots: int) -> Iterator[pa.RecordBatch]:
+    """Keys with their counts, dealt to slots by hash: one row for each slot that gets any."""
+    slot = (tb.mix(keys.view(np.uint64)) % np.uint64(slots)).astype(np.int64)
+    order = np.argsort(slot, kind="stable")
+    slot, keys, n = slot[order], keys[order], n[order]
+    starts = np.flatnonzero(np.diff(slot, prepend=-1))
+    ends = np.append(starts[1:], len(slot))
+    if len(starts):
+        bodies = ([x[i:j].astype(np.int64).tobytes() for i, j in zip(starts, ends, strict=True)] for x in (keys, n))
+        columns = [pa.array(np.full(len(starts), kind, np.int32)), pa.array(slot[starts]), *map(pa.array, bodies)]
+        yield pa.RecordBatch.from_arrays(columns, schema=_SEEN)
 
 
 class _Seen:
     """Keys seen by a task, added up whenever many have gathered."""
 
-    def __init__(self):
+    def __init__(self, slots: int):
+        self._slots = slots
         self._parts: list[np.ndarray] = []
         self._held = 0
 
@@ -180,8 +197,7 @@ class _Seen:
     def rows(self) -> Iterator[pa.RecordBatch]:
         keys, n = np.unique(np.concatenate([np.zeros(0, np.int64), *self._parts]), return_counts=True)
         self._parts, self._held = [], 0
-        if len(keys):
-            yield pa.RecordBatch.from_arrays([pa.array(np.ones(len(keys), np.int32)), pa.array(keys), pa.array(n)], schema=_SEEN)
+        yield from _blocks(FOLLOWED, keys, n, self._slots)
 
 
 def _follows(ids: np.ndarray, words: np.ndarray, positions: np.ndarray, length: int, strict: bool) -> np.ndarray:
@@ -195,9 +211,9 @@ def _follows(ids: np.ndarray, words: np.ndarray, positions: np.ndarray, length:
     return ids[go_on].astype(np.int64) << 32 | following[go_on].astype(np.int64)
 
 
-def _pairs_seen(encoded: DataFrame) -> DataFrame:
+def _pairs_seen(encoded: DataFrame, slots: int) -> DataFrame:
     def see(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        seen = _Seen()
+        seen = _Seen(slots)
         for batch in batches:
             for body in batch.column("numbers").to_pylist():
                 words = np.frombuffer(body, np.int32)
@@ -205,7 +221,7 @@ def _pairs_seen(encoded: DataFrame) -> DataFrame:
                 yield from seen.add(_follows(words[at], words, at, 1, False))
         yield from seen.rows()
 
-    return encoded.mapInArrow(see, "kind int, key bigint, n bigint")
+    return encoded.mapInArrow(see, _SEEN_COLUMNS)
 
 
 def shard_of(first, second, shards: int):
@@ -226,7 +242,9 @@ def _tries(candidates: DataFrame, length: int, n_digits: int) -> DataFrame:
     return candidates.select("shard", "place", "words").groupBy("shard").applyInPandas(one, schema)
 
 
-def _count_pass(encoded: DataFrame, tries: list, length: int, shards: int, firsts: dict[int, int], n_digits: int, last: bool) -> DataFrame:
+def _count_pass(
+    encoded: DataFrame, tries: list, length: int, shards: int, firsts: dict[int, int], n_digits: int, last: bool, slots: int
+) -> DataFrame:
     """Frequencies of the phrases of some shards, and what could follow them."""
     whole = len(tries) == len(firsts)
     arrays = [Trie(*(np.frombuffer(r[k], np.int32) for k in ("base", "check", "value"))) for r in tries]
@@ -239,7 +257,7 @@ def _count_pass(encoded: DataFrame, tries: list, length: int, shards: int, first
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         trie, root = shared.value
-        total, seen = np.zeros(high - low, np.int64), _Seen()
+        total, seen = np.zeros(high - low, np.int64), _Seen(slots)
         for batch in batches:
             for body in batch.column("numbers").to_pylist():
                 words = np.frombuffer(body, np.int32)
@@ -257,20 +275,25 @@ def _count_pass(encoded: DataFrame, tries: list, length: int, shards: int, first
                         yield from seen.add(_follows(ids, words, positions, length, whole))
         yield from seen.rows()
         found = np.flatnonzero(total)
-        if len(found):
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(np.zeros(len(found), np.int32)), pa.array(found + low), pa.array(total[found])], schema=_SEEN
-            )
+        yield from _blocks(COUNTED, found + low, total[found], slots)
 
-    return encoded.mapInArrow(count, "kind int, key bigint, n bigint")
+    return encoded.mapInArrow(count, _SEEN_COLUMNS)
 
 
 def _summed(seen: DataFrame, path: str, min_count: int) -> tuple[DataFrame, DataFrame]:
     """Frequencies by number, and what was seen often enough to be a candidate."""
-    sums = seen.groupBy("kind", "key").agg(F.sum("n").alias("n")).where(F.col("n") >= min_count)
-    sums.write.parquet(path)
+
+    def add(blocks: pd.DataFrame) -> pd.DataFrame:
+        keys, n = (np.frombuffer(b"".join(blocks[c]), np.int64) for c in ("keys", "n"))
+        keys, at = np.unique(keys, return_inverse=True)
+        sums = np.bincount(at, n, minlength=len(keys)).astype(np.int64)
+        often = sums >= min_count
+        return pd.DataFrame({"kind": blocks["kind"].iloc[0], "key": keys[often], "n": sums[often]})
+
+    seen.groupBy("kind", "slot").applyInPandas(add, "kind int, key bigint, n bigint").write.parquet(path)
     found = seen.sparkSession.read.parquet(path)
-    return found.where("kind = 0").select("key", "n"), found.where("kind = 1").select("key")
+    frequencies, followed = found.where(F.col("kind") == COUNTED), found.where(F.col("kind") == FOLLOWED)
+    return frequencies.select("key", "n"), followed.select("key")
 
 
 def frequent_phrases(
@@ -315,7 +338,10 @@ def frequent_phrases(
         return totals, levels
     _encoded(docs, shared, salt).write.option("compression", "zstd").parquet(f"{scratch}/numbers")
     encoded = spark.read.schema("numbers binary").parquet(f"{scratch}/numbers")
-    _, candidates = _summed(_pairs_seen(encoded), f"{scratch}/seen1", min_count)
+    # So many slots that the keys of one, at most all positions over the slots, suit a task.
+    positions = encoded.agg(F.sum(F.octet_length("numbers"))).first()[0] or 0
+    slots = 1 + positions // (4 * SLOT_KEYS)
+    _, candidates = _summed(_pairs_seen(encoded, slots), f"{scratch}/seen1", min_count)
     follow = levels[0].select(F.col("id").alias("next"), F.col("phrase").alias("word"))
     for length in range(2, max_words + 1):
         n = candidates.count()
@@ -353,7 +379,7 @@ def frequent_phrases(
         passes = None
         for group in groups:
             held = tries.where(F.col("shard").isin(group)).orderBy("shard").collect()
-            found = _count_pass(encoded, held, length, shards, firsts, n_digits, length == max_words)
+            found = _count_pass(encoded, held, length, shards, firsts, n_digits, length == max_words, slots)
             passes = found if passes is None else passes.unionByName(found)
         frequencies, candidates = _summed(passes, f"{scratch}/seen{length}", min_count)
         first_of = spark.createDataFrame(list(firsts.items()), "shard bigint, offset bigint")
