@@ -28,6 +28,7 @@ from __future__ import annotations
 
 import hashlib
 import os
+from array import array
 from collections.abc import Iterator
 
 import numpy as np
@@ -98,41 +99,47 @@ class Vocabularies:
             bytes([int(p[3:5], 16)]) if self._b.is_byte(i) else p.replace("▁", " ").encode()
             for i, p in enumerate(pieces)
         ]
-        self.a_data, self.a_offsets = self._table(a_bytes)
-        self.b_data, self.b_offsets = self._table(b_bytes)
-        self._words: dict[bytes, tuple[bytes, bytes] | None] = {}
+        self._a_tokens, self._b_tokens = a_bytes, b_bytes
+        self.a_ends, self.b_ends = self._ends(a_bytes), self._ends(b_bytes)
+        self._words: dict[bytes, bytes | None] = {}
+        self._older: dict[bytes, bytes | None] = {}
 
     @staticmethod
-    def _table(tokens: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+    def _ends(tokens: list[bytes]) -> np.ndarray:
         ends = np.zeros(len(tokens) + 1, np.int64)
         np.cumsum([len(t) for t in tokens], out=ends[1:])
-        return np.frombuffer(b"".join(tokens), np.uint8), ends
+        return ends
 
-    def _learn(self, words: list[bytes]) -> list[tuple[bytes, bytes] | None]:
-        """Packed ids of both for each word, or None where their bytes are not a space and the word."""
+    def _learn(self, words: list[bytes]) -> list[bytes | None]:
+        """For each word how many ids A has for it, these and B's, packed as 32-bit numbers;
+        None where the bytes of either are not a space and the word."""
         texts = [w.decode(errors="replace") for w in words]
         a = [e.ids for e in self._a.encode_batch_fast([" " + t for t in texts], add_special_tokens=False)]
         b = self._b.encode(texts, num_threads=1)
-        found: list[tuple[bytes, bytes] | None] = []
+        found: list[bytes | None] = []
+        of_a, of_b = self._a_tokens.__getitem__, self._b_tokens.__getitem__
         for word, x, y in zip(words, a, b, strict=True):
-            x, y = np.array(x, np.uint32), np.array(y, np.uint32)
-            whole = b" " + word
-            same = self._joined(self.a_data, self.a_offsets, x) == whole == self._joined(self.b_data, self.b_offsets, y)
-            found.append((x.tobytes(), y.tobytes()) if same else None)
+            same = b"".join(map(of_a, x)) == b" " + word == b"".join(map(of_b, y))
+            found.append(array("I", [len(x), *x, *y]).tobytes() if same else None)
         return found
 
-    @staticmethod
-    def _joined(data: np.ndarray, offsets: np.ndarray, ids: np.ndarray) -> bytes:
-        return b"".join([data[offsets[i] : offsets[i + 1]].tobytes() for i in ids.tolist()])
-
-    def _known(self, words: list[bytes]) -> list[tuple[bytes, bytes] | None]:
-        memory = self._words
-        if len(memory) > REMEMBERED:
-            memory.clear()
-        new = [w for w in words if w not in memory]
+    def _known(self, words: list[bytes]) -> list[bytes | None]:
+        if len(self._words) > REMEMBERED:
+            self._older, self._words = self._words, {}
+        memory, older = self._words, self._older
+        new = []
+        for w in words:
+            if w not in memory:
+                if w in older:
+                    memory[w] = older[w]
+                else:
+                    new.append(w)
         learned = dict(zip(new, self._learn(new), strict=True)) if new else {}
-        out = [learned[w] if w in learned else memory[w] for w in words]
-        memory.update((w, t) for w, t in learned.items() if len(w) <= LONG_WORD)
+        memory.update(learned)
+        out = [memory[w] for w in words]
+        for w in new:
+            if len(w) > LONG_WORD:
+                del memory[w]
         return out
 
     def tokens(self, data: np.ndarray, offsets: np.ndarray) -> tuple[Tokens, np.ndarray]:
@@ -152,13 +159,16 @@ class Vocabularies:
         sound[row[broken[which]]] = False
         use = sound[row]
 
-        def stream(side: int, table: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-            bodies = [f[side] if f else b"" for f in found]
-            ids = np.frombuffer(b"".join(bodies), np.uint32).astype(np.int64)
-            sizes = np.array([len(b) // 4 for b in bodies], np.int64)
-            begins = np.cumsum(sizes) - sizes
+        ids = np.frombuffer(b"".join([f or b"" for f in found]), np.uint32).astype(np.int64)
+        all_sizes = np.array([len(f) // 4 if f else 0 for f in found], np.int64)
+        begins = np.cumsum(all_sizes) - all_sizes
+        a_sizes = np.zeros(len(found), np.int64)
+        a_sizes[~broken] = ids[begins[~broken]]
+        b_sizes = np.maximum(all_sizes - 1 - a_sizes, 0)
+
+        def stream(first: np.ndarray, sizes: np.ndarray, table: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
             of = which[use]
-            taken = ids[spans(begins[of], sizes[of])]
+            taken = ids[spans(first[of], sizes[of])]
             # Ends in the joined bytes of all rows: from the start of each word on.
             lengths = table[taken + 1] - table[taken]
             sums = np.cumsum(lengths)
@@ -168,8 +178,8 @@ class Vocabularies:
             before = np.concatenate([[0], word_total[:-1]]) if len(last) else last
             return taken, sums + np.repeat(starts[use] - before, n)
 
-        a, a_ends = stream(0, self.a_offsets)
-        b, b_ends = stream(1, self.b_offsets)
+        a, a_ends = stream(begins + 1, a_sizes, self.a_ends)
+        b, b_ends = stream(begins + 1 + a_sizes, b_sizes, self.b_ends)
         return Tokens(a, a_ends, b, b_ends), sound
 
 
@@ -218,13 +228,10 @@ def _align_rows(data: np.ndarray, offsets: np.ndarray, both: Vocabularies) -> li
     if tokens:
         aligned = align(tokens)
 
-        def rows(values: np.ndarray) -> np.ndarray:
-            return np.searchsorted(ends, values, "left") - 1
-
         def per_row(values: np.ndarray) -> np.ndarray:
-            return np.bincount(rows(values), minlength=len(at))
+            return np.diff(np.searchsorted(values, ends, "right"))
 
-        link_rows = rows(aligned.link_ends)
+        link_rows = np.repeat(np.arange(len(at)), per_row(aligned.link_ends))
         for k, values in enumerate((tokens.a_ends, tokens.b_ends, aligned.common, aligned.link_ends)):
             counts[k, at] = per_row(values)
         # The text of each row, its groups' texts without the last semicolon.

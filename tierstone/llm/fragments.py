@@ -88,12 +88,21 @@ def align(t: Tokens) -> Aligned:
     each: every overlapping pair is one segment. Many documents may stand one after the
     other, each with its last end common.
     """
-    ends = np.unique(np.concatenate([t.a_ends, t.b_ends]))
-    links = pair_keys(t.a[np.searchsorted(t.a_ends, ends)], t.b[np.searchsorted(t.b_ends, ends)])
-    common = np.intersect1d(t.a_ends, t.b_ends, assume_unique=True)
-    a_group, b_group = np.searchsorted(common, t.a_ends), np.searchsorted(common, t.b_ends)
-    # Each token with the letter after it: groups as a1,a2|b1; in the order of the bytes.
     n_a, n_b = len(t.a), len(t.b)
+    both = np.concatenate([t.a_ends, t.b_ends])
+    order = np.argsort(both, kind="stable")  # two sorted runs, which it merges
+    new = np.diff(both[order], prepend=-1) != 0
+    segment = np.empty(n_a + n_b, np.int64)
+    segment[order] = np.cumsum(new) - 1
+    ends = both[order][new]
+    a_here, b_here = np.zeros(len(ends), np.int64), np.zeros(len(ends), np.int64)
+    a_here[segment[:n_a]] = 1
+    b_here[segment[n_a:]] = 1
+    links = pair_keys(t.a[np.cumsum(a_here) - a_here], t.b[np.cumsum(b_here) - b_here])
+    shared = a_here & b_here
+    common, group = ends[shared > 0], np.cumsum(shared) - shared
+    a_group, b_group = group[segment[:n_a]], group[segment[n_a:]]
+    # Each token with the letter after it: groups as a1,a2|b1; in the order of the bytes.
     order = np.argsort(np.concatenate([2 * a_group, 2 * b_group + 1]), kind="stable")
     ids = np.concatenate([t.a, t.b])[order]
     data, offsets = _decimal_table(int(ids.max()) + 1 if len(ids) else 1)
