@@ -101,6 +101,8 @@ class Vocabularies:
         ]
         self._a_tokens, self._b_tokens = a_bytes, b_bytes
         self.a_ends, self.b_ends = self._ends(a_bytes), self._ends(b_bytes)
+        # What B has for a space that ends a text; an empty text gets no space from it.
+        self._b_space = self._b.encode("x ")[len(self._b.encode("x")) :]
         self._words: dict[bytes, bytes | None] = {}
         self._older: dict[bytes, bytes | None] = {}
 
@@ -115,7 +117,7 @@ class Vocabularies:
         None where the bytes of either are not a space and the word."""
         texts = [w.decode(errors="replace") for w in words]
         a = [e.ids for e in self._a.encode_batch_fast([" " + t for t in texts], add_special_tokens=False)]
-        b = self._b.encode(texts, num_threads=1)
+        b = [ids if t else self._b_space for t, ids in zip(texts, self._b.encode(texts, num_threads=1), strict=True)]
         found: list[bytes | None] = []
         of_a, of_b = self._a_tokens.__getitem__, self._b_tokens.__getitem__
         for word, x, y in zip(words, a, b, strict=True):
