@@ -24,7 +24,7 @@ from tierstone.operators.sinks import (
     write_gold,
     write_silver,
 )
-from tierstone.plans.runs import LayerPaths, run_batch, run_gated
+from tierstone.plans.runs import LayerPaths, build_bronze, run_batch, run_gated
 from tierstone.schemas import GOLD_KEYS
 from tierstone.sources.layers import (
     scan_bronze,
@@ -33,6 +33,7 @@ from tierstone.sources.layers import (
     scan_quarantine,
     scan_silver,
 )
+from tierstone.streaming.latest import follow_latest, scan_latest
 
 
 def run_at(hour):
@@ -232,6 +233,27 @@ def test_a_hot_id_is_one_row_a_task(spark):
     assert [r.name for r in got.where("id = 'hot'").collect()] == ["999"]
 
 
+def test_latest_by_keyed_state_writes_what_changed(spark, path):
+    paths, table = LayerPaths(path), f"{path}/latest"
+    runs = [
+        [{"id": "a", "name": "old"}, {"id": "b", "name": "kept"}, {"name": "x"}],
+        [{"id": "a", "name": "new"}, {"id": "c", "name": "tie 1"}, {"id": "c", "name": "tie 2"}, {"name": "x"}],
+    ]
+    for hour, rows in enumerate(runs):
+        payloads = payloads_from_list(spark, rows)
+        build_bronze(spark, payloads, paths.bronze, run_at(hour), mode="incremental")
+        for _ in range(2):  # nothing new, nothing written
+            follow_latest(spark, paths.bronze, table, f"{path}/state")
+    assert sorted(os.listdir(table)) == ["batch=0", "batch=1"]
+    assert sorted(r.id for r in spark.read.parquet(f"{table}/batch=1").collect()) == ["a", "c"]
+    silver = to_silver(scan_bronze(spark, paths.bronze))
+    got = scan_latest(spark, table, silver)
+    assert sorted((r.id or "", r.name) for r in got.collect()) == [("", "x"), ("", "x"), ("a", "new"), ("b", "kept"), ("c", "tie 2")]
+    same = latest_by_id(silver)
+    assert sorted(map(str, got.collect())) == sorted(map(str, same.collect()))
+    assert scan_latest(spark, f"{path}/nowhere").count() == 0
+
+
 # --- maintained Gold -------------------------------------------------------------
 
 

@@ -268,6 +268,7 @@ ORACLES: dict[str, str] = {
         FROM ({_CUSTOMERS})
     """,
     "latest_records": _gold(_LATEST),
+    "latest_incremental": _gold(_LATEST),
     "gold_maintained": _gold(_VERSIONS),
     "rerun_append": _gold(_CUSTOMERS, 6),
     "rerun_incremental": _gold(_CUSTOMERS, 2),

@@ -37,6 +37,7 @@ from ..sources.layers import (
 )
 from ..sources.paged import StoredPages, fetch_all
 from ..sources.raw import read_raw_arrays, read_raw_lines
+from ..streaming.latest import follow_latest, scan_latest
 from .runs import LayerPaths, Mode, build_bronze, build_gold, build_silver, run_batch, run_gated
 from .samples import (
     clean_payloads,
@@ -412,6 +413,18 @@ def latest_records(spark: SparkSession, sf_dir: str) -> DataFrame:
     return to_gold(latest_by_id(scan_silver(spark, paths.silver)))
 
 
+def latest_incremental(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same Gold from keyed state: each run reads the Bronze it has not seen."""
+    root = shared_scratch(spark, "latest_incremental")
+    paths = LayerPaths(root)
+    for hour, payloads in enumerate(_three_versions(spark, sf_dir)):
+        build_bronze(spark, payloads, paths.bronze, _at(hour), mode="incremental")
+        for _ in range(2 if hour == 1 else 1):
+            follow_latest(spark, paths.bronze, f"{root}/latest", f"{root}/latest_state")
+    silver = to_silver(scan_bronze(spark, paths.bronze))
+    return to_gold(scan_latest(spark, f"{root}/latest", silver))
+
+
 def gold_maintained(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Gold kept by the counts of three incremental runs, of which one came twice."""
     paths = LayerPaths(shared_scratch(spark, "gold_maintained"))
@@ -553,6 +566,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "audited_incremental": audited_incremental,
     "quarantine": quarantine,
     "latest_records": latest_records,
+    "latest_incremental": latest_incremental,
     "gold_maintained": gold_maintained,
     "rerun_append": rerun_append,
     "rerun_incremental": rerun_incremental,
