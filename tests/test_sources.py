@@ -379,6 +379,12 @@ def test_arrays_are_read_in_two_scans(spark, path):
     assert plan.count("FileScan") == 2 and plan.count(" Exchange ") == 1
 
 
+def test_arrays_are_read_in_any_session_of_an_application(spark, path):
+    write(path, "a.json", '[{"a": 1}, {"a": 2}]')
+    for session in (spark, spark.newSession(), spark.newSession()):
+        assert read_raw_arrays(session, path).count() == 2
+
+
 def test_arrays_of_many_files_and_splits_keep_their_order(spark, path):
     rng = random.Random(5)
     expected = []

@@ -61,11 +61,15 @@ def ship_package(spark: SparkSession) -> None:
     Needed where the driver finds it by its own path only, as in a checkout that is not
     installed on the machines of the cluster.
     """
-    _shipped(spark, spark.sparkContext.applicationId)
+    application = spark.sparkContext.applicationId
+    if application not in _SHIPPED:  # all sessions of an application share its files
+        _SHIPPED[application] = _ship(spark, application)
 
 
-@cache
-def _shipped(spark: SparkSession, application: str) -> str:
+_SHIPPED: dict[str, str] = {}
+
+
+def _ship(spark: SparkSession, application: str) -> str:
     root = Path(__file__).resolve().parent
     target = Path(tempfile.mkdtemp(prefix="tierstone-code-")) / f"{root.name}-{application}.zip"
     with zipfile.ZipFile(target, "w") as archive:
