@@ -4,6 +4,7 @@ import json
 import os
 import random
 import sys
+from collections import Counter
 
 import pytest
 from hypothesis import HealthCheck, given, settings
@@ -131,6 +132,64 @@ def fetch_all_small_waves(spark, path):
     return explode_pages(page_prefix(pages))
 
 
+def asked_pages(folder):
+    return sorted(int(name.split("-")[0]) for name in os.listdir(folder))
+
+
+@pytest.mark.parametrize("bad", [1, 2, 9, 37, 60])
+def test_a_failed_extraction_goes_on(spark, path, bad):
+    asked = f"{path}/asked"
+    os.mkdir(asked)
+    with pytest.raises(ExtractionError, match=f"page {bad}"):
+        fetch_all(spark, Answers({**numbered(60), bad: "down"}, asked), f"{path}/pages")
+    for name in os.listdir(asked):  # the page that failed may be asked for again
+        if name.startswith(f"{bad}-"):
+            os.remove(f"{asked}/{name}")
+    got = fetch_all(spark, Answers(numbered(60), asked), f"{path}/pages", resume=True)
+    assert sorted(ids(got)) == list(range(1, 61))
+    pages = asked_pages(asked)
+    assert len(pages) == len(set(pages)) and set(pages) >= set(range(1, 62))
+    # A landing with the end of the source is not asked about again.
+    assert fetch_all(spark, Answers({1: "bug"}, asked), f"{path}/pages", resume=True).count() == 60
+    assert asked_pages(asked) == pages
+    # Without resuming it is replaced.
+    assert ids(fetch_all(spark, Answers(numbered(1)), f"{path}/pages")) == [1]
+    assert ids(fetch_all(spark, Answers({}), f"{path}/pages", resume=True)) == [1]
+
+
+def test_an_extraction_that_fails_again_and_again(spark, path):
+    texts, asked = numbered(150), f"{path}/asked"
+    os.mkdir(asked)
+    bad = [3, 5, 6, 20, 21, 70, 149]
+    for n in range(len(bad)):
+        # Each attempt mends one page.
+        fails = Answers({**texts, **dict.fromkeys(bad[n:], "down")}, asked)
+        with pytest.raises(ExtractionError, match=f"page {bad[n]}:"):
+            land_pages(spark, fails, f"{path}/p", resume=True)
+    got = land_pages(spark, Answers(texts, asked), f"{path}/p", resume=True)
+    assert sorted(ids(explode_pages(got))) == list(range(1, 151))
+    counts = Counter(asked_pages(asked))
+    assert all(counts[k] == 1 for k in range(1, 151) if k not in bad)
+
+
+def test_a_wave_that_broke_off_is_fetched_anew(spark, path):
+    land_pages(spark, Answers(numbered(40)), f"{path}/p")
+    os.remove(f"{path}/p/wave=1/_SUCCESS")
+    got = land_pages(spark, Answers(numbered(45)), f"{path}/p", resume=True)
+    assert sorted(ids(explode_pages(got))) == list(range(1, 46))
+
+
+def test_a_resumed_landing_keeps_to_its_page_size_and_cap(spark, path):
+    with pytest.raises(ExtractionError):
+        land_pages(spark, Answers({**numbered(9), 4: "down"}), path, max_pages=6)
+    with pytest.raises(ExtractionError, match="pages of 50"):
+        land_pages(spark, Answers(numbered(9)), path, per_page=7, resume=True)
+    below = land_pages(spark, Answers({1: "bug"}), path, max_pages=3, resume=True)
+    assert sorted(ids(explode_pages(below))) == [1, 2, 3]
+    got = land_pages(spark, Answers(numbered(9)), path, max_pages=8, resume=True)
+    assert sorted(ids(explode_pages(got))) == list(range(1, 9))
+
+
 @pytest.mark.parametrize(
     "bad, error",
     [("down", ExtractionError), ("{", ApiResponseError), ('{"id": 1}', ApiResponseError)],

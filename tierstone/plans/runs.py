@@ -7,7 +7,8 @@ Two ways of re-running:
     runs Bronze holds n copies of each record and Silver n(n+1)/2.
 ``incremental``
     A run has its own Bronze folder, written once, and Silver takes only Bronze
-    files it has not seen. Repeating a run changes nothing.
+    files it has not seen. Repeating a run changes nothing, and repeating one that failed
+    asks a paged source only for the pages that were not landed.
 
 The two lay out Bronze and Silver differently, so each needs paths of its own.
 """
@@ -114,15 +115,24 @@ def _limited_run(limits: Limits | None, run: Run) -> Audit | None:
 
 
 def extract(
-    spark: SparkSession, source: DataFrame | PagedInput, paths: LayerPaths, run: Run
+    spark: SparkSession,
+    source: DataFrame | PagedInput,
+    paths: LayerPaths,
+    run: Run,
+    *,
+    resume: bool = False,
 ) -> DataFrame:
-    """The ``payload`` rows of a source. Pages are fetched once, into a table of the run."""
+    """The ``payload`` rows of a source. Pages are fetched once, into tables of the run.
+
+    ``resume`` keeps the pages that a failed attempt of the same run has landed.
+    """
     if isinstance(source, DataFrame):
         return source
     landing = f"{paths.pages}/run_id={run.run_id}"
     return fetch_all(
-        spark, source.fetch, landing, per_page=source.per_page, max_pages=source.max_pages
-    )
+        spark, source.fetch, landing,
+        per_page=source.per_page, max_pages=source.max_pages, resume=resume,
+    )
 
 
 def build_bronze(
@@ -280,11 +290,12 @@ def run_batch(
     if maintained and mode != "incremental":
         raise LoadError("Gold is maintained by incremental runs only")
     _refuse_mixed(spark, paths, mode)
-    done = mode == "incremental" and bronze_run_is_done(spark, paths.bronze, run)
+    resume = mode == "incremental"
+    done = resume and bronze_run_is_done(spark, paths.bronze, run)
     with _history(spark, report, paths.history, history):
         with recorded(report.steps, run.run_id, "extract") as step:
             # A run that Bronze holds is not asked for again.
-            payloads = None if done else extract(spark, source, paths, run)
+            payloads = None if done else extract(spark, source, paths, run, resume=resume)
             step.status = "already done" if done else step.status
             if payloads is not None and payloads.isEmpty():
                 step.status = "empty"
@@ -322,7 +333,8 @@ def run_gated(
     """
     report = RunReport(run.run_id)
     _refuse_mixed(spark, paths, mode)
-    done = mode == "incremental" and bronze_run_is_done(spark, paths.bronze, run)
+    resume = mode == "incremental"
+    done = resume and bronze_run_is_done(spark, paths.bronze, run)
     with _history(spark, report, paths.history, history):
         payloads = None
         if not done:  # a run that Bronze holds is not asked for again
@@ -332,7 +344,7 @@ def run_gated(
                 else:
                     gates.probe(source)
             with recorded(report.steps, run.run_id, "extract") as step:
-                counted, fill = counting(extract(spark, source, paths, run), step)
+                counted, fill = counting(extract(spark, source, paths, run, resume=resume), step)
                 raw = write_raw(counted, paths.raw, run.run_id)
                 fill()
             payloads = read_raw_lines(spark, raw)

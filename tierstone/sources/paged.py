@@ -11,23 +11,23 @@ import http.client
 import json
 import urllib.parse
 import urllib.request
-from collections.abc import Callable, Iterator, Mapping
+from collections.abc import Callable, Iterator, Mapping, Sequence
 from dataclasses import dataclass, field
 from typing import Any
 
-from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.datasource import DataSource, DataSourceReader, InputPartition
 
 from ..errors import ApiResponseError, ExtractionError
 from ..operators.paging import explode_pages
-from ..session import ship_package
-from .layers import stored
+from ..session import path_exists, ship_package
 
 Fetcher = Callable[[int, int], str]
 
 PAGES_DDL = (
-    "page_number BIGINT, n_records INT, records ARRAY<STRING>, error_class STRING, error STRING"
+    "page_number BIGINT, n_records INT, records ARRAY<STRING>, error_class STRING, error STRING, "
+    "asked_to BIGINT, per_page INT"
 )
 DEFAULT_PER_PAGE = 50
 
@@ -127,28 +127,36 @@ class PageRange(InputPartition):
 class PagedJsonReader(DataSourceReader):
     def __init__(self, fetch: Fetcher, options: Mapping[str, str]) -> None:
         self.fetch = fetch
-        self.first = int(options.get("firstPage", 1))
-        if options.get("lastPage") is None:
-            raise ValueError("paged_json needs the option lastPage")
-        self.last = int(options["lastPage"])
+        if options.get("pageRanges") is not None:
+            self.ranges = [(int(low), int(high)) for low, high in json.loads(options["pageRanges"])]
+        elif options.get("lastPage") is not None:
+            self.ranges = [(int(options.get("firstPage", 1)), int(options["lastPage"]))]
+        else:
+            raise ValueError("paged_json needs the option lastPage or pageRanges")
         self.per_page = int(options.get("perPage", DEFAULT_PER_PAGE))
         self.pages_per_task = int(options.get("pagesPerTask", 1))
 
     def partitions(self) -> list[PageRange]:
-        starts = range(self.first, self.last + 1, self.pages_per_task)
-        return [PageRange(s, min(s + self.pages_per_task - 1, self.last)) for s in starts]
+        step = self.pages_per_task
+        return [
+            PageRange(first, min(first + step - 1, high))
+            for low, high in self.ranges
+            for first in range(low, high + 1, step)
+        ]
 
     def read(self, partition: PageRange) -> Iterator[tuple]:
-        # No page after an empty or failed one can count, so a task stops there.
+        # No page after an empty or failed one can count yet, so a task stops there; each row
+        # says how far its task was to go, which is what a later attempt has to make up for.
+        asked = (partition.last, self.per_page)
         for page_number in range(partition.first, partition.last + 1):
             try:
                 records = page_records(self.fetch(page_number, self.per_page))
             except Exception as exc:  # a fault past the end of the source must not end the job
                 kind = type(exc).__name__
                 said = str(exc) if isinstance(exc, ExtractionError) else f"{kind}: {exc}"
-                yield (page_number, None, None, kind, said)
+                yield (page_number, None, None, kind, said, *asked)
                 return
-            yield (page_number, len(records), records, None, None)
+            yield (page_number, len(records), records, None, None, *asked)
             if not records:
                 return
 
@@ -156,7 +164,8 @@ class PagedJsonReader(DataSourceReader):
 class PagedJson(DataSource):
     """Format ``paged_json``: one row per page, with its records or its error.
 
-    Options: ``lastPage`` (required), ``firstPage``, ``perPage``, ``pagesPerTask``.
+    Options: ``lastPage`` and ``firstPage``, or ``pageRanges`` (a JSON list of first and last
+    pages); ``perPage``, ``pagesPerTask``.
     """
 
     fetch: Fetcher
@@ -181,17 +190,19 @@ def read_pages(
     spark: SparkSession,
     fetch: Fetcher,
     *,
-    last: int,
+    last: int | None = None,
     first: int = 1,
+    ranges: Sequence[tuple[int, int]] | None = None,
     per_page: int = DEFAULT_PER_PAGE,
     pages_per_task: int = 1,
 ) -> DataFrame:
-    """Pages ``first`` to ``last``. Each action on the result fetches them again."""
+    """Pages ``first`` to ``last``, or those of ``ranges``. Each action on the result fetches them again."""
     ship_package(spark)
     spark.dataSource.register(paged_json(fetch))
+    ranges = [(first, last)] if ranges is None else ranges
     return (
         spark.read.format("paged_json")
-        .options(firstPage=first, lastPage=last, perPage=per_page, pagesPerTask=pages_per_task)
+        .options(pageRanges=json.dumps(ranges), perPage=per_page, pagesPerTask=pages_per_task)
         .load()
     )
 
@@ -204,8 +215,9 @@ def land_pages(
     per_page: int = DEFAULT_PER_PAGE,
     max_pages: int | None = None,
     largest_wave: int | None = None,
+    resume: bool = False,
 ) -> DataFrame:
-    """Fetch pages into a table at ``path``, each at most once; the pages that count.
+    """Fetch pages into tables below ``path``, each at most once; the pages that count.
 
     Waves of pages, each twice the one before up to ``largest_wave`` (by default a
     thousand pages for each slot), are written until one holds the end of the source
@@ -213,31 +225,120 @@ def land_pages(
     first empty and first failed page, observed while it is written. A failed page
     raises only if it comes before the first empty one: later pages would never have
     been asked for.
+
+    ``resume`` goes on from what an attempt that failed has landed: only pages it did not
+    get are asked for, first those that failed or that their task did not reach after a
+    failure, then those beyond. A landing with the end of the source is asked for nothing.
+    A wave is a folder that counts once its success mark is in it, so a wave whose write
+    broke off is fetched anew. Without ``resume`` an earlier landing is replaced.
     """
     slots = spark.sparkContext.defaultParallelism
     largest_wave = largest_wave or 1000 * slots
     first, wave, end = 1, min(4 * slots, largest_wave), None
-    while end is None and (max_pages is None or first <= max_pages):
-        last = first + wave - 1 if max_pages is None else min(first + wave - 1, max_pages)
-        per_task = -(-(last - first + 1) // (4 * slots))
+    waves = _landed_waves(spark, path) if resume else []
+    if not waves:
+        _clear(spark, path)
+
+    def fetch_wave(ranges: list[tuple[int, int]]) -> tuple[int | None, dict | None]:
+        total = sum(high - low + 1 for low, high in ranges)
         seen = Observation()
-        empty = F.min(F.when(F.col("n_records") == 0, F.col("page_number")))
-        failed = F.min(
-            F.when(F.col("error").isNotNull(), F.struct("page_number", "error_class", "error"))
-        )
-        wave_pages = read_pages(
-            spark, fetch, first=first, last=last, per_page=per_page, pages_per_task=per_task
-        ).observe(seen, empty.alias("empty"), F.to_json(failed).alias("failed"))
+        pages = read_pages(
+            spark, fetch, ranges=ranges, per_page=per_page, pages_per_task=-(-total // (4 * slots))
+        ).observe(seen, _first_empty(), _first_failed())
+        folder = _wave_path(path, len(waves))
+        writer = pages.write.mode("overwrite")
         try:
-            wave_pages.write.mode("overwrite" if first == 1 else "append").parquet(path)
+            writer.option("mapreduce.fileoutputcommitter.marksuccessfuljobs", "true").parquet(folder)
         except Exception as exc:
-            raise ExtractionError(f"pages {first} to {last} could not be landed: {exc}") from exc
-        end, failure = seen.get["empty"], json.loads(seen.get["failed"] or "null")
+            what = f"pages {ranges[0][0]} to {ranges[-1][1]}"
+            raise ExtractionError(f"{what} could not be landed: {exc}") from exc
+        waves.append(folder)
+        return seen.get["empty"], json.loads(seen.get["failed"] or "null")
+
+    if waves:
+        end, asked, lost = _landed(spark, waves, per_page, max_pages)
+        first, wave = asked + 1, min(max(asked, wave), largest_wave)
+        if lost:
+            fetch_wave([(page["page_number"], page["asked_to"]) for page in lost])
+            end, _, lost = _landed(spark, waves, per_page, max_pages)
+        if lost:
+            raise _failure(lost[0])
+    while end is None and (max_pages is None or first <= max_pages):
+        last = first + wave - 1 if max_pages is None else min(first + wave - 1, max_pages)
+        end, failure = fetch_wave([(first, last)])
         if failure and (end is None or failure["page_number"] < end):
             raise _failure(failure)
         first, wave = last + 1, min(2 * wave, largest_wave)
-    pages = stored(spark, path, PAGES_DDL)
-    return pages.where(F.col("page_number") < (first if end is None else end))
+    if max_pages is not None:
+        first = min(first, max(max_pages, 0) + 1)
+        end = first if end is None else min(end, max_pages + 1)
+    return _waves(spark, waves).where(F.col("page_number") < (first if end is None else end))
+
+
+def _first_empty() -> Column:
+    return F.min(F.when(F.col("n_records") == 0, F.col("page_number"))).alias("empty")
+
+
+def _first_failed() -> Column:
+    failed = F.when(F.col("error").isNotNull(), F.struct("page_number", "error_class", "error"))
+    return F.to_json(F.min(failed)).alias("failed")
+
+
+def _wave_path(path: str, number: int) -> str:
+    return f"{path.rstrip('/')}/wave={number}"
+
+
+def _landed_waves(spark: SparkSession, path: str) -> list[str]:
+    """Folders of the waves that were written to their end; they are numbered from 0."""
+    done: list[str] = []
+    while path_exists(spark, f"{_wave_path(path, len(done))}/_SUCCESS"):
+        done.append(_wave_path(path, len(done)))
+    return done
+
+
+def _clear(spark: SparkSession, path: str) -> None:
+    """Remove an earlier landing, so that none of its waves is taken for one of the new."""
+    hadoop = spark.sparkContext._jvm.org.apache.hadoop.fs
+    files = hadoop.Path(path).getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    number = 0
+    while path_exists(spark, _wave_path(path, number)):
+        files.delete(hadoop.Path(_wave_path(path, number)), True)
+        number += 1
+
+
+def _waves(spark: SparkSession, waves: list[str]) -> DataFrame:
+    if not waves:
+        return spark.createDataFrame([], PAGES_DDL)
+    return spark.read.schema(PAGES_DDL).parquet(*waves)
+
+
+def _landed(
+    spark: SparkSession, waves: list[str], per_page: int, max_pages: int | None
+) -> tuple[int | None, int, list[dict]]:
+    """First empty page, last page asked for, and the failed pages before the end in page order.
+
+    A failed page that a later wave has is not lost. One that failed again may have had a
+    shorter range then, whose rest another task took over, so the shortest counts. Failed
+    pages are at most one a task that the driver planned; page numbers alone are read here.
+    """
+    pages = _waves(spark, waves).drop("records")
+    seen = pages.agg(
+        _first_empty(), F.max("asked_to").alias("asked"),
+        F.min("per_page").alias("least"), F.max("per_page").alias("most"),
+    ).first()
+    if seen["asked"] is not None and (seen["least"], seen["most"]) != (per_page, per_page):
+        raise ExtractionError(
+            f"the landing holds pages of {seen['least']} and cannot go on in pages of {per_page}"
+        )
+    failed = pages.where("error IS NOT NULL").groupBy("page_number").agg(
+        F.min("asked_to").alias("asked_to"), F.max(F.struct("error_class", "error")).alias("e")
+    )
+    lost = failed.join(pages.where("error IS NULL").select("page_number"), "page_number", "left_anti")
+    limits = [bound for bound in (seen["empty"], max_pages and max_pages + 1) if bound is not None]
+    if limits:
+        lost = lost.where(F.col("page_number") < min(limits))
+    rows = lost.select("page_number", "asked_to", "e.*").orderBy("page_number").collect()
+    return seen["empty"], seen["asked"] or 0, [row.asDict() for row in rows]
 
 
 def fetch_all(
@@ -247,13 +348,14 @@ def fetch_all(
     *,
     per_page: int = DEFAULT_PER_PAGE,
     max_pages: int | None = None,
+    resume: bool = False,
 ) -> DataFrame:
-    """All records of the source as ``payload`` rows, by way of the table at ``landing``.
+    """All records of the source as ``payload`` rows, by way of the tables below ``landing``.
 
     The waves have found the end of the source, so this is one scan of the landing.
     """
     return explode_pages(
-        land_pages(spark, fetch, landing, per_page=per_page, max_pages=max_pages)
+        land_pages(spark, fetch, landing, per_page=per_page, max_pages=max_pages, resume=resume)
     )
 
 
