@@ -77,9 +77,14 @@ def recorded(steps: list[Step], run_id: str, layer: str) -> Iterator[Step]:
         step.ended = _now()
 
 
+def step_rows(spark: SparkSession, steps: list[Step]) -> DataFrame:
+    """The steps of one run, a handful of rows."""
+    return spark.createDataFrame([astuple(step) for step in steps], HISTORY)
+
+
 def append_history(spark: SparkSession, steps: list[Step], path: str) -> None:
-    """Add the steps of one run, a handful of rows, as one file."""
-    rows = spark.createDataFrame([astuple(step) for step in steps], HISTORY)
+    """Add the steps of one run as one file."""
+    rows = step_rows(spark, steps)
     try:
         rows.coalesce(1).write.mode("append").parquet(path)
     except Exception as exc:

@@ -292,4 +292,27 @@ ORACLES: dict[str, str] = {
             _history("gold", _N, _GROUPS, "-1"),
         )
     ),
+    "schema_drift": f"""
+        WITH c AS (SELECT k FROM ({_CUSTOMERS}) WHERE k % 13 <> 0),
+        changes AS (
+            SELECT 'extra' AS change, 'rating' AS key, CAST(NULL AS VARCHAR) AS declared, 'array' AS found,
+                   count(*) AS records FROM c WHERE k % 5 = 0
+            UNION ALL SELECT 'extra', 'rating', NULL, 'number', count(*) FROM c WHERE k % 5 = 1
+            UNION ALL SELECT 'extra', 'rating', NULL, 'null', count(*) FROM c WHERE k % 5 > 1
+            UNION ALL SELECT 'extra', 'town', NULL, 'string', count(*) FROM c
+            UNION ALL SELECT 'retyped', 'longitude', 'number', 'string', count(*) FROM c WHERE k % 11 = 0
+        )
+        SELECT '{RUN.run_id}' AS run_id, * FROM changes WHERE records > 0
+        UNION ALL SELECT '{RUN.run_id}', 'absent', 'city', 'string', NULL, CAST(0 AS BIGINT)
+    """,
+    "slow_steps": """
+        SELECT event_type AS layer, count(DISTINCT event_id % 24) AS runs, count(*) AS steps,
+               TRUE AS median_within, TRUE AS tail_within
+        FROM events GROUP BY event_type
+    """,
+    "compacted_silver": f"""
+        SELECT country, state_province, 4 * count(*) AS rows_before, 4 * count(*) AS rows,
+               count(DISTINCT id) AS ids, TRUE AS had_many, CAST(1 AS BIGINT) AS files
+        FROM ({_STORED}) GROUP BY country, state_province
+    """,
 }

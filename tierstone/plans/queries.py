@@ -12,7 +12,10 @@ from pyspark.sql import functions as F
 from ..errors import ExtractionError, GateError
 from ..functions.records import conform, parse_payload, payload_rows, to_payload, typed_records
 from ..operators import gates
+from ..operators.bottlenecks import RANK_ERROR, append_sketches, scan_sketches, slow_steps
 from ..operators.bronze import Run, to_bronze
+from ..operators.compaction import compact_silver, place_files
+from ..operators.drift import scan_drift
 from ..operators.gates import Gate
 from ..operators.gold import count_by_place, to_gold
 from ..operators.history import scan_history
@@ -25,7 +28,7 @@ from ..operators.sinks import (
     write_raw,
     write_silver,
 )
-from ..schemas import GOLD_COUNT, GOLD_KEYS, SILVER_FIELDS
+from ..schemas import GOLD_COUNT, GOLD_KEYS, RECORD, SILVER_FIELDS, SILVER_PARTITIONS
 from ..session import path_exists, shared_scratch
 from ..sources.layers import (
     scan_bronze,
@@ -538,6 +541,92 @@ def run_history(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def schema_drift(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What a run notes of a source that adds, renames and retypes keys; a cut text has no keys."""
+    records = customer_records(spark, sf_dir)
+    key = F.col("id").cast("bigint")
+    rating = F.when(key % 5 == 0, F.to_variant_object(F.array(key))).when(key % 5 == 1, key.cast("variant"))
+    longitude = F.when(key % 11 == 0, F.col("longitude").cast("string").cast("variant"))
+    fields = [
+        F.coalesce(longitude, F.col("longitude").cast("variant")).alias(n) if n == "longitude"
+        else F.col(n).alias("town") if n == "city"
+        else F.col(n)
+        for n in RECORD.names
+    ]
+    text = to_payload(*fields, rating.alias("rating"))
+    payloads = records.select(
+        F.when(key % 13 == 0, F.substring(text, 1, 20)).otherwise(text).alias("payload")
+    )
+    paths = LayerPaths(shared_scratch(spark, "schema_drift"))
+    run_batch(spark, payloads, paths, RUN, mode="incremental", drift=True)
+    return scan_drift(spark, paths.history)
+
+
+def slow_event_steps(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Events as steps of 24 runs: whether merged sketches give quantiles within their stated error."""
+    events = load(spark, sf_dir, "events")
+    millis = F.floor(F.abs(F.col("value")) * 100).cast("bigint")
+    started = F.timestamp_millis(F.col("event_id"))
+    history = events.select(
+        (F.col("event_id") % 24).cast("string").alias("run_id"),
+        F.col("event_type").alias("layer"),
+        F.col("user_id").cast("bigint").alias("rows_in"),
+        F.lit(None).cast("bigint").alias("rows_out"),
+        started.alias("started"),
+        F.timestamp_millis(F.col("event_id") + millis).alias("ended"),
+        millis.alias("millis"),
+    )
+    path = shared_scratch(spark, "slow_steps")
+    append_sketches(history, path)
+    found = slow_steps(scan_sketches(spark, path))
+
+    def within(quantile: str, rank: float) -> Column:
+        below = F.avg((F.col("millis") < F.col(quantile)).cast("int"))
+        up_to = F.avg((F.col("millis") <= F.col(quantile)).cast("int"))
+        return (below - RANK_ERROR <= rank) & (up_to + RANK_ERROR >= rank)
+
+    return (
+        history.select("layer", "millis").join(found, "layer")
+        .groupBy("layer", "runs", "steps")
+        .agg(within("median_ms", 0.5).alias("median_within"), within("tail_ms", 0.95).alias("tail_within"))
+    )
+
+
+def compacted_silver(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Silver of four appends, compacted: rows and files of each place before and after."""
+    path = shared_scratch(spark, "compacted_silver")
+    silver = to_silver(_customer_bronze(spark, sf_dir))
+    for _ in range(4):
+        write_silver(silver, path)
+
+    def state() -> DataFrame:
+        rows = scan_silver(spark, path).groupBy(*SILVER_PARTITIONS).agg(
+            F.count(F.lit(1)).alias("rows"), F.count_distinct("id").alias("ids")
+        )
+        return rows.join(_none_safe(place_files(spark, path).drop("bytes")), _same_place()).drop(*_PLACE)
+
+    before = f"{path}-before"
+    state().write.parquet(before)
+    compact_silver(spark, path)
+    first = _none_safe(spark.read.parquet(before).withColumnsRenamed({"rows": "rows_before", "files": "files_before"}).drop("ids"))
+    return state().join(first, _same_place()).select(
+        *SILVER_PARTITIONS, "rows_before", "rows", "ids",
+        (F.col("files_before") >= 4).alias("had_many"), F.col("files"),
+    )
+
+
+_PLACE = [f"_{name}" for name in SILVER_PARTITIONS]
+
+
+def _none_safe(rows: DataFrame) -> DataFrame:
+    return rows.withColumnsRenamed(dict(zip(SILVER_PARTITIONS, _PLACE, strict=True)))
+
+
+def _same_place() -> Column:
+    country, state = (F.col(a).eqNullSafe(F.col(b)) for a, b in zip(SILVER_PARTITIONS, _PLACE, strict=True))
+    return country & state
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "gold_counts": gold_counts,
     "gold_orders": gold_orders,
@@ -576,4 +665,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "gated_run": gated_run,
     "gated_lineitems": gated_lineitems,
     "run_history": run_history,
+    "schema_drift": schema_drift,
+    "slow_steps": slow_event_steps,
+    "compacted_silver": compacted_silver,
 }

@@ -24,9 +24,11 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..operators import gates
+from ..operators.bottlenecks import append_sketches
 from ..operators.bronze import Run, to_bronze
+from ..operators.drift import append_drift
 from ..operators.gold import to_gold
-from ..operators.history import Step, append_history, counting, recorded
+from ..operators.history import Step, append_history, counting, recorded, step_rows
 from ..operators.maintained import merge_counts, run_bronze, run_counts, scan_counts, write_run_counts
 from ..operators.publish import Audit
 from ..operators.silver import all_null, to_silver
@@ -66,9 +68,12 @@ class LayerPaths:
     history: str = ""
     checkpoint: str = ""
     counts: str = ""
+    sketches: str = ""
 
     def __post_init__(self) -> None:
-        for name in ("bronze", "silver", "gold", "raw", "pages", "history", "checkpoint", "counts"):
+        for name in (
+            "bronze", "silver", "gold", "raw", "pages", "history", "checkpoint", "counts", "sketches",
+        ):
             if not getattr(self, name):
                 object.__setattr__(self, name, f"{self.root.rstrip('/')}/{name}")
 
@@ -243,17 +248,24 @@ def build_maintained_gold(
 
 
 @contextmanager
-def _history(spark: SparkSession, report: RunReport, path: str, keep: bool) -> Iterator[None]:
+def _history(
+    spark: SparkSession, report: RunReport, paths: LayerPaths, keep: bool, sketches: bool = False
+) -> Iterator[None]:
     """Write the history at the end; a fault there never hides the run's own."""
+
+    def write() -> None:
+        if keep:
+            append_history(spark, report.steps, paths.history)
+        if sketches:
+            append_sketches(step_rows(spark, report.steps), paths.sketches)
+
     try:
         yield
     except BaseException:
-        if keep:
-            with suppress(LoadError):
-                append_history(spark, report.steps, path)
+        with suppress(LoadError):
+            write()
         raise
-    if keep:
-        append_history(spark, report.steps, path)
+    write()
 
 
 def _refuse_mixed(spark: SparkSession, paths: LayerPaths, mode: Mode) -> None:
@@ -279,10 +291,14 @@ def run_batch(
     partitions: int | None = None,
     history: bool = False,
     maintained: bool = False,
+    drift: bool = False,
+    sketches: bool = False,
 ) -> RunReport:
     """Source -> Bronze -> Silver -> Gold without gates.
 
     ``maintained`` keeps Gold by the counts of incremental runs, see ``build_maintained_gold``.
+    ``drift`` adds keys that are not as declared to the run history, before Bronze is written;
+    ``sketches`` adds the durations of the steps to the sketches of all runs.
 
     A source without records ends the run early: nothing is written and nothing fails.
     """
@@ -292,7 +308,7 @@ def run_batch(
     _refuse_mixed(spark, paths, mode)
     resume = mode == "incremental"
     done = resume and bronze_run_is_done(spark, paths.bronze, run)
-    with _history(spark, report, paths.history, history):
+    with _history(spark, report, paths, history, sketches):
         with recorded(report.steps, run.run_id, "extract") as step:
             # A run that Bronze holds is not asked for again.
             payloads = None if done else extract(spark, source, paths, run, resume=resume)
@@ -300,6 +316,9 @@ def run_batch(
             if payloads is not None and payloads.isEmpty():
                 step.status = "empty"
                 return report
+        if drift and payloads is not None:
+            with recorded(report.steps, run.run_id, "drift scan"):
+                append_drift(payloads, paths.history, run.run_id)
         with recorded(report.steps, run.run_id, "bronze") as step:
             build_bronze(spark, payloads, paths.bronze, run, mode=mode, step=step)
         with recorded(report.steps, run.run_id, "silver") as step:
@@ -323,19 +342,22 @@ def run_gated(
     partitions: int | None = None,
     history: bool = True,
     limits: Limits | None = None,
+    drift: bool = False,
+    sketches: bool = False,
 ) -> RunReport:
     """Probe, extract to RAW, then each layer behind its gate.
 
     The first failure ends the run; a source without records fails at the probe.
     A gate looks at a layer about to be written: its columns by schema, its rows
     by fetching one. So no layer is built twice. ``limits`` on shares of nulls are
-    observed in the write itself, which shows only if they hold (``publish``).
+    observed in the write itself, which shows only if they hold (``publish``). ``drift``
+    and ``sketches`` as in ``run_batch``; what differs is kept also where a gate then fails.
     """
     report = RunReport(run.run_id)
     _refuse_mixed(spark, paths, mode)
     resume = mode == "incremental"
     done = resume and bronze_run_is_done(spark, paths.bronze, run)
-    with _history(spark, report, paths.history, history):
+    with _history(spark, report, paths, history, sketches):
         payloads = None
         if not done:  # a run that Bronze holds is not asked for again
             with recorded(report.steps, run.run_id, "probe"):
@@ -348,6 +370,9 @@ def run_gated(
                 raw = write_raw(counted, paths.raw, run.run_id)
                 fill()
             payloads = read_raw_lines(spark, raw)
+            if drift:
+                with recorded(report.steps, run.run_id, "drift scan"):
+                    append_drift(payloads, paths.history, run.run_id)
             with recorded(report.steps, run.run_id, "bronze gate"):
                 gates.enforce(to_bronze(payloads, run), gates.BRONZE_GATE)
         with recorded(report.steps, run.run_id, "bronze") as step:

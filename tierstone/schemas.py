@@ -5,6 +5,7 @@ their directory names, which turns '007' into 7 and an all-null key into void.
 """
 
 from pyspark.sql.types import (
+    BinaryType,
     DataType,
     DateType,
     DoubleType,
@@ -21,6 +22,7 @@ _TYPES: dict[str, DataType] = {
     "bigint": LongType(),
     "date": DateType(),
     "timestamp": TimestampType(),
+    "binary": BinaryType(),
 }
 
 
