@@ -279,6 +279,127 @@ def test_decontamination(spark):
     assert decontaminate.clean(docs, benchmark.limit(0)).count() == 12
 
 
+NAMES = "Anna Ben Carla Dmitri Elena Farid Greta Hugo Ines Jonas Kemal Laura".split()
+UNIT_WORDS = "km miles kg hours days litres".split()
+
+
+def question(rng):
+    """A question as words, with its slots as ``(type, number of the variable)``; names open sentences too."""
+    words = []
+    for sentence in range(int(rng.integers(1, 4))):
+        if rng.random() < 0.6 or not sentence:
+            words.append(("name", int(rng.integers(2))))
+        else:
+            words.append("Then")
+        for _ in range(int(rng.integers(6, 14))):
+            kind = rng.random()
+            if kind < 0.08:
+                words.append(("name", int(rng.integers(3))))
+            elif kind < 0.16:
+                words += [("number", int(rng.integers(3))), ("unit", 0)]
+            else:
+                words.append("".join(rng.choice(list("abcdeiou"), int(rng.integers(2, 7)))))
+        words.append("ends.")
+    return words
+
+
+def filled(words, rng):
+    """The question with values drawn for its variables, other ones for each of them."""
+    values = {
+        "name": rng.permutation(NAMES), "unit": rng.permutation(UNIT_WORDS),
+        "number": rng.permutation(np.arange(2, 900))[:9].astype(str),
+    }
+    return " ".join(w if isinstance(w, str) else str(values[w[0]][w[1]]) for w in words)
+
+
+def readings(text, which):
+    """Words as ``(token, value of the slot)``, by loops over words instead of patterns over text."""
+    words, out = re.split("[ \t-\r]", text or ""), []
+    for i, word in enumerate(words):
+        inside = word.lstrip("\"'(")
+        capital = len(inside) > 1 and inside[0].isupper() and inside[1].islower() and len(word) - len(inside) <= 3
+        opens = i == 0 or not words[i - 1] or words[i - 1][-1] in ".!?:"
+        bare = re.sub("[^\\w]|_", "", word.lower())
+        value = inside.lower().rstrip(".,;:!?\"')(")
+        if capital and (which == "all" or which == "inner" and not opens and inside == word):
+            out.append(("<name>", value))
+        elif any(c.isdigit() for c in word):
+            out.append(("<number>", value))
+        elif out and out[-1][0] == "<number>" and re.match(rf"({'|'.join(decontaminate.UNITS)})(\W|$)", word.lower()):
+            out.append(("<unit>", value))
+        elif bare:
+            out.append((bare, None))
+    return out
+
+
+def substitutes(a, b):
+    """Whether two windows are one but for their values, and those map onto each other."""
+    if [t for t, _ in a] != [t for t, _ in b]:
+        return False
+    slots = [((t, x), (t, y)) for (t, x), (_, y) in zip(a, b, strict=True) if x is not None]
+    if 2 * len(slots) > len(a) and any(x != y for x, y in slots):
+        return False
+    return len({x for x, _ in slots}) == len({y for _, y in slots}) == len(set(slots))
+
+
+def matches(doc, items):
+    tokens = readings(doc, "all")
+    for item in items:
+        for which in ("all", "inner", "none"):
+            known = readings(item, which)
+            n = min(len(known), decontaminate.WINDOW)
+            if n < decontaminate.MIN_TOKENS:
+                continue
+            for j in range(len(known) - n + 1):
+                if any(substitutes(known[j : j + n], tokens[i : i + n]) for i in range(len(tokens) - n + 1)):
+                    return True
+    return False
+
+
+def test_names_that_open_sentences_and_copies_in_other_case(spark):
+    items = ["Tom has 12 apples and pears. Tom eats 3 of them daily. How many are left?", "What is the capital of France?"]
+    texts = {
+        1: "x. Anna has 40 apples and pears. Anna eats 7 of them daily. How many are left?",
+        2: "so (2) What is the capital of France? " + prose(5, 20),
+        3: "we ask what is the capital of france? " + prose(6, 20),
+        4: "WHAT IS THE CAPITAL OF FRANCE?",
+        5: "then (\"What is the\ncapital of France\")",
+        6: "Anna has 40 plums and pears. Ben eats 7 of those daily. How few were left?",
+        7: "what is the capital in france?",
+        8: prose(7, 200),
+    }
+    docs = spark.createDataFrame(list(texts.items()), "doc_id bigint, text string")
+    benchmark = spark.createDataFrame(list(enumerate(items)), "item_id bigint, text string")
+    hit = {r.doc_id: r.item_id for r in decontaminate.report(docs, benchmark).collect() if r.contaminated}
+    assert hit == {1: 0, 2: 1, 3: 1, 4: 1, 5: 1}
+
+
+def test_reparameterised_questions_are_found_and_others_left(spark):
+    rng = np.random.default_rng(8)
+    asked = [question(rng) for _ in range(320)]
+    items = [filled(q, rng) for q in asked]
+    others = [filled(question(rng), rng) for _ in range(300)]
+    forms = [str, str.lower, str.upper, lambda t: "(3) " + t, lambda t: t.replace(" ", "\n", 3)]
+    texts, planted = [], set()
+    for n, q in enumerate(asked):
+        text = filled(q, rng) if n % 2 else items[n]
+        form = forms[n % len(forms)] if n % 2 == 0 else forms[n // 2 % 2 * 3]
+        texts.append(f"{prose(n, 15)}. {form(text)} {prose(n + 1, 15)}")
+        planted.add(n)
+    texts += [f"{prose(n, 10)}. {t}" for n, t in enumerate(others)]
+    texts += [None, "", prose(900, 60_000) + " " + items[0]]
+    planted.add(len(texts) - 1)
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id bigint, text string").repartition(4)
+    benchmark = spark.createDataFrame(list(enumerate(items)), "item_id bigint, text string")
+    hit = {r.doc_id for r in decontaminate.report(docs, benchmark).collect() if r.contaminated}
+    clean = set(range(len(texts))) - planted
+    print("recall", len(hit & planted) / len(planted), "clean text hit", len(hit & clean) / len(clean))
+    assert len(hit & planted) >= 0.9 * len(planted)
+    assert len(hit & clean) <= 0.01 * len(clean)
+    some = [*range(0, 320, 8), *range(320, 400, 8)]
+    assert [n in hit for n in some] == [matches(texts[n], items) for n in some]
+
+
 def test_native_plans_have_no_python(documents, spark):
     benchmark = spark.createDataFrame(ITEMS, "item_id bigint, text string")
     for df in (mixing.plan_mix(documents), mixing.mix(documents), decontaminate.clean(documents, benchmark)):

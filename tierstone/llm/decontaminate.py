@@ -2,7 +2,12 @@
 
 A text becomes a row of template tokens: words lower-cased and without punctuation;
 any word with a digit is a NUMBER, a unit after a number a UNIT, and a capitalised word
-that does not open a sentence, and is not all capitals, a NAME. Windows of ``WINDOW`` tokens of the documents are
+that is not all capitals a NAME. So a name that opens a sentence is a slot like others, and
+so is any word there: a window is only found with a word in its place that is capitalised
+too. Where a text has no capitals it has no names; therefore items are indexed in three
+readings, with every capitalised word as a NAME, with those only that open no sentence, and
+with none. They catch copies in lower case or in capitals, and those that go on a sentence.
+Windows of ``WINDOW`` tokens of the documents are
 hash-joined with those of the benchmark, so a question with other numbers, names or
 units is still found. A match counts if the slots of its window are consistent, that is,
 if one substitution of values in each direction turns the benchmark's window into the
@@ -48,17 +53,22 @@ _SLOTS = f"{NUMBER}{UNIT}{NAME}"
 _SPACE = "[\\x20\\x09-\\x0D]"
 
 
-def _template(text: Column) -> Column:
+#: What is a NAME: each capitalised word, those that open no sentence, or none.
+ALL, INNER, NONE = "all", "inner", "none"
+_NAMES = {
+    ALL: "(?<![^\\x20\\x09-\\x0D])[^\\p{L}\\p{N}\\x20\\x09-\\x0D]{0,3}\\p{Lu}(?=\\p{Ll})[^\\x20\\x09-\\x0D]*",
+    INNER: "(?<=[^.!?:\\x20\\x09-\\x0D]\\x20)\\p{Lu}(?=\\p{Ll})[^\\x20\\x09-\\x0D]*",
+}
+
+
+def _template(text: Column, names: str = ALL) -> Column:
     """The text with typed placeholders; its words stay as many as they were."""
-    # A capital after a space that follows neither a sentence's end nor a line break.
-    named = F.regexp_replace(
-        text, "(?<=[^.!?:\\x20\\x09-\\x0D]\\x20)\\p{Lu}(?=\\p{Ll})[^\\x20\\x09-\\x0D]*", NAME
-    )
+    named = F.regexp_replace(text, _NAMES[names], NAME) if names in _NAMES else text
     numbered = F.when(
         F.regexp_like(text, F.lit("[0-9]")),
         F.regexp_replace(
             F.regexp_replace(named, "[^\\x20\\x09-\\x0D]*[0-9][^\\x20\\x09-\\x0D]*", NUMBER),
-            f"(?i)(?<={NUMBER}\\x20)({'|'.join(UNITS)})(?=[^\\p{{L}}]|$)",
+            f"(?i)(?<={NUMBER}[\\x20\\x09-\\x0D])({'|'.join(UNITS)})(?=[^\\p{{L}}]|$)",
             UNIT,
         ),
     ).otherwise(named)
@@ -69,11 +79,11 @@ def _tokens(text: Column) -> Column:
     return F.regexp_extract_all(_template(F.coalesce(text, F.lit(""))), F.lit("[^\\x20\\x09-\\x0D]+"), F.lit(0))
 
 
-def _pairs(text: Column) -> Column:
+def _pairs(text: Column, names: str = ALL) -> Column:
     """Template token and plain word of each token, in step."""
     text = F.coalesce(text, F.lit(""))
     zipped = F.arrays_zip(
-        F.split(_template(text), _SPACE).alias("token"), F.split(text, _SPACE).alias("word")
+        F.split(_template(text, names), _SPACE).alias("token"), F.split(text, _SPACE).alias("word")
     )
     return F.filter(zipped, lambda p: p["token"] != "")
 
@@ -108,7 +118,7 @@ def _slots(pairs: Column) -> Column:
     return _bind(
         F.transform(
             F.filter(pairs, lambda p: p["token"].isin(NUMBER, UNIT, NAME)),
-            lambda p: F.concat(p["token"], F.regexp_replace(F.lower(p["word"]), "[.,;:!?\"')(]+$", "")),
+            lambda p: F.concat(p["token"], F.regexp_replace(F.lower(p["word"]), "^[\"'(]+|[.,;:!?\"')(]+$", "")),
         ),
         lambda values: F.struct(
             F.transform(values, lambda v: F.array_position(values, v)).alias("pattern"),
@@ -141,8 +151,9 @@ def _checked(rows: DataFrame, positions: Column) -> DataFrame:
 
 
 def benchmark_windows(benchmark: DataFrame, window: int = WINDOW) -> DataFrame:
-    """``h, n, pattern, values, item_id, items`` of each distinct window of the benchmark."""
-    items = benchmark.select("item_id", _pairs(F.col("text")).alias("pairs"))
+    """``h, n, pattern, values, item_id, items`` of each distinct window of the benchmark, in its three readings."""
+    readings = F.array(*(_pairs(F.col("text"), names) for names in (ALL, INNER, NONE)))
+    items = benchmark.select("item_id", F.explode(readings).alias("pairs"))
     size = F.size("pairs")
     length = F.least(size, F.lit(window))
     items = items.where(size >= MIN_TOKENS).select(
