@@ -66,6 +66,19 @@ def test_rules_without_labels(documents, labels, rows):
     assert all(r.kept == (not r.base_failed) for r in found) and len(found) == len(rows)
 
 
+def test_a_labelled_id_of_many_rows_is_bounded(spark):
+    rows = [(1, prose(n, 12 + n % 50)) for n in range(700)] + [(k, prose(k, 30)) for k in range(2, 60)] * 2
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string").repartition(5)
+    labels = spark.createDataFrame([(k, k % 3 and 1) for k in range(1, 60)], "doc_id bigint, quality int")
+    forest = quality_rules.fit(docs, labels, sample=100)
+    assert forest.rows <= 100
+    again = quality_rules.fit(docs.repartition(3), labels, sample=100)
+    assert all((a == b).all() for a, b in zip(forest.cut, again.cut, strict=True))
+    # Repeated rows change nothing.
+    once = quality_rules.fit(docs.distinct(), labels, sample=100)
+    assert all((a == b).all() for a, b in zip(forest.cut, once.cut, strict=True))
+
+
 def test_isolation_forest():
     rng = np.random.default_rng(1)
     x = np.vstack([rng.normal(0, 1, (600, 4)), rng.normal(9, 1, (30, 4))])
