@@ -1,21 +1,32 @@
-"""Fuzzy line dedup: minimum hashes of character n-grams of normalised lines, edit similarity.
+"""Fuzzy line dedup: SimHash of normalised lines, joined on blocks, edit similarity, connected groups.
 
 A line is normalised to its words in lower case (A-Z) without ASCII punctuation, digits
 all alike; a line of nothing else, such as a ruler, is taken as it is. Every line with a
 character besides white space takes part, headings and text without spaces included;
-blank lines always stay. Equal normalised lines are one from the
-start. A line's ``GRAM``-byte strings are hashed into bins, the least hash of each bin
-stays, and ``ROWS`` bins make a key, ``BANDS`` in all. Lines that share a key are a shard
-and are linked where the edit similarity is at least ``SIMILARITY``; nothing but a shared
-key limits the pairs, and README has the share of similar lines that have one. In a shard a
-pair is compared only if no links connect it yet, which loses no group. Of each
-connected group the occurrence with the smallest document id, then hash of the row,
-then line number stays.
+blank lines always stay. Equal normalised lines are one from the start.
+
+The fingerprint has ``BLOCKS`` blocks of 64 bits. The ``GRAM``-byte strings of a line are
+dealt to the blocks by hash, and a bit of a block is 1 if it is set in over half the
+hashes of the block's ``VOTES`` least strings. Were every string to vote on every bit, an
+edit would change some bits of all blocks; dealt out, it leaves the blocks whole whose
+voters it spares, the pigeonholes on which lines are joined. A block of fewer than three
+voters is joined together with the next one, an empty block not at all. Lines that share
+a block are a shard, shards of the same lines are one, and in a shard lines are linked
+where the edit similarity is at least ``SIMILARITY``; a pair is compared only if no links
+connect it yet, which loses no group. Similar lines without a common block are missed;
+README has the measured share. Of each connected group the occurrence with the smallest
+document id, then hash of the row, then line number stays.
+
+Blocks travel in packs of numbers by slot and texts only to shards. A task holds one slot
+(about ``SLOT_KEYS`` blocks, a crowded one leaves it in parts) or two parts of a shard,
+``PART`` lines each; a shard of n lines is n / ``PART`` parts, which all meet, so its work
+grows with its square as long as its lines are distinct.
 
 Cases: a null text is an empty one, with one empty line. A null id comes after all
 others. Rows equal in id and text are one document here and keep the same lines. Very
-long lines are compared like others. An empty table gives an empty result.
-``dedup_lines`` keeps all columns, whatever their names; it replaces ``text``.
+long lines are compared like others, in time that grows with the product of their
+lengths. An empty table gives an empty result. ``dedup_lines`` keeps all columns, whatever
+their names; it replaces ``text``.
 """
 
 from __future__ import annotations
@@ -32,14 +43,12 @@ from . import bloom
 from . import textbytes as tb
 from .components import components
 
-MIN_WORDS = 1
-#: Bits in which marks of a pair may differ: all, as edit similarity alone decides.
-RADIUS = 64
 GRAM = 5
-BANDS = 12
-ROWS = 3
+BLOCKS = 12
+VOTES = 5
 SIMILARITY = 0.8
 PART = 2048
+SLOT_KEYS = 1 << 21
 
 #: Lower case, one digit for all, and 0 for punctuation, which is dropped.
 _NORMAL = tb.LOWER.copy()
@@ -54,53 +63,73 @@ def normalise(line: str) -> str:
     return b" ".join(words or body.split()).decode(errors="replace")
 
 
-def _keys(data: np.ndarray, breaks: np.ndarray, used: np.ndarray) -> np.ndarray:
-    """The keys of the lines ``used`` of normalised bytes, by the n-grams of their words joined by single spaces."""
-    blank = tb.SEPARATOR[data] & (data != 10)
-    first = np.append(True, tb.SEPARATOR[data[:-1]])
-    # Of white space in a run one stays, and none before a line break.
-    keep = ~(blank & first)
-    at = np.flatnonzero(keep)
-    keep[at[:-1]] &= ~(blank[at[:-1]] & (data[at[1:]] == 10))
-    data = data[keep]
-    breaks = np.flatnonzero(data == 10)
-    low, high = np.append(0, breaks[:-1] + 1)[used], breaks[used]
+def _majority(votes: np.ndarray, n: np.ndarray) -> np.ndarray:
+    """The bits set in over half of the first ``n`` of up to seven numbers a row, the rest zeros."""
+    ones, twos, fours = (np.zeros(len(votes), np.uint64) for _ in range(3))
+    for vote in votes.T:
+        carry = ones & vote
+        ones ^= vote
+        fours ^= twos & carry
+        twos ^= carry
+    out = np.zeros(len(votes), np.uint64)
+    reached = {1: ones | twos | fours, 2: twos | fours, 3: fours | twos & ones, 4: fours}
+    for least, bits in reached.items():
+        here = n // 2 + 1 == least
+        out[here] = bits[here]
+    out[n == 0] = 0
+    return out
+
+
+def _blocks(grams: np.ndarray, row: np.ndarray, n_rows: int) -> np.ndarray:
+    """The join keys of the blocks of each row, 0 for an empty block, from the hashes of the rows' strings."""
+    mixed = tb.mix(grams)
+    cell = row * BLOCKS + ((grams >> np.uint64(32)) % np.uint64(BLOCKS)).astype(np.int64)
+    # At most 2^16 cells: cell and hash sort as one number.
+    drawn = np.sort(cell.astype(np.uint64) << np.uint64(48) | mixed >> np.uint64(16))
+    drawn = drawn[np.append(True, drawn[1:] != drawn[:-1])] if len(drawn) else drawn
+    cell = (drawn >> np.uint64(48)).astype(np.int64)
+    starts = np.flatnonzero(np.diff(cell, prepend=-1))
+    rank = np.arange(len(cell)) - np.repeat(starts, np.diff(np.append(starts, len(cell))))
+    voting = rank < VOTES
+    votes = np.zeros((n_rows * BLOCKS, VOTES), np.uint64)
+    votes[cell[voting], rank[voting]] = tb.mix(drawn[voting] << np.uint64(16))
+    n = np.bincount(cell[voting], minlength=n_rows * BLOCKS)
+    bits = _majority(votes, n).reshape(-1, BLOCKS)
+    n = n.reshape(-1, BLOCKS)
+    own = tb.mix(bits + np.arange(1, BLOCKS + 1, dtype=np.uint64))
+    both = tb.mix(own ^ np.roll(bits, -1, 1))
+    keys = np.maximum(np.where(n < 3, both, own), np.uint64(1))
+    keys[n == 0] = 0
+    return keys
+
+
+def _fingerprints(data: np.ndarray, low: np.ndarray, high: np.ndarray) -> np.ndarray:
+    """The join keys of the lines that span these places of normalised bytes."""
     hashes = tb.SpanHash(data)
-    grams, bins = hashes.windows(GRAM), BANDS * ROWS
-    none = np.uint64(0xFFFFFFFFFFFFFFFF)
-    out = np.zeros((len(used), BANDS), np.int64)
+    grams = hashes.windows(GRAM)
+    out = np.zeros((len(low), BLOCKS), np.uint64)
     n = np.maximum(high - low - GRAM + 1, 0)
+    total = np.cumsum(n)
     done = 0
-    while done < len(used):
-        until = max(done + 1, min(done + 4096, int(np.searchsorted(np.cumsum(n[done:]), 1 << 18)) + done))
+    while done < len(low):
+        until = int(np.searchsorted(total, (total[done - 1] if done else 0) + (1 << 18)))
+        until = max(done + 1, min(done + 4096, until, len(low)))
         size, start = n[done:until], low[done:until]
         row = np.repeat(np.arange(until - done), size)
         found = grams[np.repeat(start - np.cumsum(size) + size, size) + np.arange(size.sum())]
         short = np.flatnonzero(size == 0)
         row = np.append(row, short)
         found = np.append(found, hashes.spans(start[short], high[done:until][short]))
-        least = np.full((until - done, bins), none)
-        where = row * bins + ((found >> np.uint64(32)) % np.uint64(bins)).astype(np.int64)
-        np.minimum.at(least.ravel(), where, tb.mix(found))
-        # An empty bin takes the next full one's, changed by how far that is.
-        place = np.where(least != none, np.arange(bins), 2 * bins)
-        place = np.concatenate([place, place + bins], axis=1)
-        after = np.minimum.accumulate(place[:, ::-1], axis=1)[:, ::-1][:, :bins]
-        far = (after - np.arange(bins)).astype(np.uint64)
-        least = tb.mix(np.take_along_axis(least, after % bins, 1) + far * np.uint64(0x9E3779B97F4A7C15))
-        key = np.broadcast_to(np.arange(BANDS, dtype=np.uint64), (until - done, BANDS))
-        for part in range(ROWS):
-            key = tb.mix(key + least[:, part::ROWS])
-        out[done:until] = key.view(np.int64)
+        out[done:until] = _blocks(found, row, until - done)
         done = until
     return out
 
 
-def _line_marks(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, ...]:
-    """Row, number, fingerprint of the normalised text, its number of words, and keys of each line that takes part."""
+def _normal_lines(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, ...]:
+    """Row, number, text hash, first and last place of each line that takes part, and the normalised bytes."""
     none = np.zeros(0, np.int64)
     if not len(data):
-        return none, none, none.view(np.uint64), none, np.zeros((0, BANDS), np.int64)
+        return none, none, none, none, none, data
     # Rows end in a line break of their own, so lines never cross rows.
     data = np.insert(data, offsets[1:], 10)
     offsets = offsets + np.arange(len(offsets))
@@ -112,47 +141,163 @@ def _line_marks(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, ...]
     normal, keep = np.where(ruler[line], data, normal), keep | ruler[line]
     at = np.concatenate([[0], np.cumsum(keep)])
     normal, offsets = normal[keep], at[offsets]
+    # Of white space in a run one space stays, and none at the ends of a line.
+    blank = tb.SEPARATOR[normal] & (normal != 10)
+    normal[blank] = 32
+    keep = ~(blank & np.append(True, tb.SEPARATOR[normal[:-1]]))
+    held = np.flatnonzero(keep)
+    keep[held[:-1]] &= ~(blank[held[:-1]] & (normal[held[1:]] == 10))
+    at = np.concatenate([[0], np.cumsum(keep)])
+    normal, offsets = normal[keep], at[offsets]
     breaks = np.flatnonzero(normal == 10)
-    starts, ends, _ = tb.word_spans(normal, offsets)
-    words = tb.SpanHash(normal).spans(starts, ends)
-    line = np.searchsorted(breaks, starts)
-    count = np.bincount(line, minlength=len(breaks))
-    used = np.flatnonzero(count >= MIN_WORDS)
-    first = np.concatenate([[0], np.cumsum(count)])
-    # The text's fingerprint: a sum of its words, each mixed with its place in the line.
-    place = np.arange(len(words)) - first[line]
-    terms = tb.mix(words + tb.mix(place.astype(np.uint64) + np.uint64(1)))
-    sums = np.concatenate([[0], np.cumsum(terms, dtype=np.uint64)]).astype(np.uint64)
-    text = tb.mix(sums[first[used + 1]] - sums[first[used]])
+    low, high = np.append(0, breaks[:-1] + 1), breaks
+    used = np.flatnonzero(high > low)
     row = np.searchsorted(offsets, breaks[used], "right") - 1
     first_line = np.searchsorted(breaks, offsets[:-1])
-    return row, used - first_line[row], text, count[used], _keys(normal, breaks, used)
+    low, high = low[used], high[used]
+    text = tb.SpanHash(normal).spans(low, high).view(np.int64)
+    return row, used - first_line[row], text, low, high, normal
 
 
 def _lines(rows: DataFrame) -> DataFrame:
-    """``doc_id, row, line, text_hash, keys`` of every line that takes part."""
+    """``doc_id, row, line, text_hash, blocks`` of every line that takes part.
+
+    ``blocks`` are the join keys of the text, null where the same task gave them before.
+    """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             data, offsets = tb.text_arrays(batch.column("text"))
-            for low, _, part, ends in tb.pieces(data, offsets):
-                row, line, text, _, keys = _line_marks(part, ends)
-                at = pa.array(row + low)
+            for first, _, part, ends in tb.pieces(data, offsets):
+                row, line, text, low, high, normal = _normal_lines(part, ends)
+                _, once = np.unique(text, return_index=True)
+                body = _fingerprints(normal, low[once], high[once]).astype("<u8")
+                blocks = np.full(len(text), None)
+                blocks[once] = [b.tobytes() for b in body]
+                at = pa.array(row + first)
                 yield pa.RecordBatch.from_arrays(
                     [
                         batch.column("doc_id").take(at), batch.column("row").take(at),
-                        pa.array(line.astype(np.int32)), pa.array(text.view(np.int64)),
-                        pa.ListArray.from_arrays(pa.array(np.arange(len(keys) + 1) * BANDS, pa.int32()), pa.array(keys.ravel())),
+                        pa.array(line.astype(np.int32)), pa.array(text), pa.array(blocks, pa.binary()),
                     ],
-                    ["doc_id", "row", "line", "text_hash", "keys"],
+                    ["doc_id", "row", "line", "text_hash", "blocks"],
                 )
 
     kind = rows.schema["doc_id"].dataType.simpleString()
     return rows.select("doc_id", "row", "text").mapInArrow(
-        run, f"doc_id {kind}, row bigint, line int, text_hash bigint, keys array<bigint>"
+        run, f"doc_id {kind}, row bigint, line int, text_hash bigint, blocks binary"
     )
 
 
+def _dealt(lines: DataFrame, slots: int) -> DataFrame:
+    """``slot, keys, hashes``: the blocks of all lines, in packs of numbers by slot."""
+    names = ["slot", "keys", "hashes"]
+
+    def pack(bodies: list[bytes], texts: list[np.ndarray]) -> pa.RecordBatch:
+        keys = np.frombuffer(b"".join(bodies), "<u8")
+        text = np.repeat(np.concatenate(texts), BLOCKS)
+        text, keys = text[keys != 0], keys[keys != 0]
+        slot = (keys >> np.uint64(32)).astype(np.int64) % slots
+        order = np.argsort(slot, kind="stable")
+        slot, keys, text = slot[order], keys[order].astype("<u4"), text[order].astype("<i8")
+        starts = np.flatnonzero(np.diff(slot, prepend=-1))
+        spans = list(zip(starts, np.append(starts[1:], len(slot)), strict=True))
+        columns = ([column[a:b].tobytes() for a, b in spans] for column in (keys, text))
+        return pa.RecordBatch.from_arrays([pa.array(slot[starts]), *(pa.array(c, pa.binary()) for c in columns)], names)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        bodies: list[bytes] = []
+        texts: list[np.ndarray] = []
+        for batch in batches:
+            bodies += batch.column("blocks").to_pylist()
+            texts.append(batch.column("text_hash").to_numpy())
+            if len(bodies) * BLOCKS > SLOT_KEYS:
+                yield pack(bodies, texts)
+                bodies, texts = [], []
+        if bodies:
+            yield pack(bodies, texts)
+
+    found = lines.where("blocks is not null").select("text_hash", "blocks")
+    return found.mapInArrow(run, "slot bigint, keys binary, hashes binary")
+
+
+class _Slot:
+    """The blocks of one slot; gives ``shard, text_hash`` of those that different texts share."""
+
+    def __init__(self):
+        self._held: list[tuple[np.ndarray, np.ndarray]] = []
+        self._crowded = np.zeros(0, np.uint32)
+
+    def add(self, slot: int, keys: bytes, hashes: bytes) -> Iterator[pa.RecordBatch]:
+        self._held.append((np.frombuffer(keys, "<u4"), np.frombuffer(hashes, "<i8")))
+        if sum(len(k) for k, _ in self._held) > 2 * SLOT_KEYS:
+            yield from self.settle(slot, False)
+
+    def settle(self, slot: int, last: bool) -> Iterator[pa.RecordBatch]:
+        """All shards at the end; before it those of two texts or more, whose block stays open."""
+        if not self._held:
+            return
+        keys, text = (np.concatenate(c) for c in zip(*self._held, strict=True))
+        order = np.lexsort((text, keys))
+        keys, text = keys[order], text[order]
+        new = np.append(True, (keys[1:] != keys[:-1]) | (text[1:] != text[:-1]))
+        keys, text = keys[new], text[new]
+        starts = np.flatnonzero(np.append(True, keys[1:] != keys[:-1]))
+        n = np.diff(np.append(starts, len(keys)))
+        opened = np.isin(keys[starts], self._crowded)
+        # Shards of the same texts get the same name.
+        name = tb.mix(np.add.reduceat(tb.mix(text.view(np.uint64)), starts))
+        own = tb.mix(keys[starts].astype(np.uint64) + tb.mix(np.full(1, slot, np.uint64)))
+        shared = (n > 1) | opened
+        name = np.where(opened | (not last), own, name)
+        out = np.repeat(shared, n)
+        self._held = []
+        if not last:
+            self._crowded = np.union1d(self._crowded, keys[starts[shared]])
+            self._held.append((keys[~out], text[~out]))
+        if out.any():
+            shard = np.repeat(name, n)[out].view(np.int64)
+            yield pa.RecordBatch.from_arrays([pa.array(shard), pa.array(text[out])], ["shard", "text_hash"])
+
+
+def _shards(lines: DataFrame, slots: int) -> DataFrame:
+    """``shard, text_hash`` of the texts that share a block, each pair once."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        at, held = None, _Slot()
+        for batch in batches:
+            for slot, keys, hashes in zip(*(batch.column(i).to_pylist() for i in range(3)), strict=True):
+                if slot != at:
+                    if at is not None:
+                        yield from held.settle(at, True)
+                    at, held = slot, _Slot()
+                yield from held.add(slot, keys, hashes)
+        if at is not None:
+            yield from held.settle(at, True)
+
+    dealt = _dealt(lines, slots).repartition("slot").sortWithinPartitions("slot")
+    return dealt.mapInArrow(run, "shard bigint, text_hash bigint").dropDuplicates()
+
+
+def _texts(rows: DataFrame, wanted: bloom.BloomFilter) -> DataFrame:
+    """``text_hash, text`` of the normalised lines that the filter lets through, each once."""
+    known = rows.sparkSession.sparkContext.broadcast(wanted)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            data, offsets = tb.text_arrays(batch.column("text"))
+            for _, _, part, ends in tb.pieces(data, offsets):
+                _, _, text, low, high, normal = _normal_lines(part, ends)
+                _, once = np.unique(text, return_index=True)
+                once = once[known.value.might_hold(text[once])] if len(once) else once
+                body = normal.tobytes()
+                lines = [body[a:b].decode(errors="replace") for a, b in zip(low[once], high[once], strict=True)]
+                yield pa.RecordBatch.from_arrays([pa.array(text[once]), pa.array(lines, pa.string())], ["text_hash", "text"])
+
+    found = rows.select("text").mapInArrow(run, "text_hash bigint, text string")
+    return found.groupBy("text_hash").agg(F.any_value("text").alias("text"))
+
+
 def edit_distance(a: str, b: str) -> int:
     """Levenshtein distance: the columns of its table as bits of whole numbers."""
     low = 0
@@ -218,20 +363,19 @@ def _shard_links(texts: list[str], hashes: np.ndarray) -> list[tuple[int, int]]:
     return out
 
 
-def _verified(members: DataFrame) -> DataFrame:
-    """Links ``a, b`` between the text hashes of similar lines ``text_hash, keys, text``."""
-    rows = members.select("text_hash", "text", F.explode("keys").alias("k"))
-    sizes = rows.groupBy("k").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
+def _verified(shards: DataFrame, texts: DataFrame) -> DataFrame:
+    """Links ``a, b`` between the hashes of similar texts in the same shard."""
     # A large shard: each pair of its parts is a shard of its own.
-    parts = F.ceil(F.col("n") / PART).cast("int")
+    crowded = shards.groupBy("shard").agg(F.ceil(F.count(F.lit(1)) / PART).cast("int").alias("parts")).where("parts > 1")
+    part = F.pmod(F.xxhash64("text_hash"), "parts").cast("int")
+    pair = F.xxhash64("shard", F.least("part", "other"), F.greatest("part", "other"))
     dealt = (
-        rows.join(sizes, "k")
-        .withColumn("part", F.pmod(F.xxhash64("text_hash"), parts).cast("int"))
-        .select("text_hash", "text", "k", "part", F.explode(F.sequence(F.lit(0), parts - 1)).alias("other"))
-        .select(
-            F.xxhash64("k", F.least("part", "other"), F.greatest("part", "other")).alias("shard"),
-            "text_hash", "text",
-        )
+        shards.join(crowded, "shard", "left")
+        .withColumn("part", part)
+        .withColumn("other", F.explode(F.when(F.col("parts") > 1, F.sequence(F.lit(0), F.col("parts") - 1)).otherwise(F.array(F.lit(0)))))
+        .select("text_hash", F.when(F.col("parts") > 1, pair).otherwise(F.col("shard")).alias("shard"))
+        .join(texts, "text_hash")
+        .select("shard", "text_hash", "text")
     )
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -266,63 +410,57 @@ def removed_lines(docs: DataFrame) -> DataFrame:
     rows = docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text"), "row")
     _lines(rows).write.parquet(f"{base}/lines")
     lines = spark.read.parquet(f"{base}/lines")
+    partitions = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    slots = max(partitions, -(-lines.count() * BLOCKS // SLOT_KEYS))
+    _shards(lines, slots).write.parquet(f"{base}/shards")
+    shards = spark.read.parquet(f"{base}/shards")
+    texts = _texts(rows, bloom.build(shards.select("text_hash").distinct()))
+    _verified(shards, texts).write.parquet(f"{base}/links")
+    roots = components(spark.read.parquet(f"{base}/links")).withColumnRenamed("id", "text_hash")
+
     place = F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "row", "line")
-    lines.groupBy("text_hash").agg(F.min(place).alias("first"), F.any_value("keys").alias("keys")).write.parquet(
-        f"{base}/distinct"
+    distinct = lines.groupBy("text_hash").agg(F.min(place).alias("first"), F.count(F.lit(1)).alias("n"))
+    groups = distinct.join(roots, "text_hash", "left").where("n > 1 or root is not null")
+    groups = groups.withColumn("root", F.coalesce("root", "text_hash"))
+    groups.write.parquet(f"{base}/groups")
+    groups = spark.read.parquet(f"{base}/groups")
+    best = groups.groupBy("root").agg(F.min("first").alias("best"))
+    kept = groups.join(best, "root").select(
+        "text_hash", F.col("best.row").alias("kept_row"), F.col("best.line").alias("kept_line")
     )
-    distinct = spark.read.parquet(f"{base}/distinct")
+    gone = (F.col("row") != F.col("kept_row")) | (F.col("line") != F.col("kept_line"))
+    found = lines.select("row", "line", "text_hash").join(kept, "text_hash").where(gone)
+    found.groupBy("row").agg(F.collect_set("line").alias("lines")).write.parquet(f"{base}/removed")
+    return spark.read.parquet(f"{base}/removed")
 
-    keyed = distinct.select("text_hash", F.explode("keys").alias("k"))
-    shared = keyed.groupBy("k").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("k")
-    partners = keyed.join(shared, "k").groupBy("text_hash").agg(F.collect_list("k").alias("keys"))
-    members = distinct.drop("keys").join(partners, "text_hash").select(
-        "text_hash", "keys", F.col("first.row").alias("row"), "first.line"
-    )
-    members.write.parquet(f"{base}/members")
-    members = spark.read.parquet(f"{base}/members")
-    wanted = bloom.build(members.select("row")).column(F.col("row"), rows)
-    # Equal rows have one hash; one of them is enough.
-    texts = rows.where(wanted).select("row", "text").join(members, "row")
-    line_text = F.get(F.split("text", "\n", -1), F.col("line"))
-    texts = texts.select("text_hash", "keys", line_text.alias("text")).dropDuplicates(["text_hash"])
-
-    def normal(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            done = pa.array([normalise(t) for t in batch.column("text").to_pylist()], pa.string())
-            yield pa.RecordBatch.from_arrays([batch.column("text_hash"), batch.column("keys"), done], ["text_hash", "keys", "text"])
 
-    texts.mapInArrow(normal, "text_hash bigint, keys array<bigint>, text string").write.parquet(f"{base}/texts")
-    roots = components(_verified(spark.read.parquet(f"{base}/texts"))).withColumnRenamed("id", "text_hash")
-    groups = distinct.join(roots, "text_hash", "left").withColumn("root", F.coalesce("root", "text_hash"))
-    best = groups.groupBy("root").agg(F.min("first").alias("best"))
-    kept = groups.join(best, "root").select("text_hash", "best.row", "best.line")
-    kept = kept.withColumnsRenamed({"row": "kept_row", "line": "kept_line"})
-    gone = (F.col("row") != F.col("kept_row")) | (F.col("line") != F.col("kept_line"))
-    return lines.join(kept, "text_hash").where(gone).groupBy("row").agg(F.collect_set("line").alias("lines"))
+def _with_removed(rows: DataFrame, gone: DataFrame) -> DataFrame:
+    """The rows with their removed lines; only rows that may have some are shuffled."""
+    rows = rows.withColumn("cut", bloom.build(gone.select("row")).column(F.col("row"), rows))
+    whole = rows.where(~F.col("cut")).withColumn("lines", F.lit(None).cast("array<int>"))
+    return rows.where("cut").join(gone, "row", "left").unionByName(whole).drop("cut")
 
 
 def _kept_text(text, gone):
-    parts = F.split(text, "\n", -1)
-    return F.array_join(
-        F.transform(F.array(parts), lambda p: F.filter(p, lambda _, i: ~F.array_contains(gone, i)))[0], "\n"
-    )
+    parts, numbers = F.split(text, "\n", -1), F.map_from_arrays(gone, gone)
+    kept = F.transform(F.array(F.struct(parts.alias("parts"), numbers.alias("gone"))), lambda x: F.filter(
+        x["parts"], lambda _, i: F.try_element_at(x["gone"], i).isNull()))
+    return F.array_join(kept[0], "\n")
 
 
 def dedup_lines(docs: DataFrame) -> DataFrame:
     """The documents without the removed lines, with all their columns."""
     names = docs.columns
     rows = docs.select(F.struct("*").alias("doc"), F.xxhash64("doc_id", "text").alias("row"))
-    gone = removed_lines(rows.select("doc.doc_id", "doc.text", "row"))
+    found = _with_removed(rows, removed_lines(rows.select("doc.doc_id", "doc.text", "row")))
     text = F.when(F.col("lines").isNull(), F.col("doc.text")).otherwise(_kept_text(F.col("doc.text"), F.col("lines")))
-    return rows.join(gone, "row", "left").select(
-        *(text.alias(c) if c == "text" else F.col(f"doc.`{c}`") for c in names)
-    )
+    return found.select(*(text.alias(c) if c == "text" else F.col(f"doc.`{c}`") for c in names))
 
 
 def report(docs: DataFrame) -> DataFrame:
     """``doc_id, n_lines, n_removed, kept_sha256`` (of the text that stays) for every document."""
     rows = docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text"), F.xxhash64("doc_id", "text").alias("row"))
-    found = rows.join(removed_lines(docs.select("doc_id", "text", F.xxhash64("doc_id", "text").alias("row"))), "row", "left")
+    found = _with_removed(rows, removed_lines(docs.select("doc_id", "text", F.xxhash64("doc_id", "text").alias("row"))))
     kept = F.when(F.col("lines").isNull(), F.col("text")).otherwise(_kept_text(F.col("text"), F.col("lines")))
     return found.select(
         "doc_id",
