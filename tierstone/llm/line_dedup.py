@@ -44,23 +44,25 @@ from . import textbytes as tb
 from .components import components
 
 GRAM = 5
-BLOCKS = 12
+BLOCKS = 16
 VOTES = 5
 SIMILARITY = 0.8
 PART = 2048
 SLOT_KEYS = 1 << 21
 
-#: Lower case, one digit for all, and 0 for punctuation, which is dropped.
+#: Lower case, one digit for all, one white space; punctuation is dropped.
 _NORMAL = tb.LOWER.copy()
 _NORMAL[48:58] = 48
-_NORMAL[[*range(33, 48), *range(58, 65), *range(91, 97), *range(123, 127)]] = 0
+_NORMAL[[9, 11, 12, 13]] = 32
+_TABLE = _NORMAL.tobytes()
+_DROPPED = bytes([*range(33, 48), *range(58, 65), *range(91, 97), *range(123, 127)])
+_LOW = np.uint64((1 << 48) - 1)
 
 
 def normalise(line: str) -> str:
     """The normalised line: its words, joined by single spaces."""
     body = line.encode()
-    words = body.translate(_NORMAL.tobytes(), b"").replace(b"\0", b"").split()
-    return b" ".join(words or body.split()).decode(errors="replace")
+    return b" ".join(body.translate(_TABLE, _DROPPED).split() or body.split()).decode(errors="replace")
 
 
 def _majority(votes: np.ndarray, n: np.ndarray) -> np.ndarray:
@@ -82,17 +84,16 @@ def _majority(votes: np.ndarray, n: np.ndarray) -> np.ndarray:
 
 def _blocks(grams: np.ndarray, row: np.ndarray, n_rows: int) -> np.ndarray:
     """The join keys of the blocks of each row, 0 for an empty block, from the hashes of the rows' strings."""
-    mixed = tb.mix(grams)
-    cell = row * BLOCKS + ((grams >> np.uint64(32)) % np.uint64(BLOCKS)).astype(np.int64)
+    cell = row.astype(np.uint64) * np.uint64(BLOCKS) + ((grams >> np.uint64(48)) * np.uint64(BLOCKS) >> np.uint64(16))
     # At most 2^16 cells: cell and hash sort as one number.
-    drawn = np.sort(cell.astype(np.uint64) << np.uint64(48) | mixed >> np.uint64(16))
+    drawn = np.sort(cell << np.uint64(48) | grams & _LOW)
     drawn = drawn[np.append(True, drawn[1:] != drawn[:-1])] if len(drawn) else drawn
     cell = (drawn >> np.uint64(48)).astype(np.int64)
     starts = np.flatnonzero(np.diff(cell, prepend=-1))
     rank = np.arange(len(cell)) - np.repeat(starts, np.diff(np.append(starts, len(cell))))
     voting = rank < VOTES
     votes = np.zeros((n_rows * BLOCKS, VOTES), np.uint64)
-    votes[cell[voting], rank[voting]] = tb.mix(drawn[voting] << np.uint64(16))
+    votes[cell[voting], rank[voting]] = tb.mix(drawn[voting] & _LOW)
     n = np.bincount(cell[voting], minlength=n_rows * BLOCKS)
     bits = _majority(votes, n).reshape(-1, BLOCKS)
     n = n.reshape(-1, BLOCKS)
@@ -103,9 +104,8 @@ def _blocks(grams: np.ndarray, row: np.ndarray, n_rows: int) -> np.ndarray:
     return keys
 
 
-def _fingerprints(data: np.ndarray, low: np.ndarray, high: np.ndarray) -> np.ndarray:
+def _fingerprints(hashes: tb.SpanHash, low: np.ndarray, high: np.ndarray) -> np.ndarray:
     """The join keys of the lines that span these places of normalised bytes."""
-    hashes = tb.SpanHash(data)
     grams = hashes.windows(GRAM)
     out = np.zeros((len(low), BLOCKS), np.uint64)
     n = np.maximum(high - low - GRAM + 1, 0)
@@ -125,38 +125,36 @@ def _fingerprints(data: np.ndarray, low: np.ndarray, high: np.ndarray) -> np.nda
     return out
 
 
-def _normal_lines(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, ...]:
-    """Row, number, text hash, first and last place of each line that takes part, and the normalised bytes."""
-    none = np.zeros(0, np.int64)
-    if not len(data):
-        return none, none, none, none, none, data
+def _normal_lines(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, bytes]:
+    """Row, number, first and last place of each line that takes part, and the normalised bytes."""
     # Rows end in a line break of their own, so lines never cross rows.
     data = np.insert(data, offsets[1:], 10)
-    offsets = offsets + np.arange(len(offsets))
-    normal = _NORMAL[data]
-    keep = (normal != 0) | (data == 0)
+    body = data.tobytes().translate(_TABLE, _DROPPED)
+    normal = np.frombuffer(body, np.uint8)
+    # Of white space in a run the last stays, and none at the ends of a line.
+    blank = normal == 32
+    edge = blank | (normal == 10)
+    keep = ~blank
+    keep[:-1] |= ~edge[1:]
+    normal = normal[keep]
+    keep = normal != 32
+    keep[1:] |= normal[:-1] != 10
+    normal = normal[keep]
+    breaks, was = np.flatnonzero(normal == 10), np.flatnonzero(data == 10)
+    low, high = np.insert(breaks[:-1] + 1, 0, 0)[: len(breaks)], breaks
+    row = np.searchsorted(offsets[1:] + np.arange(len(offsets) - 1), was)
+    number = np.arange(len(was)) - np.searchsorted(row, row)
     # Lines of punctuation only, such as rulers, are taken as they are.
-    line = np.cumsum(data == 10) - (data == 10)
-    ruler = np.bincount(line, keep & ~tb.SEPARATOR[normal]) == 0
-    normal, keep = np.where(ruler[line], data, normal), keep | ruler[line]
-    at = np.concatenate([[0], np.cumsum(keep)])
-    normal, offsets = normal[keep], at[offsets]
-    # Of white space in a run one space stays, and none at the ends of a line.
-    blank = tb.SEPARATOR[normal] & (normal != 10)
-    normal[blank] = 32
-    keep = ~(blank & np.append(True, tb.SEPARATOR[normal[:-1]]))
-    held = np.flatnonzero(keep)
-    keep[held[:-1]] &= ~(blank[held[:-1]] & (normal[held[1:]] == 10))
-    at = np.concatenate([[0], np.cumsum(keep)])
-    normal, offsets = normal[keep], at[offsets]
-    breaks = np.flatnonzero(normal == 10)
-    low, high = np.append(0, breaks[:-1] + 1), breaks
+    before = np.insert(was[:-1] + 1, 0, 0)[: len(was)]
+    rulers, at = [], len(normal)
+    for line in np.flatnonzero((low == high) & (before < was)):
+        own = b" ".join(data[before[line] : was[line]].tobytes().split())
+        if own:
+            rulers.append(own)
+            low[line], high[line] = at, at + len(own)
+            at += len(own)
     used = np.flatnonzero(high > low)
-    row = np.searchsorted(offsets, breaks[used], "right") - 1
-    first_line = np.searchsorted(breaks, offsets[:-1])
-    low, high = low[used], high[used]
-    text = tb.SpanHash(normal).spans(low, high).view(np.int64)
-    return row, used - first_line[row], text, low, high, normal
+    return row[used], number[used], low[used], high[used], normal.tobytes() + b"".join(rulers)
 
 
 def _lines(rows: DataFrame) -> DataFrame:
@@ -169,9 +167,11 @@ def _lines(rows: DataFrame) -> DataFrame:
         for batch in batches:
             data, offsets = tb.text_arrays(batch.column("text"))
             for first, _, part, ends in tb.pieces(data, offsets):
-                row, line, text, low, high, normal = _normal_lines(part, ends)
+                row, line, low, high, normal = _normal_lines(part, ends)
+                hashes = tb.SpanHash(np.frombuffer(normal, np.uint8))
+                text = hashes.spans(low, high).view(np.int64)
                 _, once = np.unique(text, return_index=True)
-                body = _fingerprints(normal, low[once], high[once]).astype("<u8")
+                body = _fingerprints(hashes, low[once], high[once]).astype("<u8")
                 blocks = np.full(len(text), None)
                 blocks[once] = [b.tobytes() for b in body]
                 at = pa.array(row + first)
@@ -222,7 +222,7 @@ def _dealt(lines: DataFrame, slots: int) -> DataFrame:
 
 
 class _Slot:
-    """The blocks of one slot; gives ``shard, text_hash`` of those that different texts share."""
+    """The blocks of one slot; gives ``lead, shard, text_hash`` of those that different texts share."""
 
     def __init__(self):
         self._held: list[tuple[np.ndarray, np.ndarray]] = []
@@ -249,19 +249,24 @@ class _Slot:
         name = tb.mix(np.add.reduceat(tb.mix(text.view(np.uint64)), starts))
         own = tb.mix(keys[starts].astype(np.uint64) + tb.mix(np.full(1, slot, np.uint64)))
         shared = (n > 1) | opened
-        name = np.where(opened | (not last), own, name)
+        lead = text[starts].view(np.uint64)
+        name, lead = (np.where(opened | (not last), own, x) for x in (name, lead))
         out = np.repeat(shared, n)
         self._held = []
         if not last:
             self._crowded = np.union1d(self._crowded, keys[starts[shared]])
             self._held.append((keys[~out], text[~out]))
         if out.any():
-            shard = np.repeat(name, n)[out].view(np.int64)
-            yield pa.RecordBatch.from_arrays([pa.array(shard), pa.array(text[out])], ["shard", "text_hash"])
+            columns = [np.repeat(x, n)[out].view(np.int64) for x in (lead, name)]
+            yield pa.RecordBatch.from_arrays([*map(pa.array, columns), pa.array(text[out])], ["lead", "shard", "text_hash"])
 
 
 def _shards(lines: DataFrame, slots: int) -> DataFrame:
-    """``shard, text_hash`` of the texts that share a block, each pair once."""
+    """``lead, text_hash, shards`` of the texts that share a block.
+
+    ``lead`` is the smallest text of a shard, or stands for a crowded one: shards of one lead
+    meet in a task, at most ``BLOCKS`` of them, and a pair that several hold is compared once.
+    """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         at, held = None, _Slot()
@@ -276,7 +281,8 @@ def _shards(lines: DataFrame, slots: int) -> DataFrame:
             yield from held.settle(at, True)
 
     dealt = _dealt(lines, slots).repartition("slot").sortWithinPartitions("slot")
-    return dealt.mapInArrow(run, "shard bigint, text_hash bigint").dropDuplicates()
+    found = dealt.mapInArrow(run, "lead bigint, shard bigint, text_hash bigint")
+    return found.groupBy("lead", "text_hash").agg(F.collect_set("shard").alias("shards"))
 
 
 def _texts(rows: DataFrame, wanted: bloom.BloomFilter) -> DataFrame:
@@ -287,26 +293,33 @@ def _texts(rows: DataFrame, wanted: bloom.BloomFilter) -> DataFrame:
         for batch in batches:
             data, offsets = tb.text_arrays(batch.column("text"))
             for _, _, part, ends in tb.pieces(data, offsets):
-                _, _, text, low, high, normal = _normal_lines(part, ends)
+                _, _, low, high, normal = _normal_lines(part, ends)
+                text = tb.SpanHash(np.frombuffer(normal, np.uint8)).spans(low, high).view(np.int64)
                 _, once = np.unique(text, return_index=True)
                 once = once[known.value.might_hold(text[once])] if len(once) else once
-                body = normal.tobytes()
-                lines = [body[a:b].decode(errors="replace") for a, b in zip(low[once], high[once], strict=True)]
+                lines = [normal[a:b].decode(errors="replace") for a, b in zip(low[once], high[once], strict=True)]
                 yield pa.RecordBatch.from_arrays([pa.array(text[once]), pa.array(lines, pa.string())], ["text_hash", "text"])
 
     found = rows.select("text").mapInArrow(run, "text_hash bigint, text string")
     return found.groupBy("text_hash").agg(F.any_value("text").alias("text"))
 
 
+def _shared_start(a: str, b: str) -> int:
+    low, size = 0, min(len(a), len(b))
+    while size:
+        if a[low : low + size] == b[low : low + size]:
+            low += size
+            size = min(size, len(a) - low, len(b) - low)
+        else:
+            size //= 2
+    return low
+
+
 def edit_distance(a: str, b: str) -> int:
     """Levenshtein distance: the columns of its table as bits of whole numbers."""
-    low = 0
-    while low < min(len(a), len(b)) and a[low] == b[low]:
-        low += 1
+    low = _shared_start(a, b)
     a, b = a[low:], b[low:]
-    high = 0
-    while high < min(len(a), len(b)) and a[-1 - high] == b[-1 - high]:
-        high += 1
+    high = _shared_start(a[::-1], b[::-1])
     a, b = a[: len(a) - high], b[: len(b) - high]
     if not a or not b:
         return len(a) + len(b)
@@ -335,72 +348,94 @@ def similar(a: str, b: str, least: float = SIMILARITY) -> bool:
     return edit_distance(a, b) <= (1 - least) * longest
 
 
-def _shard_links(texts: list[str], hashes: np.ndarray) -> list[tuple[int, int]]:
-    """Links that connect what is similar in one shard."""
-    root = list(range(len(texts)))
-    sizes = np.array([len(t) for t in texts])
-    # Bytes by their low bits: an edit of one character changes at most four on each side.
-    bags = np.array([np.bincount(np.frombuffer(t.encode(), np.uint8) & 31, minlength=32) for t in texts], np.int32)
+def _profiles(texts: list[str]) -> np.ndarray:
+    """How often each text holds the strings of three characters that hash to a bin."""
+    out = np.zeros((len(texts), 1024), np.int32)
+    for i, text in enumerate(texts):
+        c = np.frombuffer(text.encode("utf-32-le"), np.uint32)
+        if len(c) > 2:
+            h = (c[:-2] * np.uint32(0x9E3779B1) + c[1:-1]) * np.uint32(0x85EBCA77) + c[2:]
+            out[i] = np.bincount(h * np.uint32(0xC2B2AE3D) >> np.uint32(22), minlength=1024)
+    return out
 
-    def find(i: int) -> int:
-        while root[i] != i:
-            root[i] = root[root[i]]
-            i = root[i]
-        return i
 
+def _shard_links(texts: list[str], hashes: np.ndarray, shards: list[list[int]]) -> list[tuple[int, int]]:
+    """Links that connect what is similar in each of some shards of these texts."""
+    root = np.arange(len(texts))
+    sizes = np.array([len(t) for t in texts])
+    profiles = _profiles(texts)
+    unlike: set[tuple[int, int]] = set()
     out = []
-    for i in range(1, len(texts)):
-        most = (1 - SIMILARITY) * np.maximum(sizes[:i], sizes[i]) + 1e-9
-        near = np.flatnonzero(np.abs(sizes[:i] - sizes[i]) <= most)
-        apart = bags[near] - bags[i]
-        extra = np.maximum(np.maximum(apart, 0).sum(1), np.maximum(-apart, 0).sum(1))
-        near = near[extra <= 4 * most[near]]
-        for j in near[::-1]:
-            a, b = find(i), find(int(j))
-            if a != b and similar(texts[i], texts[j]):
-                root[a] = b
-                out.append((int(hashes[i]), int(hashes[j])))
+    for shard in shards:
+        members = np.sort(np.array(shard))
+        for k in range(1, len(members)):
+            i = members[k]
+            near = members[:k][root[members[:k]] != root[i]]
+            most = (1 - SIMILARITY) * np.maximum(sizes[near], sizes[i]) + 1e-9
+            fit = np.abs(sizes[near] - sizes[i]) <= most
+            near, most = near[fit], most[fit]
+            if not len(near):
+                continue
+            # An edit of one character changes at most three strings of three on each side.
+            apart = profiles[near] - profiles[i]
+            extra = np.maximum(apart.clip(0).sum(1), (-apart).clip(0).sum(1))
+            for j in near[extra <= 3 * most][::-1]:
+                if root[i] != root[j] and (i, j) not in unlike:
+                    if similar(texts[i], texts[j]):
+                        root[root == root[i]] = root[j]
+                        out.append((int(hashes[i]), int(hashes[j])))
+                    else:
+                        unlike.add((i, j))
     return out
 
 
 def _verified(shards: DataFrame, texts: DataFrame) -> DataFrame:
     """Links ``a, b`` between the hashes of similar texts in the same shard."""
-    # A large shard: each pair of its parts is a shard of its own.
-    crowded = shards.groupBy("shard").agg(F.ceil(F.count(F.lit(1)) / PART).cast("int").alias("parts")).where("parts > 1")
+    # Many texts of one lead: each pair of their parts has a task of its own.
+    crowded = shards.groupBy("lead").agg(F.ceil(F.count(F.lit(1)) / PART).cast("int").alias("parts")).where("parts > 1")
     part = F.pmod(F.xxhash64("text_hash"), "parts").cast("int")
-    pair = F.xxhash64("shard", F.least("part", "other"), F.greatest("part", "other"))
+    pair = F.xxhash64("lead", F.least("part", "other"), F.greatest("part", "other"))
+    others = F.when(F.col("parts") > 1, F.sequence(F.lit(0), F.col("parts") - 1)).otherwise(F.array(F.lit(0)))
     dealt = (
-        shards.join(crowded, "shard", "left")
+        shards.join(crowded, "lead", "left")
         .withColumn("part", part)
-        .withColumn("other", F.explode(F.when(F.col("parts") > 1, F.sequence(F.lit(0), F.col("parts") - 1)).otherwise(F.array(F.lit(0)))))
-        .select("text_hash", F.when(F.col("parts") > 1, pair).otherwise(F.col("shard")).alias("shard"))
+        .withColumn("other", F.explode(others))
+        .select("text_hash", "shards", F.when(F.col("parts") > 1, pair).otherwise(F.col("lead")).alias("lead"))
         .join(texts, "text_hash")
-        .select("shard", "text_hash", "text")
-    )
+        .select("lead", "text_hash", "shards", "text")
+    )
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        shard, held = None, []
+        lead, held = None, []
         found: set[tuple[int, int]] = set()
 
         def work() -> None:
-            found.update(_shard_links([h[1] for h in held], np.array([h[0] for h in held])))
+            shards: dict[int, list[int]] = {}
+            for i, (_, names, _) in enumerate(held):
+                for name in names:
+                    shards.setdefault(name, []).append(i)
+            found.update(_shard_links([h[2] for h in held], np.array([h[0] for h in held]), list(shards.values())))
+
+        def links() -> pa.RecordBatch:
+            out = pa.RecordBatch.from_arrays([pa.array(c) for c in zip(*found, strict=True)], ["a", "b"])
+            found.clear()
+            return out
 
         for batch in batches:
-            for key, *row in zip(*(batch.column(i).to_pylist() for i in range(3)), strict=True):
-                if key != shard:
+            for key, *row in zip(*(batch.column(i).to_pylist() for i in range(4)), strict=True):
+                if key != lead:
                     if len(held) > 1:
                         work()
-                    shard, held = key, []
+                    lead, held = key, []
                 held.append(row)
             if len(found) > 1 << 18:
-                yield pa.RecordBatch.from_arrays([pa.array(c) for c in zip(*found, strict=True)], ["a", "b"])
-                found.clear()
+                yield links()
         if len(held) > 1:
             work()
         if found:
-            yield pa.RecordBatch.from_arrays([pa.array(c) for c in zip(*found, strict=True)], ["a", "b"])
+            yield links()
 
-    return dealt.repartition("shard").sortWithinPartitions("shard").mapInArrow(run, "a bigint, b bigint")
+    return dealt.repartition("lead").sortWithinPartitions("lead").mapInArrow(run, "a bigint, b bigint")
 
 
 def removed_lines(docs: DataFrame) -> DataFrame:
