@@ -291,6 +291,18 @@ def test_edit_distance():
     for _ in range(300):
         a, b = ("".join(rng.choice(list("abé"), rng.integers(0, 12))) for _ in range(2))
         assert line_dedup.edit_distance(a, b) == table(a, b)
+    verdicts = []
+    for _ in range(600):
+        words = [prose(int(rng.integers(40)), 1).split(" ")[0][:8] for _ in range(rng.integers(1, 9))]
+        a, b = " ".join(words), list(" ".join(words))
+        for _ in range(rng.integers(0, 1 + len(b) // 3)):
+            b[rng.integers(len(b))] = str(rng.choice(["", "x", "é", " ", "yz"]))
+        if rng.integers(2):
+            b = [*b[len(b) // 8 :], "z"]
+        b = "".join(b)
+        verdicts.append(line_dedup.similar(a, b))
+        assert verdicts[-1] == (table(a, b) <= (1 - line_dedup.SIMILARITY) * max(len(a), len(b)))
+    assert 100 < sum(verdicts) < 500
 
 
 def test_empty_tables(nothing):

@@ -341,11 +341,35 @@ def edit_distance(a: str, b: str) -> int:
     return distance
 
 
+def common_length(a: list[str] | str, b: list[str] | str) -> int:
+    """Length of the longest common subsequence, by the bits of whole numbers."""
+    places = dict.fromkeys([*a, *b], 0)
+    for i, c in enumerate(a):
+        places[c] |= 1 << i
+    full = (1 << len(a)) - 1
+    left = full
+    for place in map(places.__getitem__, b):
+        taken = left & place
+        if taken:
+            left = left + taken & full | left - taken
+    return len(a) - left.bit_count()
+
+
 def similar(a: str, b: str, least: float = SIMILARITY) -> bool:
+    """Whether the edit similarity reaches ``least``; bounds of the distance decide most pairs before it."""
     longest = max(len(a), len(b))
-    if abs(len(a) - len(b)) > (1 - least) * longest:
+    most = (1 - least) * longest
+    if abs(len(a) - len(b)) > most:
+        return False
+    # What common words leave over, at most the longest other words, can be dropped and put in.
+    words = a.split(" "), b.split(" ")
+    common = common_length(*words)
+    if sum(sum(sorted((len(w) + 1 for w in x), reverse=True)[: len(x) - common]) for x in words) <= most:
+        return True
+    common = common_length(a, b)
+    if longest - common > most:
         return False
-    return edit_distance(a, b) <= (1 - least) * longest
+    return len(a) + len(b) - 2 * common <= most or edit_distance(a, b) <= most
 
 
 def _profiles(texts: list[str]) -> np.ndarray:
