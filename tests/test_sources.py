@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 
 from tierstone.errors import ApiResponseError, ExtractionError
 from tierstone.operators.paging import explode_pages, page_prefix
+from tierstone.operators import sinks
 from tierstone.operators.sinks import write_raw
 from tierstone.functions.records import payloads_from_list
 from tierstone.sources.paged import (
@@ -418,6 +419,17 @@ def test_any_payload_survives_raw(spark, tmp_path_factory, texts):
     assert sorted(back, key=repr) == sorted(texts, key=repr)
 
 
+def test_raw_is_landed_compressed_in_bounded_files(spark, path, monkeypatch):
+    monkeypatch.setattr(sinks, "RAW_FILE_LINES", 300)
+    records = [{"id": str(n), "name": f"name {n % 7}", "brewery_type": None, "address_1": None} for n in range(1000)]
+    raw = write_raw(payloads_from_list(spark, records).coalesce(1), path, "r")
+    files = [f"{raw}/{name}" for name in os.listdir(raw) if name.startswith("part-")]
+    assert len(files) == 4  # each is read by one task
+    texts = [json.dumps(record) for record in records]
+    assert sum(map(os.path.getsize, files)) * 4 < sum(map(len, texts))
+    assert sorted(r.payload for r in read_raw_lines(spark, raw).collect()) == sorted(texts)
+
+
 def test_foreign_lines_stay_as_they_are(spark, path):
     write(path, "a.json", '"x"\nnull\n\n{"a": 1}\n')
     got = read_raw_lines(spark, path, encoded=False).collect()

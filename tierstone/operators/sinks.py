@@ -13,6 +13,10 @@ from .bronze import Run
 from .publish import Audit, audited_write
 
 
+#: Lines of a RAW file at most: a compressed file is read by one task, so files stay small.
+RAW_FILE_LINES = 250_000
+
+
 def _save(writer: DataFrameWriter, path: str, what: str) -> None:
     try:
         writer.save(path)
@@ -29,10 +33,14 @@ def write_raw(payloads: DataFrame, root: str, run_id: str) -> str:
 
     A record stands as it is; what a line cannot hold stands as a JSON string, so that
     ``read_raw_lines`` has every payload back as it was, nulls and blanks included.
+    Text that repeats its keys in every line is by far the largest layer, so its files
+    are compressed, each of at most ``RAW_FILE_LINES`` lines.
     """
     path = raw_path(root, run_id)
     lines = payloads.select(encode_line(F.col("payload")).alias("value"))
-    _save(lines.write.mode("overwrite").format("text").option("lineSep", "\n"), path, "RAW")
+    writer = lines.write.mode("overwrite").format("text").option("lineSep", "\n")
+    writer = writer.option("compression", "gzip").option("maxRecordsPerFile", RAW_FILE_LINES)
+    _save(writer, path, "RAW")
     return path
 
 

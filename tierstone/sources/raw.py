@@ -44,7 +44,8 @@ def decode_line(line: Column) -> Column:
 
 
 def read_raw_lines(spark: SparkSession, path: str, *, encoded: bool = True) -> DataFrame:
-    """One payload per line, as ``write_raw`` was given it; splits across tasks.
+    """One payload per line, as ``write_raw`` was given it. Plain files split across tasks,
+    compressed ones, as ``write_raw`` makes them, are spread over tasks whole.
 
     Blank lines hold no record; ``write_raw`` leaves none. ``encoded=False`` takes the
     lines of other writers as they stand.
