@@ -6,6 +6,7 @@ import zlib
 from collections import Counter
 
 import numpy as np
+import pyarrow as pa
 import pytest
 
 from tierstone.llm import (
@@ -79,6 +80,30 @@ def test_a_labelled_id_of_many_rows_is_bounded(spark):
     assert all((a == b).all() for a, b in zip(forest.cut, once.cut, strict=True))
 
 
+def test_forest_and_threshold_count_all_labelled_rows(spark):
+    rows = [(n, prose(n, 12 + n % 60)) for n in range(900)]
+    rows += [(n, " ".join(f"#{n}%{i}&" for i in range(30 + n % 9))) for n in range(900, 960)]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string").repartition(5)
+    marks = [(n, int(n < 900 and n % 90 > 0)) for n in range(960)]
+    labels = spark.createDataFrame(marks, "doc_id bigint, quality int")
+    forest = quality_rules.fit(docs, labels, sample=32)
+    stats = labelled.statistics(pa.array([text for _, text in rows]))
+    usual = ~quality_rules.base_failed(stats)
+    x, good = quality_rules.rule_features(stats)[usual], np.array([m for _, m in marks])[usual] == 1
+    full = np.arange(33)
+    for feature, left, depth, node in zip(forest.feature, forest.left, forest.depth, forest.leaves(x), strict=True):
+        level = {0: 0}
+        for k in np.flatnonzero(feature >= 0):
+            level[left[k]] = level[left[k] + 1] = level[k] + 1
+        for k, count in Counter(node.tolist()).items():
+            expected = np.interp(count * 32 / len(x), full, quality_rules.mean_path(full))
+            assert depth[k] == pytest.approx(level[k] + expected)
+    scores = np.floor(forest.score(x) * quality_rules.LEVELS) / quality_rules.LEVELS
+    assert forest.threshold == quality_rules.calibrate(scores, good) < 1
+    rejected = scores >= forest.threshold
+    assert (rejected & good).sum() <= 0.01 * good.sum() and (rejected & ~good).sum() >= 50
+
+
 def test_isolation_forest():
     rng = np.random.default_rng(1)
     x = np.vstack([rng.normal(0, 1, (600, 4)), rng.normal(9, 1, (30, 4))])

@@ -1,4 +1,4 @@
-"""Statistics of whole texts, and bounded samples of labelled rows."""
+"""Statistics of whole texts, and labelled rows."""
 
 from __future__ import annotations
 
@@ -159,9 +159,3 @@ def label_rows(labels: DataFrame, column: str) -> DataFrame:
         .groupBy("doc_id")
         .agg(F.max(column).cast("int").alias("label"))
     )
-
-
-def label_sample(labels: DataFrame, column: str, bound: int) -> DataFrame:
-    """At most ``bound`` labelled documents, those with the smallest hashes of their ids."""
-    rows = label_rows(labels, column)
-    return rows.orderBy(F.xxhash64("doc_id", F.lit(7)), "doc_id").limit(bound)
