@@ -218,6 +218,33 @@ def test_words_three_back_and_late_ranks_have_a_say():
     assert logs[3::4].mean() > 0.5 * math.log(0.5)
 
 
+def test_words_are_found_and_slots_move_as_by_hand():
+    rng = np.random.default_rng(4)
+    hashes = np.sort(np.concatenate([
+        rng.integers(1, 1 << 63, 500).astype(np.uint64) * np.uint64(2), np.uint64(77 << 48) + np.arange(40, dtype=np.uint64),
+        np.array([1, (1 << 64) - 1], np.uint64),
+    ]))
+    n = len(hashes)
+    words = maxent.Vocabulary(hashes, rng.permutation(n), np.arange(n, 0, -1), n * n, n)
+    asked = np.concatenate([hashes, hashes + np.uint64(1), hashes - np.uint64(1), np.array([0, 5 << 48], np.uint64)])
+    by_hand = dict(zip(hashes.tolist(), words.rank.tolist(), strict=True))
+    assert words.find(asked).tolist() == [by_hand.get(h, -1) for h in asked.tolist()]
+
+    table = rng.normal(size=(maxent.FEATURES * maxent.BUCKETS, 5)).astype(np.float32)
+    squares, touched = rng.random(table.shape).astype(np.float32), np.zeros(len(table))
+    slots = rng.integers(0, 9, (maxent.FEATURES, 300)) + np.arange(maxent.FEATURES)[:, None] * maxent.BUCKETS
+    g = rng.normal(size=(300, 5)).astype(np.float32)
+    moved, past = table.copy(), squares.copy()
+    maxent._apply(moved, past, slots, g, touched)
+    for slot in [f * maxent.BUCKETS + k for f in range(maxent.FEATURES) for k in (*range(12), maxent.BUCKETS - 1)]:
+        met = np.flatnonzero((slots == slot).any(0)) if slot % maxent.BUCKETS < 9 else []
+        total = g[met].sum(0, dtype=float)
+        assert touched[slot] == len(met) and past[slot] == pytest.approx(squares[slot] + total**2, rel=1e-4)
+        assert moved[slot] == pytest.approx(table[slot] - maxent.RATE * total / np.sqrt(past[slot] + 1), abs=1e-4)
+        if not len(met):
+            assert (moved[slot] == table[slot]).all()
+
+
 def test_training_beats_the_base(spark):
     a, b = ["the cat", "sat on"], ["le chien", "dort sur"]
     rng = np.random.default_rng(6)

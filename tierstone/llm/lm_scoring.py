@@ -102,7 +102,7 @@ def train(texts: DataFrame, words: maxent.Vocabulary, rounds: int = ROUNDS) -> m
         def descend(batches: Iterator[pa.RecordBatch], start=start) -> Iterator[pa.RecordBatch]:
             known = shared.value
             own = maxent.Weights(start.value.classes.copy(), start.value.words.copy())
-            squares = [np.zeros(t.T.shape, np.float32) for t in (own.classes, own.words)]
+            squares = [np.zeros(t.shape, np.float32) for t in (own.classes, own.words)]
             touched = [np.zeros(len(own.classes)), np.zeros(len(own.words))]
             any_rows = False
             for batch in batches:
@@ -174,8 +174,8 @@ def score(docs: DataFrame, held_out_of: int = 5, held_out: int = 1, known: int =
                 hashes, rows = token_hashes(part, ends)
                 rank, found = known_words.find(hashes), maxent.features(hashes, rows)
                 logs = np.zeros(len(rank))
-                for low in range(0, len(rank), maxent.BATCH):
-                    now = slice(low, low + maxent.BATCH)
+                for low in range(0, len(rank), maxent.SCORED):
+                    now = slice(low, low + maxent.SCORED)
                     step = maxent.Step(known_words, weights, rank[now], found[:, now])
                     logs[now] = step.log_probability(known_words, rank[now])
                 inside = rank >= 0
