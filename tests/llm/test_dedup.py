@@ -319,3 +319,50 @@ def test_span_hashes_tell_spans_apart():
     a = h.spans(np.array([0, 3, 7, 0]), np.array([3, 6, 10, 2]))
     assert a[0] == a[1] == a[2] != a[3]
     assert h.windows(3)[[0, 3, 7]].tolist() == a[:3].tolist()
+
+
+def test_bound_never_parts_similar_lines():
+    """Pieces of the shorter line in their bands: no more than the edit distance, and enough for lines that differ."""
+    rng = np.random.default_rng(12)
+    texts = []
+    for n in (1, 5, 40, 64, 65, 130, 400, 400, 700):
+        line = "".join(rng.choice(list("etaoin shrdlu"), n))
+        for share in (0, 0.05, 0.15, 0.19, 0.25):
+            other = list(line)
+            for at in rng.choice(n, int(share * n), False):
+                other[at] = str(rng.choice(["", "q", "zy", "日", other[at - 1]]))
+            texts.append("".join(other) if rng.integers(2) else "".join(other)[n // 10 :] or "x")
+    sizes = np.array([len(t) for t in texts])
+    codes = (np.array([ord(c) for t in texts for c in t]) % line_dedup.LETTERS).astype(np.uint8)
+    one, other = (x.ravel() for x in np.indices((len(texts), len(texts))))
+    unlike = line_dedup._unlike(codes, np.cumsum(sizes) - sizes, sizes, one, other)
+    alike = np.array([line_dedup.similar(texts[i], texts[j]) for i, j in zip(one, other, strict=True)])
+    assert not (unlike & alike).any()
+    assert alike.sum() > 2 * len(texts) and unlike.sum() > 0.9 * (~alike).sum()
+    for i, j in zip(one[::7], other[::7], strict=True):
+        exact = line_dedup.edit_distance(texts[i], texts[j])
+        assert exact <= line_dedup._edits_found(texts[i], texts[j], len(texts[i]) + len(texts[j]))
+
+
+def test_shards_are_parted_by_length():
+    """Lengths that leave a gap part a shard; lengths of lines that can be similar never do."""
+    n = np.arange(1, 30_000)
+    apart = line_dedup.length_class(n).astype(int) - line_dedup.length_class(np.ceil(n * line_dedup.SIMILARITY - 1e-9))
+    assert apart.max() <= line_dedup.CLASSES
+    held = line_dedup._Slot()
+    classes = np.array([50, 10, 52, 12, 90, 200], "u1")
+    list(held.add(0, np.full(6, 7, "<u4").tobytes(), np.arange(6, dtype="<i8").tobytes(), classes.tobytes()))
+    (batch,) = held.settle(0, True)
+    found = defaultdict(set)
+    for _, shard, h in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+        found[shard].add(h)
+    assert sorted(map(sorted, found.values())) == [[0, 2], [1, 3]]
+
+
+def test_far_lines_are_not_measured(spark, monkeypatch):
+    """Long lines that only share passages are parted by their bound, without their distance."""
+    rng = np.random.default_rng(5)
+    words = ["".join(rng.choice(list("etaoinshr"), rng.integers(1, 6))) for _ in range(60)]
+    texts = [" ".join(rng.choice(words, 150)) for _ in range(40)]
+    monkeypatch.setattr(line_dedup, "similar", lambda a, b: pytest.fail("measured"))
+    assert line_dedup._shard_links(texts, np.arange(40), [list(range(40))]) == []
