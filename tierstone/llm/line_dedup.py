@@ -14,8 +14,8 @@ voters is joined together with the next one, an empty block not at all. Lines th
 a block are a shard, shards of the same lines are one, and in a shard lines are linked
 where the edit similarity is at least ``SIMILARITY``; a pair is compared only if no links
 connect it yet, which loses no group. A shard is parted where the lengths of its lines
-leave a gap that no similar pair spans, and bounds of the distance that many pairs share
-the work of decide most pairs; both are exact. Similar lines without a common block are missed;
+leave a gap that no similar pair spans, and a pair is left as soon as no path through the table
+of its distances can end in time; both are exact. Similar lines without a common block are missed;
 README has the measured share. Of each connected group the occurrence with the smallest
 document id, then hash of the row, then line number stays.
 
@@ -24,6 +24,9 @@ Blocks travel in packs of numbers by slot and texts only to shards. A task holds
 ``PART`` lines each; a shard of n lines is n / ``PART`` parts, which all meet, so its work
 grows with its square as long as its lines are distinct.
 
+What goes over single bytes or letters runs in the JVM, by ``LineBlocks.java`` and
+``LineLinks.java``; the functions here that do the same in Python are what tests hold it to.
+
 Cases: a null text is an empty one, with one empty line. A null id comes after all
 others. Rows equal in id and text are one document here and keep the same lines. Very
 long lines are compared like others, in time that grows with the product of their
@@ -34,12 +37,14 @@ their names; it replaces ``text``.
 from __future__ import annotations
 
 from collections.abc import Iterator
+from pathlib import Path
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ..jvm import map_partitions
 from ..session import shared_scratch
 from . import bloom
 from . import textbytes as tb
@@ -63,6 +68,7 @@ _TABLE = _NORMAL.tobytes()
 _DROPPED = bytes([*range(33, 48), *range(58, 65), *range(91, 97), *range(123, 127)])
 _LOW = np.uint64((1 << 48) - 1)
 _ONE, _TOP = np.uint64(1), np.uint64(PIECE - 1)
+_JAVA = Path(__file__).parent
 
 
 def normalise(line: str) -> str:
@@ -110,9 +116,12 @@ def _blocks(grams: np.ndarray, row: np.ndarray, n_rows: int) -> np.ndarray:
     return keys
 
 
+_CLASSES_OF_LOG = 4 / -float(np.log(SIMILARITY))
+
+
 def length_class(length: np.ndarray) -> np.ndarray:
     """A class of a length in letters; those of lines that can be similar are at most ``CLASSES`` apart."""
-    return np.minimum(np.log(np.maximum(length, 1)) * (4 / -np.log(SIMILARITY)), 255).astype(np.uint8)
+    return np.minimum(np.log(np.maximum(length, 1)) * _CLASSES_OF_LOG, 255).astype(np.uint8)
 
 
 def _fingerprints(hashes: tb.SpanHash, low: np.ndarray, high: np.ndarray) -> np.ndarray:
@@ -168,72 +177,26 @@ def _normal_lines(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np
     return row[used], number[used], low[used], high[used], normal.tobytes() + b"".join(rulers)
 
 
-def _lines(rows: DataFrame) -> DataFrame:
-    """``doc_id, row, line, text_hash, blocks`` of every line that takes part.
+def _in_java(rows: DataFrame, wanted: str, schema: str, slots: int = 0, known: bloom.BloomFilter | None = None) -> DataFrame:
+    """What ``LineBlocks.java`` gives for ``text`` and the columns behind it."""
+    rows = rows.withColumn("text", F.coalesce("text", F.lit("")).cast("binary"))
+    bits = known.bits.tobytes() if known else b""
+    return map_partitions(
+        rows, _JAVA / "LineBlocks.java", "tierstone.LineBlocks", schema,
+        wanted, slots, SLOT_KEYS, bits, bloom.CHUNK_BYTES, bloom.PROBES, _TABLE, _DROPPED, *tb.hash_numbers(),
+        GRAM, BLOCKS, VOTES, _CLASSES_OF_LOG,
+    )
 
-    ``blocks`` are the join keys of the text after its length class, null where the same task
-    gave them before.
-    """
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            data, offsets = tb.text_arrays(batch.column("text"))
-            for first, _, part, ends in tb.pieces(data, offsets):
-                row, line, low, high, normal = _normal_lines(part, ends)
-                hashes = tb.SpanHash(np.frombuffer(normal, np.uint8))
-                text = hashes.spans(low, high).view(np.int64)
-                _, once = np.unique(text, return_index=True)
-                body = _fingerprints(hashes, low[once], high[once]).astype("<u8")
-                letters = np.cumsum(np.append(0, (np.frombuffer(normal, np.uint8) & 0xC0) != 0x80))
-                classes = length_class(letters[high[once]] - letters[low[once]])
-                blocks = np.full(len(text), None)
-                blocks[once] = [bytes((c,)) + b.tobytes() for c, b in zip(classes.tolist(), body, strict=True)]
-                at = pa.array(row + first)
-                yield pa.RecordBatch.from_arrays(
-                    [
-                        batch.column("doc_id").take(at), batch.column("row").take(at),
-                        pa.array(line.astype(np.int32)), pa.array(text), pa.array(blocks, pa.binary()),
-                    ],
-                    ["doc_id", "row", "line", "text_hash", "blocks"],
-                )
 
+def _lines(rows: DataFrame) -> DataFrame:
+    """``doc_id, row, line, text_hash`` of every line that takes part."""
     kind = rows.schema["doc_id"].dataType.simpleString()
-    return rows.select("doc_id", "row", "text").mapInArrow(
-        run, f"doc_id {kind}, row bigint, line int, text_hash bigint, blocks binary"
-    )
+    return _in_java(rows.select("text", "doc_id", "row"), "lines", f"doc_id {kind}, row bigint, line int, text_hash bigint")
 
 
-def _dealt(lines: DataFrame, slots: int) -> DataFrame:
+def _dealt(rows: DataFrame, slots: int) -> DataFrame:
     """``slot, keys, hashes, classes``: the blocks of all lines, in packs of numbers by slot."""
-    names = ["slot", "keys", "hashes", "classes"]
-
-    def pack(bodies: list[bytes], texts: list[np.ndarray]) -> pa.RecordBatch:
-        body = np.frombuffer(b"".join(bodies), np.dtype([("length", "u1"), ("keys", "<u8", BLOCKS)]))
-        keys, some = body["keys"].ravel(), body["keys"].ravel() != 0
-        text, length = (np.repeat(x, BLOCKS)[some] for x in (np.concatenate(texts), body["length"]))
-        keys = keys[some]
-        slot = (keys >> np.uint64(32)).astype(np.int64) % slots
-        order = np.argsort(slot, kind="stable")
-        slot, keys, text, length = slot[order], keys[order].astype("<u4"), text[order].astype("<i8"), length[order]
-        starts = np.flatnonzero(np.diff(slot, prepend=-1))
-        spans = list(zip(starts, np.append(starts[1:], len(slot)), strict=True))
-        columns = ([column[a:b].tobytes() for a, b in spans] for column in (keys, text, length))
-        return pa.RecordBatch.from_arrays([pa.array(slot[starts]), *(pa.array(c, pa.binary()) for c in columns)], names)
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        bodies: list[bytes] = []
-        texts: list[np.ndarray] = []
-        for batch in batches:
-            bodies += batch.column("blocks").to_pylist()
-            texts.append(batch.column("text_hash").to_numpy())
-            if len(bodies) * BLOCKS > SLOT_KEYS:
-                yield pack(bodies, texts)
-                bodies, texts = [], []
-        if bodies:
-            yield pack(bodies, texts)
-
-    found = lines.where("blocks is not null").select("text_hash", "blocks")
-    return found.mapInArrow(run, "slot bigint, keys binary, hashes binary, classes binary")
+    return _in_java(rows.select("text"), "packs", "slot bigint, keys binary, hashes binary, classes binary", slots)
 
 
 class _Slot:
@@ -284,7 +247,7 @@ class _Slot:
             yield pa.RecordBatch.from_arrays([*map(pa.array, columns), pa.array(text[out])], ["lead", "shard", "text_hash"])
 
 
-def _shards(lines: DataFrame, slots: int) -> DataFrame:
+def _shards(rows: DataFrame, slots: int) -> DataFrame:
     """``lead, text_hash, shards`` of the texts that share a block.
 
     ``lead`` is the smallest text of a shard, or stands for a crowded one: shards of one lead
@@ -303,27 +266,14 @@ def _shards(lines: DataFrame, slots: int) -> DataFrame:
         if at is not None:
             yield from held.settle(at, True)
 
-    dealt = _dealt(lines, slots).repartition("slot").sortWithinPartitions("slot")
+    dealt = _dealt(rows, slots).repartition("slot").sortWithinPartitions("slot")
     found = dealt.mapInArrow(run, "lead bigint, shard bigint, text_hash bigint")
     return found.groupBy("lead", "text_hash").agg(F.collect_set("shard").alias("shards"))
 
 
 def _texts(rows: DataFrame, wanted: bloom.BloomFilter) -> DataFrame:
     """``text_hash, text`` of the normalised lines that the filter lets through, each once."""
-    known = rows.sparkSession.sparkContext.broadcast(wanted)
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            data, offsets = tb.text_arrays(batch.column("text"))
-            for _, _, part, ends in tb.pieces(data, offsets):
-                _, _, low, high, normal = _normal_lines(part, ends)
-                text = tb.SpanHash(np.frombuffer(normal, np.uint8)).spans(low, high).view(np.int64)
-                _, once = np.unique(text, return_index=True)
-                once = once[known.value.might_hold(text[once])] if len(once) else once
-                lines = [normal[a:b].decode(errors="replace") for a, b in zip(low[once], high[once], strict=True)]
-                yield pa.RecordBatch.from_arrays([pa.array(text[once]), pa.array(lines, pa.string())], ["text_hash", "text"])
-
-    found = rows.select("text").mapInArrow(run, "text_hash bigint, text string")
+    found = _in_java(rows.select("text"), "texts", "text_hash bigint, text string", known=wanted)
     return found.groupBy("text_hash").agg(F.any_value("text").alias("text"))
 
 
@@ -545,34 +495,8 @@ def _verified(shards: DataFrame, texts: DataFrame) -> DataFrame:
         .select("lead", "text_hash", "shards", "text")
     )
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        # Whole leads, so many that their pairs are compared some thousand at a time.
-        lead, held_chars = None, 0
-        held: dict[int, int] = {}
-        texts: list[str] = []
-        shards: dict[tuple[int, int], list[int]] = {}
-
-        def links() -> pa.RecordBatch:
-            found = _shard_links(texts, np.array(list(held), np.int64), [s for s in shards.values() if len(s) > 1])
-            columns = zip(*found, strict=True) if found else ([], [])
-            return pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in columns], ["a", "b"])
-
-        for batch in batches:
-            for key, text_hash, names, text in zip(*(batch.column(i).to_pylist() for i in range(4)), strict=True):
-                if key != lead and (len(texts) >= CHUNK_TEXTS or held_chars >= CHUNK_CHARS):
-                    yield links()
-                    held, texts, shards, held_chars = {}, [], {}, 0
-                lead = key
-                if text_hash not in held:
-                    held[text_hash] = len(texts)
-                    texts.append(text)
-                    held_chars += len(text)
-                for name in names:
-                    shards.setdefault((key, name), []).append(held[text_hash])
-        if texts:
-            yield links()
-
-    return dealt.repartition("lead").sortWithinPartitions("lead").mapInArrow(run, "a bigint, b bigint")
+    whole = dealt.repartition("lead").sortWithinPartitions("lead")
+    return map_partitions(whole, _JAVA / "LineLinks.java", "tierstone.LineLinks", "a bigint, b bigint", 1 - SIMILARITY)
 
 
 def removed_lines(docs: DataFrame) -> DataFrame:
@@ -584,7 +508,7 @@ def removed_lines(docs: DataFrame) -> DataFrame:
     lines = spark.read.parquet(f"{base}/lines")
     partitions = int(spark.conf.get("spark.sql.shuffle.partitions"))
     slots = max(partitions, -(-lines.count() * BLOCKS // SLOT_KEYS))
-    _shards(lines, slots).write.parquet(f"{base}/shards")
+    _shards(rows, slots).write.parquet(f"{base}/shards")
     shards = spark.read.parquet(f"{base}/shards")
     texts = _texts(rows, bloom.build(shards.select("text_hash").distinct()))
     _verified(shards, texts).write.parquet(f"{base}/links")
